@@ -6,7 +6,9 @@ day, so all work grows with those tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +27,31 @@ FEED_PRIORITIES = {
 SHIFT_DAYS = 10227
 
 
-@dataclass(frozen=True)
+def once(method: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build each plan once per set of tables; nothing is computed or cached by this."""
+
+    @wraps(method)
+    def built(self: Tables, *args: str) -> DataFrame:
+        key = (method.__name__, *args)
+        if key not in self.plans:
+            self.plans[key] = method(self, *args)
+        return self.plans[key]
+
+    return built
+
+
+@dataclass
 class Tables:
     spark: SparkSession
     sf_dir: str
     settings: Settings = Settings()
+    plans: dict[tuple, DataFrame] = field(default_factory=dict)
 
+    @once
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @once
     def bronze_soil(self) -> DataFrame:
         """Readings with the event time as a TIMESTAMP_NTZ in UTC."""
         k = F.get_json_object("props", "$.k").cast("int")
@@ -62,6 +80,9 @@ class Tables:
         suffix = F.when(site >= 8, "").when(probe == 0, "#0").when(probe == 1, "#1").otherwise("")
         scaled = (kind == "signup") & (site != 11)
         six_hours = F.make_dt_interval(F.lit(0), (F.floor(F.hour("ts") / 6) * 6).cast("int"))
+        # Exploding an array of one keeps Spark from repeating the text's expression in every filter
+        # on it; a stored table would hold the text just the same.
+        text = F.concat(F.lit("Soil "), word, depth, texture, suffix)
         return (
             self.read("events")
             .withColumn("k", k)
@@ -70,13 +91,14 @@ class Tables:
                 F.concat(F.lit("Site "), site.cast("string")).alias("Site_Name"),
                 site.cast("string").alias("Site_ID"),
                 probe.cast("string").alias("Probe_ID"),
-                F.concat(F.lit("Soil "), word, depth, texture, suffix).alias("Probe_Measure"),
+                F.explode(F.array(text)).alias("Probe_Measure"),
                 F.when(scaled, F.col("value") / 10).otherwise(F.col("value")).alias("Soil_Value"),
                 F.when(word == "Moisture", "%").alias("Unit"),
                 (F.col("ts").cast("date").cast("timestamp_ntz") + six_hours).alias("event_time"),
             )
         )
 
+    @once
     def raw_soil(self) -> DataFrame:
         """The same readings as the source hands them out: time as text with an offset."""
         names = {new: old for old, new in bronze.SOIL_COLUMNS.items()}
@@ -88,6 +110,7 @@ class Tables:
             .withColumnsRenamed(names)
         )
 
+    @once
     def raw_weather(self, feed: str) -> DataFrame:
         """Daily rows of one feed, laid out like its CSV file."""
         day = F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS)
@@ -120,9 +143,11 @@ class Tables:
             columns += [F.col("span").alias("days_accum"), F.lit("Y").alias("quality")]
         return days.select(*columns)
 
+    @once
     def bronze_weather(self, feed: str) -> DataFrame:
         return bronze.accepted(bronze.weather_with_date(self.raw_weather(feed)), "date")
 
+    @once
     def raw_sites(self) -> DataFrame:
         return self.read("supplier").select(
             F.col("s_suppkey").cast("int").alias("site_id"),
@@ -132,16 +157,20 @@ class Tables:
             (F.lit(144.9) + F.col("s_acctbal") / 1e5).alias("longitude"),
         )
 
+    @once
     def silver_soil(self) -> DataFrame:
         return silver.silver_soil(self.bronze_soil(), self.settings)
 
+    @once
     def silver_weather(self) -> DataFrame:
         return silver.silver_weather(
             *[self.bronze_weather(feed) for feed in WEATHER_VALUE], self.settings
         )
 
+    @once
     def gold_daily(self) -> DataFrame:
         return gold.gold_daily(self.silver_soil(), self.silver_weather(), self.settings)
 
+    @once
     def gold_hourly(self) -> DataFrame:
         return gold.gold_hourly(self.silver_soil(), self.settings)

@@ -1,4 +1,4 @@
-from loamline.functions.numbers import irrigation_needed, not_nan, row_mean, within_limits
+from loamline.functions.numbers import irrigation_needed, not_nan, plausible, row_mean, within_limits
 from loamline.functions.text import (
     clean_text,
     depth_cm,
@@ -27,6 +27,7 @@ __all__ = [
     "iso_text",
     "measure_type",
     "not_nan",
+    "plausible",
     "offset_timestamp",
     "probe_suffix",
     "row_mean",

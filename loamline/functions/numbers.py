@@ -26,6 +26,21 @@ def within_limits(measure: Column, value: Column, settings: Settings) -> Column:
     )
 
 
+def plausible(text: Column, value: Column, settings: Settings) -> Column:
+    """``within_limits`` for the measure named in a probe text, as one chain of tests.
+
+    A filter moves below the projection that names the measure, and would repeat that projection's
+    expression in every branch. Testing the text itself looks for each word once, and the first
+    word found decides, as it does in ``measure_type``.
+    """
+    ranges = iter(settings.ranges.items())
+    measure, (lo, hi) = next(ranges)
+    chain = F.when(text.contains(measure), value.between(lo, hi))
+    for measure, (lo, hi) in ranges:
+        chain = chain.when(text.contains(measure), value.between(lo, hi))
+    return chain
+
+
 def irrigation_needed(moisture: Column, rain_mm: Column, settings: Settings) -> Column:
     """Dry soil and no rain to speak of. An unknown rainfall counts as none; unknown moisture on a
     dry day gives NULL."""

@@ -22,7 +22,7 @@ def _captured(text: Column, pattern: str) -> Column:
 
 def depth_cm(text: Column) -> Column:
     """``40 cm`` or ``40CM`` → 40; NULL without a depth (or with one too long for an int)."""
-    return _captured(text, DEPTH_PATTERN).try_cast("int")
+    return F.regexp_extract(text, DEPTH_PATTERN, 1).try_cast("int")
 
 
 def measure_type(text: Column, measures: tuple[str, ...] = MEASURES) -> Column:

@@ -19,8 +19,11 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamline.functions import not_nan
+
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 SLICES = 256
+SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
 
 
 def _same_group(by: Sequence[str]) -> Column:
@@ -45,49 +48,54 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, quantiles and max of ``value`` per group.
 
-    NULL and NaN are left out of all of these. ``weight`` says how often a row counts. ``counts``
-    adds numbers of rows, NULL values included, whose value satisfies a predicate.
+    NULL is left out of all of these, and NaN is taken as NULL. ``weight`` says how often a row
+    counts. ``counts`` adds numbers of rows, NULL values included, whose value satisfies a predicate.
     ``few_groups`` may be set when the groups are bounded by construction (a fixed list of
     measures); their statistics are then broadcast. Otherwise Spark picks the join by size.
     """
     by = list(by)
     times = F.col(weight) if weight else F.lit(1)
     freq = (
-        df.select(*by, F.col(value).cast("double").alias("_v"), times.cast("bigint").alias("_w"))
+        df.select(
+            *by,
+            not_nan(F.col(value).cast("double")).alias("_v"),
+            times.cast("bigint").alias("_w"),
+        )
         .groupBy(*by, "_v")
         .agg(F.sum("_w").alias("_w"))
     )
     small = F.broadcast if few_groups else (lambda d: d)
+    # A group's NULL is one row of ``freq``. It takes part with weight 0 instead of being filtered:
+    # a filter would move into the scan of some branches and make them scan the input once more.
+    known_rows = F.when(F.col("_v").isNotNull(), F.col("_w")).otherwise(0)
 
     extra = {
         name: F.coalesce(F.sum(F.when(predicate(F.col("_v")), F.col("_w"))), F.lit(0))
         for name, predicate in (counts or {}).items()
     }
-    known = F.col("_v").isNotNull() & ~F.isnan("_v")
-    kept = F.when(known, F.col("_v"))
-    cuts = [i / SLICES for i in range(1, SLICES)]
-    stats = freq.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(known, F.col("_w"))), F.lit(0)).alias("count"),
-        (F.sum(kept * F.col("_w")) / F.nullif(F.sum(F.when(known, F.col("_w"))), F.lit(0))).alias(
-            "mean"
-        ),
-        F.min(kept).alias("min"),
-        F.max(kept).alias("max"),
-        F.percentile_approx(kept, cuts, 20 * SLICES).alias("_cuts"),
+    totals = freq.groupBy(*by).agg(
+        F.sum(known_rows).alias("count"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
         *[c.alias(name) for name, c in extra.items()],
     )
 
-    placed = _with_group(
-        freq.filter(known), small(stats.select(*by, "_cuts", F.col("mean").alias("_mean"))), by
-    ).select(
+    # ``_mean`` and ``_w`` stay in every branch below although not each of them needs both: with the
+    # same columns the branches read one shuffle of ``freq``.
+    cuts = freq.groupBy(*by).agg(
+        F.expr(f"percentile_approx(_v, array({SHARES}), {20 * SLICES})").alias("_cuts"),
+        (F.sum(F.col("_v") * F.col("_w")) / F.nullif(F.sum(known_rows), F.lit(0))).alias("_mean"),
+    )
+    placed = _with_group(freq, small(cuts), by).select(
         *by,
         "_v",
-        "_w",
+        known_rows.alias("_w"),
+        "_mean",
         F.expr("size(filter(_cuts, c -> c < _v))").alias("_slice"),
-        (F.pow(F.col("_v") - F.col("_mean"), 2) * F.col("_w")).alias("_dev2"),
     )
     slices = placed.groupBy(*by, "_slice").agg(
-        F.sum("_w").alias("_n"), F.sum("_dev2").alias("_dev2")
+        F.sum("_w").alias("_n"),
+        F.sum(F.pow(F.col("_v") - F.col("_mean"), 2) * F.col("_w")).alias("_dev2"),
     )
     in_order = Window.partitionBy(*by).orderBy("_slice")  # at most SLICES rows per group
     all_rows = Window.partitionBy(*by)
@@ -110,7 +118,7 @@ def describe(
     ordered = Window.partitionBy(*by, "_slice").orderBy("_v")
     ranked = (
         _with_group(
-            placed.select(*by, "_slice", "_v", "_w"),
+            placed,
             small(slices.filter(wanted).withColumnRenamed("_slice", "_at")),
             by,
             F.col("l._slice") == F.col("r._at"),
@@ -118,16 +126,18 @@ def describe(
         .withColumn("_to", F.col("_from") + F.sum("_w").over(ordered))
         .withColumn("_from", F.col("_to") - F.col("_w"))
     )
-    quantile_values = ranked.groupBy(*by).agg(
-        (F.sqrt(F.first("_dev2") / F.nullif(F.first("_total") - 1, F.lit(0)))).alias("std"),
+    ordered_values = ranked.groupBy(*by).agg(
+        F.first("_mean").alias("mean"),
+        F.sqrt(F.first("_dev2") / F.nullif(F.first("_total") - 1, F.lit(0))).alias("std"),
         *[_interpolated(q).alias(name) for name, q in quantiles.items()],
     )
-    names = ["count", "mean", "std", "min", *quantiles, "max", *extra]
     return (
-        stats.drop("_cuts")
-        .alias("l")
-        .join(quantile_values.alias("r"), _same_group(by), "left")
-        .select(*[F.col(f"l.{c}") for c in by], *names)
+        totals.alias("l")
+        .join(ordered_values.alias("r"), _same_group(by), "left")
+        .select(
+            *[F.col(f"l.{c}") for c in by],
+            *["count", "mean", "std", "min", *quantiles, "max", *extra],
+        )
     )
 
 

@@ -6,31 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.config import Settings
-from loamline.functions import depth_cm, measure_type, soil_texture, within_limits
+from loamline.functions import depth_cm, measure_type, plausible, soil_texture
 
 SILVER_KEYS = ("site_name", "site_id", "event_time", "depth_cm", "measure_type", "soil_texture")
 
 
-def describe_probes(bronze: DataFrame) -> DataFrame:
+def describe_probes(bronze: DataFrame, settings: Settings) -> DataFrame:
     """Add what the probe text says: depth, measure, texture."""
     text = F.col("Probe_Measure")
     return bronze.withColumns(
         {
             "depth_cm": depth_cm(text),
-            "measure_type": measure_type(text),
+            "measure_type": measure_type(text, tuple(settings.ranges)),
             "soil_texture": soil_texture(text),
         }
     )
 
 
 def valid_readings(bronze: DataFrame, settings: Settings) -> DataFrame:
-    """Readings with a known measure, depth and time and a value inside its limits."""
-    return describe_probes(bronze).filter(
-        F.col("measure_type").isNotNull()
-        & F.col("depth_cm").isNotNull()
-        & F.col("event_time").isNotNull()
-        & within_limits(F.col("measure_type"), F.col("Soil_Value"), settings)
+    """Readings with a known measure, depth and time and a value inside its limits.
+
+    Filtered before the probe text is taken apart: cheap tests first, the depth pattern last.
+    """
+    text = F.col("Probe_Measure")
+    kept = bronze.filter(
+        F.col("event_time").isNotNull()
+        & plausible(text, F.col("Soil_Value"), settings)
+        & depth_cm(text).isNotNull()
     )
+    return describe_probes(kept, settings)
 
 
 def merge_probes(readings: DataFrame) -> DataFrame:

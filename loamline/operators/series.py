@@ -12,41 +12,38 @@ def gap_counts(readings: DataFrame, by: Sequence[str], time: str = "event_time")
     """How often each gap, in seconds, occurs between consecutive readings of a series.
 
     A series may hold a large share of all rows, so it is never sorted in one task. Readings of one
-    instant are counted together (they are gaps of zero); the remaining instants are ordered inside
-    one hour of one series; and the gaps that cross an hour come from the hours' first and last
-    instants, one row per series and hour.
+    instant are counted together (they are gaps of zero); the other instants are ordered inside one
+    hour of one series; and the first instant of an hour takes its predecessor from the series'
+    hours, of which there is one row each.
     """
     by = list(by)
+    hour = Window.partitionBy(*by, "_hour")
     instants = (
         readings.filter(F.col(time).isNotNull())
-        .groupBy(*by, time)
+        .groupBy(*by, F.date_trunc("hour", time).alias("_hour"), time)
         .agg(F.count("*").alias("_n"))
-        .withColumn("_hour", F.date_trunc("hour", time))
+        .withColumn("_before", F.lag(time).over(hour.orderBy(time)))
     )
-    within = Window.partitionBy(*by, "_hour").orderBy(time)
-    inside = instants.withColumn("_before", F.lag(time).over(within))
-    hours = instants.groupBy(*by, "_hour").agg(
-        F.min(time).alias("_first"), F.max(time).alias("_last")
+    hours = Window.partitionBy(*by).orderBy("_hour")
+    firsts = (
+        instants.withColumn("_last", F.max(time).over(hour))
+        .filter("_before IS NULL")
+        .withColumn("_before", F.lag("_last").over(hours))
+        .drop("_last")
+    )
+    placed = instants.filter("_before IS NOT NULL").unionByName(firsts)
+    gap = F.timestamp_diff("MICROSECOND", F.col("_before"), F.col(time)) / F.lit(1e6)
+    one = F.when(F.col("_before").isNotNull(), 1).otherwise(0).cast("bigint")
+    counted = F.array(
+        F.struct(gap.alias("gap_seconds"), one.alias("n")),
+        F.struct(F.lit(0.0).alias("gap_seconds"), (F.col("_n") - 1).alias("n")),
+    )
+    return (
+        placed.select(*by, F.inline(counted))
+        .filter("n > 0")
+        .groupBy(*by, "gap_seconds")
+        .agg(F.sum("n").alias("n"))
     )
-    across = Window.partitionBy(*by).orderBy("_hour")
-    between = hours.withColumn("_before", F.lag("_last").over(across))
-
-    def seconds(later: str):
-        return F.timestamp_diff("MICROSECOND", F.col("_before"), F.col(later)) / F.lit(1e6)
-
-    parts = [
-        inside.filter("_before IS NOT NULL").select(
-            *by, seconds(time).alias("gap_seconds"), F.lit(1).cast("bigint").alias("n")
-        ),
-        between.filter("_before IS NOT NULL").select(
-            *by, seconds("_first").alias("gap_seconds"), F.lit(1).cast("bigint").alias("n")
-        ),
-        instants.filter("_n > 1").select(
-            *by, F.lit(0.0).alias("gap_seconds"), (F.col("_n") - 1).alias("n")
-        ),
-    ]
-    gaps = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return gaps.groupBy(*by, "gap_seconds").agg(F.sum("n").alias("n"))
 
 
 def day_changes(gold: DataFrame, site: Sequence[str] = ("site_name", "site_id")) -> DataFrame:

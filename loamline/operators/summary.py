@@ -36,9 +36,9 @@ def hour_of(silver: DataFrame, settings: Settings) -> Column:
 def depth_means(settings: Settings) -> list[Column]:
     """Mean value of each measure at each depth, as conditional aggregates for one grouping."""
     return [
-        F.avg(
-            F.when((F.col("measure_type") == m) & (F.col("depth_cm") == d), F.col("soil_value"))
-        ).alias(wide_column(m, d))
+        F.expr(f"avg(CASE WHEN measure_type = '{m}' AND depth_cm = {d} THEN soil_value END)").alias(
+            wide_column(m, d)
+        )
         for m in settings.ranges
         for d in settings.depths
     ]

@@ -55,7 +55,7 @@ def measure_profile(bronze: DataFrame) -> DataFrame:
         "zero_values": lambda v: v == 0,
         "negative_values": lambda v: v < 0,
         **{
-            f"above_{int(limit)}": (lambda v, limit=limit: (v > limit) & ~F.isnan(v))
+            f"above_{int(limit)}": (lambda v, limit=limit: v > limit)
             for limit in SUSPICIOUS_ABOVE.values()
         },
     }
