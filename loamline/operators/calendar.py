@@ -39,9 +39,10 @@ def rows_per_month(df: DataFrame, column: str) -> DataFrame:
 def chunk_spans(bounds: DataFrame, start: Column, end: Column, settings: Settings) -> DataFrame:
     """Half-open chunks covering [start, end) of each row; the last one is cut at ``end``."""
     step = F.lit(settings.chunk)
-    spans = bounds.select(start.alias("_start"), end.alias("_end")).filter("_start < _end")
+    spans = bounds.select(start.alias("_start"), end.alias("_end"))
+    starts = F.sequence(F.col("_start"), F.greatest("_start", "_end"), step)
     return (
-        spans.withColumn("chunk_start", F.explode(F.sequence("_start", "_end", step)))
+        spans.withColumn("chunk_start", F.explode(starts))
         .filter("chunk_start < _end")
         .select("chunk_start", F.least(F.col("chunk_start") + step, F.col("_end")).alias("chunk_end"))
     )
