@@ -17,8 +17,10 @@ def date_spine(df: DataFrame, column: str) -> DataFrame:
 
 
 def missing_dates(df: DataFrame, column: str = "date") -> DataFrame:
-    """Days between the first and the last date that no row has."""
-    return date_spine(df, column).join(df.select(column), column, "left_anti")
+    """Days between the first and the last date that no row has. However large the table, only its
+    distinct days are joined."""
+    days = df.select(column).distinct()
+    return date_spine(days, column).join(days, column, "left_anti")
 
 
 def rows_per_month(df: DataFrame, column: str) -> DataFrame:

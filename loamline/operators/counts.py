@@ -37,15 +37,18 @@ def count_matrix(
     return df.groupBy(by).agg(*cells)
 
 
-def first_known(
-    df: DataFrame, by: Sequence[str], column: str, order: Sequence[str | Column]
-) -> DataFrame:
-    """First non-NULL value of ``column`` per group in the given order, ties by the value."""
-    keys = F.struct(*order, F.col(column))
+def first_known(df: DataFrame, by: Sequence[str], column: str, order: str) -> DataFrame:
+    """First non-NULL value of ``column`` per group in the order of one column, ties by the value.
+
+    The first step keeps one minimum per group and value, which stays a hash aggregation that
+    combines on the map side; only its small result is compared by value.
+    """
     return (
         df.filter(F.col(column).isNotNull())
+        .groupBy(*by, column)
+        .agg(F.min(order).alias("_first"))
         .groupBy(*by)
-        .agg(F.min_by(column, keys).alias(column))
+        .agg(F.min_by(column, F.struct("_first", column)).alias(column))
     )
 
 

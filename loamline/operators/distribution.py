@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loamline.functions import not_nan
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-SLICES = 256
+SLICES = 256  # a power of two
 SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
 
 
@@ -86,12 +86,8 @@ def describe(
         F.expr(f"percentile_approx(_v, array({SHARES}), {20 * SLICES})").alias("_cuts"),
         (F.sum(F.col("_v") * F.col("_w")) / F.nullif(F.sum(known_rows), F.lit(0))).alias("_mean"),
     )
-    placed = _with_group(freq, small(cuts), by).select(
-        *by,
-        "_v",
-        known_rows.alias("_w"),
-        "_mean",
-        F.expr("size(filter(_cuts, c -> c < _v))").alias("_slice"),
+    placed = _with_slice(_with_group(freq, small(cuts), by)).select(
+        *by, "_v", known_rows.alias("_w"), "_mean", "_slice"
     )
     slices = placed.groupBy(*by, "_slice").agg(
         F.sum("_w").alias("_n"),
@@ -141,6 +137,17 @@ def describe(
     )
 
 
+def _with_slice(df: DataFrame) -> DataFrame:
+    """Number of cuts below the value, by halving: one comparison per bit of the slice number."""
+    df = df.withColumn("_slice", F.lit(0))
+    step = SLICES // 2
+    while step:
+        above = F.col("_cuts")[F.col("_slice") + (step - 1)] < F.col("_v")
+        df = df.withColumn("_slice", F.col("_slice") + F.when(above, step).otherwise(0))
+        step //= 2
+    return df
+
+
 def _ranks(q: float) -> tuple[Column, Column]:
     """The two zero-based ranks between which quantile ``q`` of ``_total`` values lies."""
     position = (F.col("_total") - 1) * F.lit(q)

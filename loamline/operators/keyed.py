@@ -31,9 +31,8 @@ def absent_rows(
     the table unshuffled; beyond the broadcast limit it becomes a sort-merge join.
     """
     key = list(key)
-    candidates = first_per_key(new, key, order)
-    known = existing.select(*key).join(candidates.select(*key), key, "left_semi").distinct()
-    return candidates.join(known, key, "left_anti")
+    known = existing.select(*key).join(new.select(*key), key, "left_semi").distinct()
+    return first_per_key(new, key, order).join(known, key, "left_anti")
 
 
 def insert_if_absent(
@@ -51,10 +50,19 @@ def matching_rows(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFra
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows, duplicates counted, that only one side has; empty when both hold the same rows."""
-    right = right.select(*left.columns)
+    """Rows that one side has more often than the other, with that side and how many more; empty
+    when both hold the same rows. One grouping of both tables answers it for both sides."""
+    columns = left.columns
+    signed = left.withColumn("_n", F.lit(1)).unionByName(
+        right.select(*columns).withColumn("_n", F.lit(-1))
+    )
     return (
-        left.exceptAll(right)
-        .withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+        signed.groupBy(*columns)
+        .agg(F.sum("_n").alias("_n"))
+        .filter("_n <> 0")
+        .select(
+            *columns,
+            F.when(F.col("_n") > 0, "left").otherwise("right").alias("side"),
+            F.abs("_n").alias("copies"),
+        )
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline.config import MOISTURE, Settings
 from loamline.functions import civil_date, hour_start, row_mean
+from loamline.operators.counts import first_known
 
 # Prefixes of the wide columns.
 PREFIX = {"Moisture": "moisture", "Temperature": "temp", "Salinity": "salinity"}
@@ -73,15 +74,6 @@ def summarize(silver: DataFrame, period: Column, name: str, settings: Settings)
 
 
 def texture_lookup(silver: DataFrame, at_depth_cm: int = 10) -> DataFrame:
-    """Each site's first known texture at one depth: earliest in time, then by name.
-
-    The large first step only keeps a minimum time per site and texture, which stays a hash
-    aggregation with a tiny result; the text comparison runs on that result.
-    """
-    return (
-        silver.filter((F.col("depth_cm") == at_depth_cm) & F.col("soil_texture").isNotNull())
-        .groupBy(*SITE, "soil_texture")
-        .agg(F.min("event_time").alias("_since"))
-        .groupBy(*SITE)
-        .agg(F.min_by("soil_texture", F.struct("_since", "soil_texture")).alias("soil_texture"))
-    )
+    """Each site's first known texture at one depth: earliest in time, then by name."""
+    at_depth = silver.filter(F.col("depth_cm") == at_depth_cm)
+    return first_known(at_depth, SITE, "soil_texture", "event_time")

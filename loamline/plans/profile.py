@@ -146,4 +146,4 @@ def reading_gaps(bronze: DataFrame) -> DataFrame:
 
 def first_texture(bronze: DataFrame) -> DataFrame:
     readings = with_depth(bronze).withColumn("soil_texture", soil_texture(F.col("Probe_Measure")))
-    return first_known(readings, ["Site_Name", "depth_cm"], "soil_texture", ["event_time"])
+    return first_known(readings, ["Site_Name", "depth_cm"], "soil_texture", "event_time")

@@ -29,7 +29,10 @@ def replay_difference(
 ) -> DataFrame:
     """Rows lost and rows gained by the replay; both are 0 when it restored the table."""
     rebuilt = replay(source, table, settings, n)
+
+    def copies(side: str):
+        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0))
+
     return difference(table, rebuilt).agg(
-        F.count_if(F.col("side") == "left").alias("missing"),
-        F.count_if(F.col("side") == "right").alias("unexpected"),
+        copies("left").alias("missing"), copies("right").alias("unexpected")
     )

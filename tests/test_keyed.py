@@ -73,7 +73,11 @@ def test_delete_and_lookup(spark, old):
 def test_difference_counts_copies(spark, old):
     assert keyed.difference(old, old).count() == 0
     doubled = old.unionByName(old.filter("ID = '1'"))
-    assert [(r.ID, r.side) for r in keyed.difference(old, doubled).collect()] == [("1", "right")]
+    assert [(r.ID, r.side, r.copies) for r in keyed.difference(old, doubled).collect()] == [
+        ("1", "right", 1)
+    ]
+    tripled = doubled.unionByName(old.filter("ID = '1'"))
+    assert [(r.side, r.copies) for r in keyed.difference(tripled, old).collect()] == [("left", 2)]
 
 
 def test_high_water_mark_and_slice(spark, old, settings):
@@ -143,7 +147,7 @@ def test_counts(spark):
     assert [tuple(r) for r in counts.distinct_histogram(df, ["g"], "n").collect()] == [(0, 2), (2, 1)]
     extra = counts.duplicate_keys(df, ["g", "n"])
     assert [tuple(r) for r in extra.collect()] == [("a", 1, 1)]
-    first = counts.first_known(df, ["g"], "t", ["n"])
+    first = counts.first_known(df, ["g"], "t", "n")
     assert {tuple(r) for r in first.collect()} == {("a", "x"), ("b", "x"), (None, "x")}
 
 
