@@ -26,6 +26,7 @@ from loamline.sinks import append_absent, write_table
 from loamline.sources import (
     high_water_mark,
     incremental_slice,
+    page_of,
     range_slice,
     read_pages,
     read_sites_csv,
@@ -342,6 +343,13 @@ def range_slice_second_half(t: Tables) -> DataFrame:
     return range_slice(t.bronze_soil(), MIDDLE, datetime(2024, 2, 1)).select(*SOIL)
 
 
+@query
+def third_page(t: Tables) -> DataFrame:
+    """The third hundred of the readings in time order, newest first."""
+    order = [F.desc("event_time"), F.desc(F.col("ID").cast("bigint"))]
+    return page_of(t.bronze_soil().select(*SOIL), order, PAGE_ROWS, 2 * PAGE_ROWS)
+
+
 def _deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
     """All readings in two deliveries that share half a day."""
     soil = t.bronze_soil().select(*SOIL)

@@ -410,6 +410,11 @@ USING (m)""",
             soil_rows
             + "soil WHERE event_time >= TIMESTAMP '2024-01-16' AND event_time < TIMESTAMP '2024-02-01'",
         ),
+        "third_page": _with(
+            ["soil"],
+            soil_rows
+            + "(FROM soil ORDER BY event_time DESC, CAST(ID AS BIGINT) DESC LIMIT 100 OFFSET 200) p",
+        ),
         "incremental_rows": _with(
             ["soil", "stored"],
             soil_rows

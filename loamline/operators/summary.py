@@ -26,6 +26,14 @@ def _is_instant(df: DataFrame, name: str) -> bool:
     return dict(df.dtypes)[name] == "timestamp"
 
 
+def as_instant(df: DataFrame, name: str) -> Column:
+    """The column as a TIMESTAMP; a TIMESTAMP_NTZ holds UTC."""
+    t = F.col(name)
+    if _is_instant(df, name):
+        return t
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), t).cast("timestamp")
+
+
 def day_of(silver: DataFrame, settings: Settings) -> Column:
     return civil_date(F.col("event_time"), settings.timezone, _is_instant(silver, "event_time"))
 

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Without a stack trace per column expression, wide plans build noticeably faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

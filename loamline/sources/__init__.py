@@ -2,6 +2,7 @@ from loamline.sources.files import read_sites_csv, read_table, read_weather_csv
 from loamline.sources.incremental import (
     high_water_mark,
     incremental_slice,
+    page_of,
     range_slice,
     read_if_exists,
 )
@@ -10,6 +11,7 @@ from loamline.sources.pages import page_schema, read_pages, records
 __all__ = [
     "high_water_mark",
     "incremental_slice",
+    "page_of",
     "page_schema",
     "range_slice",
     "read_if_exists",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.config import Settings
@@ -34,6 +35,13 @@ def range_slice(
     return out if end is None else out.filter(F.col(time) < F.lit(end))
 
 
+def page_of(
+    df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0
+) -> DataFrame:
+    """One page of a table in a total order, as a paged source hands it out."""
+    return df.orderBy(*order).offset(offset).limit(limit)
+
+
 def incremental_slice(
     source: DataFrame, table: DataFrame | None, settings: Settings, time: str = "event_time"
 ) -> DataFrame:

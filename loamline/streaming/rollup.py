@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loamline.config import MOISTURE, Settings
-from loamline.operators.summary import SITE, depth_means, moisture_averages
+from loamline.operators.summary import SITE, as_instant, depth_means, moisture_averages
 
 
 def hourly_stream(silver: DataFrame, settings: Settings, late_by: str = "2 minutes") -> DataFrame:
@@ -15,7 +15,7 @@ def hourly_stream(silver: DataFrame, settings: Settings, late_by: str = "2 minut
 
     In append mode an hour is emitted once, when the watermark has passed its end.
     """
-    timed = silver.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    timed = silver.withColumn("event_time", as_instant(silver, "event_time"))
     wide = (
         timed.withWatermark("event_time", late_by)
         .groupBy(*SITE, F.window("event_time", "1 hour").alias("_window"))
