@@ -462,7 +462,7 @@ def json_pages(t: Tables) -> DataFrame:
     return bronze.accepted(rows, "event_time").select(*SOIL)
 
 
-def _raw_deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
+def raw_deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
     raw = t.raw_soil()
     time = F.col("local_time")
     return (
@@ -474,7 +474,7 @@ def _raw_deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query
 def append_absent_table(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "bronze")
-    for part in _raw_deliveries(t):
+    for part in raw_deliveries(t):
         rows = bronze.soil_from_raw(part, OFFSET_PATTERN)
         append_absent(bronze.accepted(rows, "event_time"), path, ["ID"], ["event_time"])
     return read_table(t.spark, path).select(*SOIL)
@@ -485,7 +485,7 @@ def stream_dedup(t: Tables) -> DataFrame:
     landing = scratch_path(t.spark, "landing")
     table = scratch_path(t.spark, "bronze")
     checkpoint = scratch_path(t.spark, "checkpoint")
-    for part in _raw_deliveries(t):
+    for part in raw_deliveries(t):
         land_pages(t, part, landing)
         ingest_pages(t.spark, landing, table, checkpoint).awaitTermination()
     return read_table(t.spark, table).select(*SOIL)

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from loamline.operators.keyed import absent_rows
+from loamline.operators.keyed import absent_rows, first_per_key
+from loamline.sources.incremental import read_if_exists
 
 
 def stamp(df: DataFrame, *names: str) -> DataFrame:
@@ -65,9 +66,6 @@ def append_absent(
 
     Running it again with the same rows adds nothing. One writer at a time.
     """
-    from loamline.operators.keyed import first_per_key
-    from loamline.sources.incremental import read_if_exists
-
     existing = read_if_exists(new.sparkSession, path)
     rows = (
         first_per_key(new, key, order)

@@ -80,6 +80,16 @@ def test_pages(spark, tmp_path):
     assert read_pages(spark, [str(tmp_path / "b.json")], one_page_per_file=True).count() == 1
 
 
+def test_site_pages(spark, tables, tmp_path):
+    site = {"site_id": 3, "site_name": "S", "property_name": "P", "latitude": -37.8, "longitude": None}
+    pages = [{"results": [site, {**site, "latitude": 1}]}, {"results": [{**site, "site_id": None}]}]
+    (tmp_path / "sites.json").write_text("\n".join(map(json.dumps, pages)))
+    pipeline = Pipeline(spark, Lake(str(tmp_path / "lake")))
+    assert pipeline.ingest_sites_pages(str(tmp_path / "sites.json")) == 1
+    row = read_table(spark, pipeline.lake.path("bronze", "sites")).first()
+    assert (row.site_id, row.latitude, row.longitude) == (3, -37.8, None)
+
+
 def test_missing_table(spark, tmp_path):
     assert read_if_exists(spark, str(tmp_path / "nothing")) is None
     with pytest.raises(ValueError, match="probe_id"):
@@ -171,11 +181,11 @@ def test_pipeline_equals_direct_computation(spark, tables, tmp_path):
 
 
 def test_incremental_pages_pipeline(spark, tables, tmp_path):
-    from loamline.demo.catalog import _raw_deliveries, land_pages
+    from loamline.demo.catalog import land_pages, raw_deliveries
 
     lake = Lake(str(tmp_path / "lake"))
     pipeline = Pipeline(spark, lake)
-    first, second = _raw_deliveries(tables)
+    first, second = raw_deliveries(tables)
     land_pages(tables, first, str(tmp_path / "p1"))
     land_pages(tables, second, str(tmp_path / "p2"))
     n = pipeline.ingest_soil_pages(str(tmp_path / "p1"))

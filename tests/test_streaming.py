@@ -1,11 +1,10 @@
-from datetime import datetime, timedelta
+from datetime import timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
-from loamline.demo.catalog import _raw_deliveries, land_pages
+from loamline.demo.catalog import land_pages, raw_deliveries
 from loamline.plans.gold import gold_hourly
-from loamline.streaming.ingest import first_seen, ingest_pages, stream_pages
+from loamline.streaming.ingest import first_seen, ingest_pages
 from loamline.streaming.rollup import append_closed_hours, hourly_stream
 from tests.conftest import same_rows
 
@@ -14,7 +13,7 @@ COLUMNS = ["ID", "Site_ID", "Probe_Measure", "Soil_Value"]
 
 def test_ingest_is_idempotent_and_keeps_late_rows(spark, tables, tmp_path):
     landing, table = str(tmp_path / "landing"), str(tmp_path / "bronze")
-    early, late = _raw_deliveries(tables)
+    early, late = raw_deliveries(tables)
 
     def run(checkpoint):
         query = ingest_pages(spark, landing, table, str(tmp_path / checkpoint), files_per_batch=2)
