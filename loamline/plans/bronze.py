@@ -52,7 +52,7 @@ def weather_with_date(feed: DataFrame) -> DataFrame:
     return feed.withColumn("date", calendar_date(F.col("year"), F.col("month"), F.col("day")))
 
 
-def site_rows(text: DataFrame) -> DataFrame:
+def site_rows(text: DataFrame, *keep: str) -> DataFrame:
     """Typed site rows from text, with the reason for those that cannot be used."""
 
     def number(name: str, kind: str) -> Column:
@@ -62,6 +62,7 @@ def site_rows(text: DataFrame) -> DataFrame:
         return F.col(name).isNotNull() & number(name, kind).isNull()
 
     return text.select(
+        *keep,
         number("site_id", "int").alias("site_id"),
         clean_text(F.col("site_name")).alias("site_name"),
         clean_text(F.col("property_name")).alias("property_name"),
@@ -76,9 +77,10 @@ def site_rows(text: DataFrame) -> DataFrame:
 
 
 def sites_dimension(text: DataFrame) -> DataFrame:
-    """One row per site_id. Missing coordinates stay NULL."""
-    good = site_rows(text).filter("reject_reason IS NULL").drop("reject_reason")
-    return first_per_key(good, ["site_id"])
+    """One row per site_id, the first in the order of the file. Missing coordinates stay NULL."""
+    numbered = text.withColumn("_line", F.monotonically_increasing_id())
+    good = site_rows(numbered, "_line").filter("reject_reason IS NULL").drop("reject_reason")
+    return first_per_key(good, ["site_id"], ["_line"]).drop("_line")
 
 
 def accepted(df: DataFrame, column: str) -> DataFrame:

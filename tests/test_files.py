@@ -24,7 +24,7 @@ def test_sites_csv(spark, tmp_path):
     path.write_text(
         "﻿Site_ID , Site_Name ,Property_Name,Latitude,Longitude\n"
         " 7 , North Lawn ,, -37.8 ,144.9\n"
-        "7,Second,x,1,2\n"
+        "7,Another name,x,1,2\n"
         ",No id,x,1,2\n"
         "x1,Bad id,x,1,2\n"
         "8,Bad latitude,x,south,2\n"
