@@ -8,8 +8,8 @@ WORDS = ("Moisture", "Temperature", "Salinity", "Conductivity")
 
 
 def r(expression: str) -> str:
-    """Six decimal places, without a negative zero."""
-    return f"round({expression}, 6) + 0.0"
+    """Six decimal places, rounded as a decimal of ten so that summation noise cannot decide a tie."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(30, 10)), 6) AS DOUBLE)"
 
 
 def text_part(pattern: str) -> str:
