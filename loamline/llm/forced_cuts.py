@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
+from loamline.llm.shared import arrow_map
 from loamline.llm.token_counts import BATCH_BYTES, PLAIN, REMEMBERED, byte_names, tokenizer
 
 # Fixed value: the word vocabulary's split pattern.
@@ -172,7 +173,8 @@ def bpe_round_trip(
 
     chosen = docs.select(id_column, F.col(text_column).cast("string"))
     kind = docs.schema[id_column].dataType.simpleString()
-    return chosen.mapInArrow(
+    return arrow_map(
+        chosen,
         batches, f"`{id_column}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
 
@@ -193,7 +195,7 @@ def encoded(
                 [*part.columns, ids], names=[*part.schema.names, to]
             )
 
-    return docs.drop(to).mapInArrow(batches, schema)
+    return arrow_map(docs.drop(to), batches, schema)
 
 
 def _row_ids(raw: np.ndarray, rows: np.ndarray, table: PieceTable) -> pa.Array:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
+from loamline.llm.shared import arrow_map
 
 BATCH_BYTES = 16 << 20
 REMEMBERED = 600_000
@@ -126,6 +127,7 @@ def token_counts(
 
     chosen = docs.select(id_column, F.col(text_column).cast("string"))
     kind = docs.schema[id_column].dataType.simpleString()
-    return chosen.mapInArrow(
+    return arrow_map(
+        chosen,
         batches, f"`{id_column}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
     )
