@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.llm import line_quality, secrets, urls
+from loamline.llm.chosen_path import near_duplicates
 from loamline.llm.fingerprints import fingerprints
 from loamline.llm.forced_cuts import bpe_round_trip
+from loamline.llm.id_files import id_round_trip
 from loamline.llm.mixing import Mix, drawn
+from loamline.llm.repeated_units import without_repeats
 from loamline.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +41,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = line_quality.train(docs, table(spark, sf_dir, "labels"))
@@ -70,19 +77,30 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_token_counts,
+        op2_repeated_units,
         op3_line_quality,
         op4_source_mix,
         op5_bpe_round_trip,
         op6_url_filter,
         op7_secret_scan,
+        op8_id_files,
         op9_fingerprints,
+        op10_near_duplicates,
     )
     return {fn.__name__: fn for fn in named}
 

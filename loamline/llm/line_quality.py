@@ -8,11 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.pieces import text_bytes
+from loamline.llm.pieces import by_bytes, span_codes, text_bytes, word_spans
 from loamline.llm.shared import arrow_map
 
 # Fixed values of the base rules.
@@ -26,8 +25,6 @@ LEAST_CONTENT_SHARE = 0.5
 TRAINING_ROWS = 4_000
 BATCH_BYTES = 8 << 20
 
-_BREAK = np.zeros(256, dtype=bool)
-_BREAK[[0x20, *range(0x09, 0x0E)]] = True
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
 _UPPER = np.zeros(256, dtype=bool)
@@ -84,20 +81,6 @@ class Measured:
         )
 
 
-def _codes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A number for each distinct span of bytes."""
-    if len(starts) == 0:
-        return np.zeros(0, dtype=np.int64)
-    edges = np.empty(2 * len(starts) + 1, dtype=np.int64)
-    edges[0:-1:2], edges[1::2], edges[-1] = starts, stops, stops[-1]
-    array = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(),
-        2 * len(starts),
-        [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))],
-    )
-    return array.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def _renumber(values: np.ndarray) -> np.ndarray:
     return pd.factorize(values)[0].astype(np.int64)
 
@@ -130,20 +113,16 @@ def _repeated(word_row: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 def measured(raw: np.ndarray, rows: np.ndarray) -> Measured:
     n = len(rows) - 1
-    filled = np.zeros(len(raw) + 2, dtype=bool)
-    filled[1:-1] = ~_BREAK[raw]
-    # Texts touch in the buffer, so a word also ends where its text does.
-    edge = np.zeros(len(raw) + 1, dtype=bool)
-    edge[rows] = True
-    starts = np.flatnonzero(filled[1:-1] & (edge[:-1] | ~filled[:-2]))
-    stops = np.flatnonzero(filled[1:-1] & (edge[1:] | ~filled[2:])) + 1
+    starts, stops = word_spans(raw, rows)
     word_row = np.searchsorted(rows, starts, side="right") - 1
-    codes = _codes(raw, starts, stops)
+    codes = span_codes(raw, starts, stops)
     repeated = _repeated(word_row, codes)
     lead = (raw & 0xC0) != 0x80
     chars = np.concatenate([[0], np.cumsum(lead, dtype=np.int64)])
     word_chars = chars[stops] - chars[starts]
 
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge[rows] = True
     edge[1:] |= raw == 0x0A
     line_starts = np.flatnonzero(edge[:-1])
     line_row = np.searchsorted(rows, line_starts, side="right") - 1
@@ -152,7 +131,7 @@ def measured(raw: np.ndarray, rows: np.ndarray) -> Measured:
     line_words = np.bincount(word_line, minlength=len(line_starts))
     used = np.flatnonzero(line_words > 0)
     line_stops = bounds[1:] - (raw[bounds[1:] - 1] == 0x0A)
-    line_codes = _codes(raw, line_starts[used], line_stops[used])
+    line_codes = span_codes(raw, line_starts[used], line_stops[used])
     keys = line_row[used] * (int(line_codes.max()) + 1 if len(used) else 1) + line_codes
     first = np.zeros(len(used), dtype=bool)
     first[np.unique(keys, return_index=True)[1]] = True
@@ -375,7 +354,7 @@ def quality(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            yield from (_judged(cut, field, id_column, least_share) for cut in by_bytes(part, 1))
+            yield from (_judged(cut, field, id_column, least_share) for cut in by_bytes(part, 1, BATCH_BYTES))
 
     kind = docs.schema[id_column].dataType.simpleString()
     return arrow_map(
@@ -387,13 +366,22 @@ def quality(
     )
 
 
-def by_bytes(part: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``most`` bytes of text each."""
-    sizes = pc.fill_null(pc.binary_length(part.column(column)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes, dtype=np.int64) // most
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), part.num_rows]
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield part.slice(a, b - a)
+def kept(
+    docs: DataFrame,
+    field: LineField,
+    text_column: str = "text",
+    least_share: float = LEAST_CONTENT_SHARE,
+) -> DataFrame:
+    """The rows of ``docs`` whose verdict is to keep them (see :func:`quality`), all columns as they are."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            at = part.schema.get_field_index(text_column)
+            for cut in by_bytes(part, at, BATCH_BYTES):
+                verdict = _judged(pa.RecordBatch.from_arrays([cut.column(at)] * 2, names=["a", "b"]), field, "a", least_share)
+                yield cut.filter(verdict.column("kept"))
+
+    return arrow_map(docs, batches, docs.schema)
 
 
 def _judged(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loamline.llm.shared import stored
 
 # Ranges of the shuffled order that one leaf is divided into, per this many rows.
-ROWS_PER_RANGE = 5_000
+ROWS_PER_RANGE = 1_000
 SPACE = 1 << 62
 
 

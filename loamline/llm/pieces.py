@@ -76,3 +76,44 @@ def distinct_pieces(
     )
     coded = array.dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def by_bytes(part: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each."""
+    sizes = pc.fill_null(pc.binary_length(part.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), part.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield part.slice(a, b - a)
+
+
+def word_spans(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the maximal runs without ASCII white space, none across two rows."""
+    filled = np.zeros(len(raw) + 2, dtype=bool)
+    filled[1:-1] = ~_SPACE[raw]
+    # Texts touch in the buffer, so a word also ends where its text does.
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge[rows] = True
+    starts = np.flatnonzero(filled[1:-1] & (edge[:-1] | ~filled[:-2]))
+    stops = np.flatnonzero(filled[1:-1] & (edge[1:] | ~filled[2:])) + 1
+    return starts, stops
+
+
+def coded_spans(
+    raw: np.ndarray, starts: np.ndarray, stops: np.ndarray
+) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """Which distinct bytes each span holds, and those bytes."""
+    edges = np.empty(2 * len(starts) + 1, dtype=np.int64)
+    edges[0:-1:2], edges[1::2], edges[-1] = starts, stops, stops[-1] if len(stops) else 0
+    array = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(),
+        2 * len(starts),
+        [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))],
+    )
+    coded = array.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def span_codes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A number for each distinct span of bytes."""
+    return coded_spans(raw, starts, stops)[0]
