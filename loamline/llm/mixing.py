@@ -159,8 +159,12 @@ def cuts(measures: DataFrame, leaves: DataFrame) -> DataFrame:
         .groupBy(*levels)
         .agg(F.min("__place").alias("cut"))
     )
+    # Whole epochs that use up the budget leave nothing for another one.
+    cut = F.when((F.col("tokens") > 0) & (F.col("rest") <= 0), 0).otherwise(
+        F.coalesce("cut", F.lit(SPACE))
+    )
     return plan.join(first_out, levels, "left").select(
-        *levels, F.col("full").cast("int").alias("full"), F.coalesce("cut", F.lit(SPACE)).alias("cut")
+        *levels, F.col("full").cast("int").alias("full"), cut.alias("cut")
     )
 
 
