@@ -8,11 +8,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Kinds in their order, pattern, the group whose length counts, and its least length.
+# A run of at least 16 digits found from the left is a whole run, so short ones need no match.
 KINDS = (
     (
         "assign",
@@ -21,17 +24,23 @@ KINDS = (
         12,
     ),
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
-    ("hex", r"(?<![0-9a-f])[0-9a-f]{16,}", 0, 16),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
+# Words without which a pattern cannot match; looking for them is far cheaper than the pattern.
+NEEDED = {
+    "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
+    "access": ("akia",),
+}
 METHOD_KIND = "markov"
 
 # The characters that the models know run from + to z.
 FIRST, CODES = ord("+"), ord("z") - ord("+") + 1
 RUN = "A-Za-z0-9+/_=-"
 LEAST_RUN = 20
-CANDIDATE = rf"(?<![{RUN}])[{RUN}]{{{LEAST_RUN},}}"
+CANDIDATE = rf"[{RUN}]{{{LEAST_RUN},}}"
 IDENTIFIER = r"(?<![\p{L}\p{N}_-])[A-Za-z][A-Za-z0-9_-]{5,}(?![\p{L}\p{N}_-])"
-TRAINING_ROWS = 20_000
+TRAINING_ROWS = 4_000
+WORDS_PER_TEXT = 50
 BLOCK = 256
 
 
@@ -54,10 +63,19 @@ def running_starts(sizes: Column) -> Column:
     )
 
 
-def matches(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
+def matches(
+    text: Column,
+    pattern: str,
+    group: int,
+    least: int,
+    rank: int,
+    small: Column | None = None,
+    needed: Iterable[str] = (),
+) -> Column:
     """Spans of the matches (leftmost, not overlapping) whose group is long enough.
 
-    Text is cut at the matches; the lengths of cuts and matches in turn give the positions.
+    Text is cut at the matches; the lengths of cuts and matches in turn give the positions. Where
+    ``small``, the text in lower case, holds none of the ``needed`` words, there are no matches.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), lambda s: F.length(s).cast("bigint"))
@@ -82,7 +100,10 @@ def matches(text: Column, pattern: str, group: int, least: int, rank: int) -> Co
         ),
     )
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,text:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(none)
+    possible = F.rlike(text, F.lit(pattern))
+    if needed:
+        possible = reduce(or_, [small.contains(word) for word in needed]) & possible
+    return F.when(possible, spans).otherwise(none)
 
 
 def codes_of(text: Column) -> Column:
@@ -154,25 +175,22 @@ def train(samples: DataFrame, text: str = "text", label: str = "label", **limits
 def labelled_strings(
     docs: DataFrame, text_column: str = "text", rows: int = TRAINING_ROWS
 ) -> DataFrame:
-    """Labelled samples from at most ``rows`` documents, chosen by a hash of the text.
+    """Labelled samples from at most ``rows`` different texts, chosen by their hashes.
 
     Random strings are base-64, hexadecimal and capital digests of the texts; ordinary identifiers
     are words of those documents in which no fixed pattern matches.
     """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    digest = F.sha2(text, 256)
-    chosen = (
-        docs.select(text.alias("text"))
-        .filter(F.length("text") > 0)
-        .withColumn("order", F.xxhash64("text"))
-        .orderBy("order", "text")
-        .limit(rows)
-    )
+    own = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    own = own.filter(F.length("text") > 0).withColumn("order", F.xxhash64("text"))
+    # Only hashes are put in order; the last one chosen then filters the texts.
+    least = own.select("order").distinct().orderBy("order").limit(rows)
+    last = least.agg(F.max("order")).first()[0]
+    chosen = own.filter(F.col("order") <= F.lit(last)).dropDuplicates(["order"])
     text, digest = F.col("text"), F.sha2(F.col("text"), 256)
     base64 = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
     random = F.array(base64, digest, F.upper(F.substring(digest, 1, 24)))
     clean = ~F.rlike(text, F.lit("|".join(f"({p})" for _, p, _, _ in KINDS[::-1])))
-    words = F.slice(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0)), 1, 200)
+    words = F.slice(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0)), 1, WORDS_PER_TEXT)
     return chosen.select(F.lit(1).alias("label"), F.explode(random).alias("text")).unionByName(
         chosen.filter(clean).select(F.lit(0).alias("label"), F.explode(words).alias("text"))
     )
@@ -194,7 +212,12 @@ def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     base = F.array_sort(
-        F.concat(*[matches(text, p, g, n, rank) for rank, (_, p, g, n) in enumerate(KINDS)])
+        F.concat(
+            *[
+                matches(text, p, g, n, rank, F.col("small_text"), NEEDED.get(kind, ()))
+                for rank, (kind, p, g, n) in enumerate(KINDS)
+            ]
+        )
     )
     runs = matches(text, CANDIDATE, 0, LEAST_RUN, len(KINDS))
     apart = F.filter(
@@ -205,10 +228,11 @@ def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -
         & models.random(r["text"]),
     )
     return (
-        docs.withColumn("base_spans", base)
+        docs.withColumn("small_text", F.lower(text))
+        .withColumn("base_spans", base)
         .withColumn("run_spans", runs)
         .withColumn("all_spans", F.array_sort(F.concat("base_spans", apart)))
-        .drop("run_spans")
+        .drop("run_spans", "small_text")
     )
 
 
