@@ -12,6 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map
@@ -183,7 +184,7 @@ def encoded(
     docs: DataFrame, path: str, text_column: str = "text", to: str = "token_ids"
 ) -> DataFrame:
     """``docs`` with the ids of each text as a column ``to`` (array of int; empty for NULL)."""
-    schema = docs.drop(to).schema.add(to, "array<int>")
+    schema = docs.drop(to).schema.add(to, ArrayType(IntegerType()))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PieceTable(path)

@@ -198,6 +198,8 @@ def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
         shift, span = _due(low, span)
         if shift.any():
             rows = np.flatnonzero(shift)
+            if used[rows].max() >= words.shape[1]:
+                raise ValueError("damaged block")
             code[rows] = (code[rows] << _WORD) | words[rows, used[rows]]
             used[rows] += 1
             low[rows] <<= _WORD
@@ -252,12 +254,14 @@ def read_file(data: bytes) -> tuple[np.ndarray, Iterator[np.ndarray]]:
     counts = np.frombuffer(tail, dtype="<u4").astype(np.int64)
     if counts.sum() != total:
         raise ValueError("ids are missing")
-    return counts, _groups(data, alphabet, total)
+    return counts, _groups(data, alphabet, block, total)
 
 
-def _groups(data: bytes, alphabet: int, total: int) -> Iterator[np.ndarray]:
+def _groups(data: bytes, alphabet: int, block: int, total: int) -> Iterator[np.ndarray]:
     at, group, seen = 8 + HEAD.size, [], 0
     while True:
+        if at + FRAME.size > len(data):
+            raise ValueError("damaged block")
         n, size, crc = FRAME.unpack_from(data, at)
         at += FRAME.size
         if group and (n != group[0][0] or len(group) == ABREAST):
@@ -270,6 +274,8 @@ def _groups(data: bytes, alphabet: int, total: int) -> Iterator[np.ndarray]:
             group = []
         if n == 0:
             break
+        if n > block or size % 4 or size < 8 or at + size > len(data):
+            raise ValueError("damaged block")
         group.append((n, data[at : at + size], crc))
         at += size
     if seen != total:

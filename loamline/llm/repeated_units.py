@@ -141,7 +141,7 @@ def removed_spans(found: DataFrame) -> DataFrame:
     rows = repeats(found).select(
         "id", "hash", F.struct("pos", "begin", "end", "lead", "first").alias("unit")
     )
-    lists = rows.groupBy("id", "hash").agg(F.sort_array(F.collect_list("unit")).alias("units"))
+    lists = rows.groupBy("id", "hash").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 
     def span(unit: Column, at: Column) -> Column:
         before = F.get("units", at - 1)

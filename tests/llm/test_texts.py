@@ -233,7 +233,7 @@ def test_redaction_keeps_all_else(spark, models):
     assert got.columns == docs.columns and got.count() == len(ODD)
     texts = {r.doc_id: r.text for r in got.filter("doc_id in (1, 3, 6, 13)").collect()}
     assert texts[1] == dict(ODD)[1] and texts[3] is None
-    assert texts[6] == prose(2) + " [SECRET] end"
+    assert texts[6] == prose(2) + ' [SECRET]" end'
     assert texts[13] == '[SECRET] password: short [SECRET], [SECRET]"'
 
 
@@ -333,7 +333,7 @@ def test_odd_rows_have_fingerprints(spark):
 def test_collisions_follow_generalised_jaccard(spark):
     one = {f"t{i}": i % 7 + 1 for i in range(60)}
     two = {f"t{i}": (i * 3) % 5 + 1 for i in range(20, 80)}
-    rows = [(side, t, w) for side, terms in (("a", one), ("b", two)) for t, w in terms.items()]
+    rows = [(side, t, float(w)) for side, terms in (("a", one), ("b", two)) for t, w in terms.items()]
     terms = spark.createDataFrame(rows, "side string, term string, weight double")
     signed = {r.side: r.signature for r in prints.signatures(terms, ["side"], "term", "weight", 256).collect()}
     share = sum(x == y for x, y in zip(signed["a"], signed["b"])) / 256

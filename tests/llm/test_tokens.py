@@ -113,12 +113,11 @@ def test_repetition_compresses_and_damage_is_noticed():
     ids = np.tile(np.arange(100), 200)
     data = written(ids, [len(ids)])
     assert len(data) < 0.1 * 2 * len(ids)
-    for at in (9, 40, len(data) // 2, len(data) - 3):
+    for at in (4, 18, 40, len(data) // 2, len(data) - 3):
         bad = bytearray(data)
         bad[at] ^= 1
-        with pytest.raises((ValueError, MemoryError)):
-            if read(bytes(bad)) == read(data):
-                raise ValueError("not noticed") from AssertionError()
+        with pytest.raises(ValueError):
+            read(bytes(bad))
 
 
 def test_id_files_over_many_files(spark):
