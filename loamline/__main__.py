@@ -7,6 +7,7 @@ import argparse
 from loamline.config import Settings
 from loamline.plans.pipeline import Lake, Pipeline
 from loamline.session import get_spark
+from loamline.sinks import Ingested
 
 STEPS_WITH_INPUT = {
     "ingest-soil": lambda p, path: p.ingest_soil(path),
@@ -46,7 +47,10 @@ def main(argv: list[str] | None = None) -> None:
         result = STEPS_WITH_INPUT[args.step](pipeline, args.input)
     else:
         result = STEPS[args.step](pipeline)
-    print(f"{args.step}: {'done' if result is None else f'{result} rows'}")
+    if isinstance(result, Ingested):
+        print(f"{args.step}: {result.added} rows added, {result.rejected} set aside")
+    else:
+        print(f"{args.step}: {'done' if result is None else f'{result} rows'}")
 
 
 if __name__ == "__main__":

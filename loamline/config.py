@@ -36,8 +36,9 @@ class Settings:
     shallow_to_cm: int = 40
     irrigate_below: float = IRRIGATE_BELOW
     rain_cutoff_mm: float = RAIN_CUTOFF_MM
-    weather_from: date = WEATHER_FROM
-    first_load: datetime = FIRST_LOAD
+    # None lifts either bound.
+    weather_from: date | None = WEATHER_FROM
+    first_load: datetime | None = FIRST_LOAD
     overlap: timedelta = OVERLAP
     chunk: timedelta = CHUNK
     min_rows: int = MIN_ROWS
@@ -58,10 +59,21 @@ class Settings:
 
     @classmethod
     def from_json(cls, path: str) -> Settings:
-        """Read a JSON file with a ``thresholds`` section; what it leaves out keeps its default."""
+        """Read a JSON file; what it leaves out keeps its default.
+
+        ``thresholds`` holds limits, the irrigation threshold and the gate's minimums (``min_rows``,
+        ``min_sites``), ``api.timezone`` the zone of days and hours, ``bounds`` the first day of
+        weather and the first load (``weather_from``, ``first_load``; null for no bound).
+        """
         with open(path, encoding="utf-8") as fh:
-            t = json.load(fh).get("thresholds", {})
+            sections = json.load(fh)
+        t, bounds = sections.get("thresholds", {}), sections.get("bounds", {})
         base = cls()
+
+        def bound(name: str, kind):
+            text = bounds.get(name, "")
+            return getattr(base, name) if text == "" else text and kind.fromisoformat(text)
+
         ranges = {
             m: (float(t.get(f"{m.lower()}_min", lo)), float(t.get(f"{m.lower()}_max", hi)))
             for m, (lo, hi) in base.ranges.items()
@@ -69,4 +81,9 @@ class Settings:
         return base.but(
             ranges=ranges,
             irrigate_below=float(t.get("soil_moisture_irrigate", base.irrigate_below)),
+            min_rows=int(t.get("min_rows", base.min_rows)),
+            min_sites=int(t.get("min_sites", base.min_sites)),
+            timezone=sections.get("api", {}).get("timezone", base.timezone),
+            weather_from=bound("weather_from", date),
+            first_load=bound("first_load", datetime),
         )

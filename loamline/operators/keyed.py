@@ -3,24 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the first by ``order``, then by all other columns. Rows without a key are
-    left out. The minimum combines on the map side, so a key with many copies does not pile up."""
+    """One row per key: the first by ``order``, then by all other columns.
+
+    Rows without a key are not part of the result; see :func:`without_key`. Spark keeps only the
+    first row of a key before it shuffles, so a key with many copies does not pile up.
+    """
     rest = [c for c in df.columns if c not in key and c not in order]
-    ranked = F.struct(*order, *rest)
+    ranked = Window.partitionBy(*key).orderBy(*order, *rest)
     return (
         df.dropna(subset=list(key))
-        .groupBy(*key)
-        .agg(F.min(ranked).alias("_row"))
-        .select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+        .withColumn("_rank", F.row_number().over(ranked))
+        .filter("_rank = 1")
+        .drop("_rank")
     )
 
 
+def without_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows that keyed operations cannot place, because a part of their key is NULL."""
+    return df.filter(reduce(or_, [F.col(c).isNull() for c in key]))
+
+
 def absent_rows(
     new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:

@@ -23,11 +23,16 @@ def missing_columns(df: DataFrame) -> list[str]:
 def quality_report(silver: DataFrame, settings: Settings, extra_ranges: bool = False) -> DataFrame:
     """One row per check: what was observed, what is expected, whether it passed.
 
-    ``extra_ranges`` adds range checks for the measures other than moisture.
+    ``extra_ranges`` adds range checks for the measures other than moisture. Missing columns are a
+    failed check like the others; the checks that need them then see NULL in their place.
     """
     missing = missing_columns(silver)
-    if missing:
-        raise QualityError(f"missing columns: {missing}")
+    silver = silver.withColumns(
+        {
+            c: F.lit(None).cast("double" if c == "soil_value" else "string")
+            for c in [*missing, *(k for k in UNIQUE_KEY if k not in silver.columns)]
+        }
+    )
 
     def outside(measure: str):
         lo, hi = settings.ranges[measure]
@@ -66,7 +71,7 @@ def quality_report(silver: DataFrame, settings: Settings, extra_ranges: bool = F
                 checks.append(("extra", name, "=", 0))
 
     totals = silver.agg(*[c.alias(n) for n, c in observed.items()]).withColumn(
-        "missing_columns", F.lit(0).cast("bigint")
+        "missing_columns", F.lit(len(missing)).cast("bigint")
     )
     rows = F.array(
         *[
@@ -87,6 +92,7 @@ def assert_quality(silver: DataFrame, settings: Settings, extra_ranges: bool = F
     """Raise when a check fails; otherwise return the table unchanged."""
     report = quality_report(silver, settings, extra_ranges).collect()  # a dozen rows at most
     failed = [f"{r.check_name}: {r.observed} (expected {r.expected})" for r in report if not r.passed]
+    failed += [f"missing column {c}" for c in missing_columns(silver)]
     if failed:
         raise QualityError("silver quality checks failed: " + "; ".join(failed))
     return silver

@@ -22,6 +22,10 @@ SOIL_COLUMNS = {
 }
 
 
+# Where a row of a text file stands: its file, the start of its part, its number.
+PLACE = ("_file", "_block", "_line")
+
+
 def soil_from_raw(raw: DataFrame, pattern: str | None = None) -> DataFrame:
     """Raw readings under their bronze names with ``event_time``, NULL where it cannot be read.
 
@@ -77,10 +81,20 @@ def site_rows(text: DataFrame, *keep: str) -> DataFrame:
 
 
 def sites_dimension(text: DataFrame) -> DataFrame:
-    """One row per site_id, the first in the order of the file. Missing coordinates stay NULL."""
-    numbered = text.withColumn("_line", F.monotonically_increasing_id())
-    good = site_rows(numbered, "_line").filter("reject_reason IS NULL").drop("reject_reason")
-    return first_per_key(good, ["site_id"], ["_line"]).drop("_line")
+    """One row per site_id, the first in the order of file names and lines. Missing coordinates
+    stay NULL. Rows that say nothing about their place fall to the least one."""
+    place = place_of(text)
+    good = site_rows(text, *place).filter("reject_reason IS NULL").drop("reject_reason")
+    return first_rows(good, place).drop(*place)
+
+
+def first_rows(sites: DataFrame, place: list[str]) -> DataFrame:
+    return first_per_key(sites, ["site_id"], place)
+
+
+def place_of(text: DataFrame) -> list[str]:
+    """Columns that say where a row stands in its files; readers of site lists add them."""
+    return [c for c in PLACE if c in text.columns]
 
 
 def accepted(df: DataFrame, column: str) -> DataFrame:

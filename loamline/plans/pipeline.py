@@ -4,22 +4,38 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loamline.config import Settings
 from loamline.operators.quality import assert_quality
-from loamline.plans import bronze, gold, silver
-from loamline.schemas import RAW_SOIL, SITE_RECORD, WEATHER_VALUE, require_columns
-from loamline.sinks import append_absent, connection, load_tables, write_table
-from loamline.sources import (
-    incremental_slice,
-    read_if_exists,
-    read_pages,
-    read_sites_csv,
-    read_table,
-    read_weather_csv,
+from loamline.operators.summary import day_of
+from loamline.plans import bronze, gold, ingest, silver
+from loamline.schemas import (
+    OPTIONAL_SOIL,
+    RAW_SOIL,
+    SILVER_SOIL,
+    SILVER_WEATHER,
+    SITES,
+    STORED,
+    WEATHER_VALUE,
+    conform,
+    require_columns,
 )
+from loamline.session import scratch_path
+from loamline.sinks import (
+    Ingested,
+    append_absent,
+    connection,
+    load_tables,
+    replace_partitions,
+    set_aside,
+    store_rejects,
+    write_table,
+)
+from loamline.sources import page_lines, read_sites_csv, read_table, read_weather_csv
 
 
 @dataclass(frozen=True)
@@ -39,49 +55,59 @@ class Pipeline:
     settings: Settings = Settings()
 
     def _read(self, layer: str, table: str) -> DataFrame:
-        return read_table(self.spark, self.lake.path(layer, table))
+        return read_table(self.spark, self.lake.path(layer, table), STORED.get((layer, table)))
 
-    def ingest_soil(self, raw_path: str) -> int:
-        """Replace bronze readings by a historical parquet file."""
-        raw = require_columns(read_table(self.spark, raw_path), RAW_SOIL)
-        rows = bronze.accepted(bronze.soil_from_raw(raw), "event_time")
-        return write_table(
-            rows,
-            self.lake.path("bronze", "soil_readings"),
+    def ingest_soil(self, raw_path: str) -> Ingested:
+        """Replace bronze readings by a historical parquet file; rows without a time are set aside."""
+        path = self.lake.path("bronze", "soil_readings")
+        raw = require_columns(read_table(self.spark, raw_path), RAW_SOIL, OPTIONAL_SOIL)
+        read = bronze.soil_from_raw(raw.withColumn("_raw", F.struct("*")))
+        problem = F.when(F.col("event_time").isNull(), "unreadable time")
+        aside = set_aside(
+            read.filter(problem.isNotNull()).select("_raw.*"), F.lit("unreadable time"), F.lit(raw_path)
+        )
+        rejected = store_rejects(aside, path)
+        added = write_table(
+            ingest.soil_rows(read.filter(problem.isNull()).drop("_raw")),
+            path,
+            partition_by=("event_day",),
             stamps=("ingested_at", "ingested_date"),
         )
+        return Ingested(added, rejected)
 
-    def ingest_soil_pages(self, pages_path: str | list[str]) -> int:
-        """Append what landed pages bring from the high-water mark (less the overlap) on."""
-        path = self.lake.path("bronze", "soil_readings")
-        rows = bronze.accepted(
-            bronze.soil_from_records(read_pages(self.spark, pages_path)), "event_time"
+    def ingest_soil_pages(self, pages_path: str | list[str]) -> Ingested:
+        """Append the readings of landed pages that the table lacks, however late they come."""
+        return ingest.add_soil_lines(
+            page_lines(self.spark, pages_path), self.lake.path("bronze", "soil_readings")
+        )
+
+    def ingest_weather(self, feed: str, csv_path: str) -> Ingested:
+        path = self.lake.path("bronze", f"weather_{feed}")
+        rows, aside = ingest.dated_weather(read_weather_csv(self.spark, csv_path, feed))
+        rejected = store_rejects(aside, path)
+        return Ingested(write_table(rows, path, stamps=("ingested_at",)), rejected)
+
+    def ingest_sites_csv(self, csv_path: str) -> Ingested:
+        rows, aside = ingest.sites_from_text(
+            read_sites_csv(self.spark, csv_path), F.lit(csv_path)
         )
-        rows = incremental_slice(rows, read_if_exists(self.spark, path), self.settings)
         return append_absent(
-            rows, path, ["ID"], ["event_time"], stamps=("ingested_at", "ingested_date")
+            conform(rows, SITES), self.lake.path("bronze", "sites"), ["site_id"], rejects=aside
         )
 
-    def ingest_weather(self, feed: str, csv_path: str) -> int:
-        dated = bronze.weather_with_date(read_weather_csv(self.spark, csv_path, feed))
-        return write_table(
-            bronze.accepted(dated, "date"),
-            self.lake.path("bronze", f"weather_{feed}"),
-            stamps=("ingested_at",),
-            single_file=True,
+    def ingest_sites_pages(self, pages_path: str) -> Ingested:
+        text, broken = ingest.site_records(page_lines(self.spark, pages_path))
+        rows, aside = ingest.sites_from_text(text, F.lit(pages_path))
+        return append_absent(
+            conform(rows, SITES),
+            self.lake.path("bronze", "sites"),
+            ["site_id"],
+            rejects=aside.unionByName(broken),
         )
 
-    def ingest_sites_csv(self, csv_path: str) -> int:
-        sites = bronze.sites_dimension(read_sites_csv(self.spark, csv_path))
-        return append_absent(sites, self.lake.path("bronze", "sites"), ["site_id"])
-
-    def ingest_sites_pages(self, pages_path: str) -> int:
-        sites = bronze.sites_dimension(read_pages(self.spark, pages_path, SITE_RECORD))
-        return append_absent(sites, self.lake.path("bronze", "sites"), ["site_id"])
-
     def silver_soil(self) -> int:
         return write_table(
-            silver.silver_soil(self._read("bronze", "soil_readings"), self.settings),
+            conform(silver.silver_soil(self._read("bronze", "soil_readings"), self.settings), SILVER_SOIL),
             self.lake.path("silver", "soil_readings"),
             partition_by=("measure_type",),
             stamps=("transformed_at",),
@@ -90,10 +116,9 @@ class Pipeline:
     def silver_weather(self) -> int:
         feeds = [self._read("bronze", f"weather_{feed}") for feed in WEATHER_VALUE]
         return write_table(
-            silver.silver_weather(*feeds, self.settings),
+            conform(silver.silver_weather(*feeds, self.settings), SILVER_WEATHER),
             self.lake.path("silver", "weather_daily"),
             stamps=("transformed_at",),
-            single_file=True,
         )
 
     def validate(self) -> None:
@@ -105,9 +130,30 @@ class Pipeline:
         return write_table(
             gold.gold_daily(readings, weather, self.settings),
             self.lake.path("gold", "daily_site_summary"),
+            partition_by=("date",),
             stamps=("transformed_at",),
         )
 
+    def gold_daily_since(self, ingested: datetime) -> int:
+        """Bring the daily table up to date: only days whose readings came in from ``ingested`` on,
+        and days of sites whose texture changed, are built again and replaced."""
+        path = self.lake.path("gold", "daily_site_summary")
+        new = read_table(self.spark, self.lake.path("bronze", "soil_readings")).filter(
+            F.col("ingested_at") >= F.lit(ingested)
+        )
+        return self.gold_daily_days(new.select(day_of(new, self.settings).alias("date")).distinct(), path)
+
+    def gold_daily_days(self, changed: DataFrame, path: str) -> int:
+        readings = self._read("silver", "soil_readings")
+        weather = self._read("silver", "weather_daily")
+        stored = read_table(self.spark, path)
+        days = gold.touched_days(stored, readings, changed, self.settings)
+        rows = gold.gold_days(readings, weather, days, self.settings)
+        # Spark may not replace files that the same job reads, so the rows are put down first.
+        between = scratch_path(self.spark, "gold-days")
+        write_table(rows, between)
+        return replace_partitions(read_table(self.spark, between), path, ("date",), ("transformed_at",))
+
     def gold_hourly(self) -> int:
         return write_table(
             gold.gold_hourly(self._read("silver", "soil_readings"), self.settings),

@@ -1,7 +1,17 @@
-from loamline.sinks.files import append_absent, append_rows, replace_partitions, write_table
+from loamline.sinks.files import (
+    Ingested,
+    append_absent,
+    append_rows,
+    rejects_path,
+    replace_partitions,
+    set_aside,
+    store_rejects,
+    write_table,
+)
 from loamline.sinks.jdbc import column_types, connection, for_database, load_table, load_tables
 
 __all__ = [
+    "Ingested",
     "append_absent",
     "append_rows",
     "column_types",
@@ -9,6 +19,9 @@ __all__ = [
     "for_database",
     "load_table",
     "load_tables",
+    "rejects_path",
     "replace_partitions",
+    "set_aside",
+    "store_rejects",
     "write_table",
 ]

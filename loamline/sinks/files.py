@@ -4,14 +4,23 @@ so that everything upstream stays deterministic."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from loamline.operators.keyed import absent_rows, first_per_key
+from loamline.operators.keyed import absent_rows, first_per_key, without_key
+from loamline.schemas import require_types
 from loamline.sources.incremental import read_if_exists
 
 
+class Ingested(NamedTuple):
+    """What an ingest step did with its rows."""
+
+    added: int
+    rejected: int
+
+
 def stamp(df: DataFrame, *names: str) -> DataFrame:
     """Add load metadata: ``…_at`` is the current time, ``…_date`` its day."""
     now = F.current_timestamp()
@@ -29,12 +38,13 @@ def write_table(
 ) -> int:
     """Write and return the number of rows written, taken from the write itself.
 
-    ``single_file`` is for small tables such as daily weather: it puts the last stage in one task.
+    ``single_file`` is for small tables that others read as one file. The rows are worked out in
+    parallel and only then meet in one task.
     """
     counted = Observation()
     out = stamp(df, *stamps).observe(counted, F.count(F.lit(1)).alias("rows"))
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)
     writer = out.write.mode(mode).option("partitionOverwriteMode", partition_overwrite)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -55,21 +65,63 @@ def replace_partitions(
     )
 
 
+def set_aside(df: DataFrame, reason: Column, source: Column) -> DataFrame:
+    """Rows in the form of a table of rejects: reason, the row as JSON, source, and a key of both."""
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    out = df.select(reason.alias("reason"), record.alias("record"), source.cast("string").alias("source"))
+    return out.withColumn("digest", F.sha2(F.concat_ws("|", "reason", "record"), 256))
+
+
+def rejects_path(path: str) -> str:
+    """Where the rows lie that were not added to the table at ``path``."""
+    return f"{path.rstrip('/')}_rejects"
+
+
+def store_rejects(rejects: DataFrame, path: str) -> int:
+    """Add rejects that are not there yet; returns how many rows of this delivery were rejected."""
+    seen = Observation()
+    counted = rejects.observe(seen, F.count(F.lit(1)).alias("rows"))
+    existing = read_if_exists(rejects.sparkSession, rejects_path(path))
+    rows = (
+        first_per_key(counted, ["digest"])
+        if existing is None
+        else absent_rows(counted, existing, ["digest"])
+    )
+    write_table(rows, rejects_path(path), mode="append", stamps=("rejected_at",))
+    return seen.get["rows"]
+
+
 def append_absent(
     new: DataFrame,
     path: str,
     key: Sequence[str],
     order: Sequence[str] = (),
     stamps: Sequence[str] = (),
-) -> int:
+    day: str | None = None,
+    rejects: DataFrame | None = None,
+) -> Ingested:
     """Append the rows whose key the table does not hold yet; returns how many were added.
 
-    Running it again with the same rows adds nothing. One writer at a time.
+    Running it again with the same rows adds nothing. One writer at a time. Rows without a key, and
+    the ``rejects`` of earlier steps, go to a table beside this one (:func:`rejects_path`).
+
+    With ``day`` the table is partitioned by that date column, and keys are looked up in the days of
+    ``new`` only, so that the cost follows the delivery and not the history. That is exact as long as
+    a key keeps its day; without ``day`` every key of the table is looked up.
     """
     existing = read_if_exists(new.sparkSession, path)
+    if existing is not None:
+        require_types(existing, new.schema, path)
+        if day:
+            # As many values as the delivery has calendar days.
+            days = [r[0] for r in new.select(day).distinct().collect()]
+            existing = existing.filter(F.col(day).isin(days))
     rows = (
         first_per_key(new, key, order)
         if existing is None
         else absent_rows(new, existing, key, order)
     )
-    return append_rows(rows, path, stamps)
+    aside = set_aside(without_key(new, key), F.lit("missing key"), F.lit(None))
+    rejected = store_rejects(aside if rejects is None else rejects.unionByName(aside), path)
+    added = write_table(rows, path, mode="append", stamps=stamps, partition_by=(day,) if day else ())
+    return Ingested(added, rejected)

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType, TimestampType
 
-# Database type of each Spark type, and rows per insert batch.
+# Type names that Spark's parser and databases share, and rows per insert batch.
+# Text and floating-point numbers have no such name; for them Spark's dialect of the database
+# chooses, in PostgreSQL TEXT and double precision.
 DATABASE_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
-    "double": "DOUBLE PRECISION",
-    "float": "REAL",
     "boolean": "BOOLEAN",
-    "string": "TEXT",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
@@ -43,7 +42,7 @@ def connection(url: str) -> dict[str, str]:
 
 
 def column_types(schema: StructType, types: Mapping[str, str] = DATABASE_TYPES) -> str:
-    """Column list for the created table, from the Spark schema."""
+    """Types for the created table, where they are named alike; the dialect gives the others."""
     known = [f for f in schema if f.dataType.simpleString() in types]
     return ", ".join(f"`{f.name}` {types[f.dataType.simpleString()]}" for f in known)
 

@@ -2,16 +2,20 @@ from loamline.sources.files import read_sites_csv, read_table, read_weather_csv
 from loamline.sources.incremental import (
     high_water_mark,
     incremental_slice,
+    page_after,
     page_of,
     range_slice,
     read_if_exists,
 )
-from loamline.sources.pages import page_schema, read_pages, records
+from loamline.sources.pages import landed_pages, page_lines, page_schema, read_pages, records
 
 __all__ = [
     "high_water_mark",
     "incremental_slice",
+    "page_after",
     "page_of",
+    "landed_pages",
+    "page_lines",
     "page_schema",
     "range_slice",
     "read_if_exists",

@@ -22,7 +22,15 @@ def read_weather_csv(spark: SparkSession, path: str, feed: str) -> DataFrame:
 
 
 def read_sites_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Site list as text, with headers and cells trimmed and empty cells NULL."""
+    """Site list as text, with headers and cells trimmed and empty cells NULL.
+
+    ``_file``, ``_block`` and ``_line`` tell the order of rows, in whatever order files are read.
+    """
     raw = spark.read.option("header", True).csv(path)
-    raw = raw.toDF(*[c.strip().lstrip("﻿").lower() for c in raw.columns])
-    return raw.select([F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in raw.columns])
+    cells = {c: c.strip().lstrip("﻿").lower() for c in raw.columns}
+    return raw.select(
+        *[F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(name) for c, name in cells.items()],
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )

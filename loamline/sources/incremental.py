@@ -23,15 +23,15 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def high_water_mark(df: DataFrame, time: str = "event_time") -> DataFrame:
-    """One row, NULL for an empty table. Spark answers it from parquet footers where it may."""
+    """One row, NULL for an empty table. Reads the time column only."""
     return df.agg(F.max(time).alias("high_water_mark"))
 
 
 def range_slice(
-    df: DataFrame, start: datetime, end: datetime | None = None, time: str = "event_time"
+    df: DataFrame, start: datetime | None, end: datetime | None = None, time: str = "event_time"
 ) -> DataFrame:
-    """Rows in [start, end); both bounds reach the scan."""
-    out = df.filter(F.col(time) >= F.lit(start))
+    """Rows in [start, end); both bounds reach the scan, and None is no bound."""
+    out = df if start is None else df.filter(F.col(time) >= F.lit(start))
     return out if end is None else out.filter(F.col(time) < F.lit(end))
 
 
@@ -42,6 +42,16 @@ def page_of(
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def page_after(df: DataFrame, key: str, limit: int, last: object = None) -> DataFrame:
+    """The next ``limit`` rows by a unique key, after the last key of the page before.
+
+    Every page costs the same, however deep: the bound reaches the scan and each task keeps
+    ``limit`` rows, where an offset gathers all rows that it skips.
+    """
+    rest = df if last is None else df.filter(F.col(key) > F.lit(last))
+    return rest.orderBy(key).limit(limit)
+
+
 def incremental_slice(
     source: DataFrame, table: DataFrame | None, settings: Settings, time: str = "event_time"
 ) -> DataFrame:
@@ -54,5 +64,5 @@ def incremental_slice(
         return range_slice(source, settings.first_load, time=time)
     last = F.col("high_water_mark") - F.lit(settings.overlap)
     first_load = F.lit(settings.first_load).cast(dict(table.dtypes)[time])
-    bound = high_water_mark(table, time).select(F.coalesce(last, first_load))
-    return source.filter(F.col(time) >= bound.scalar())
+    bound = high_water_mark(table, time).select(F.coalesce(last, first_load)).scalar()
+    return source.filter((F.col(time) >= bound) | bound.isNull())

@@ -4,24 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
-from loamline.plans.bronze import accepted, soil_from_records
-from loamline.schemas import SOIL_RECORD
-from loamline.sinks.files import append_absent
-from loamline.sources.pages import page_schema, records
+from loamline.plans.ingest import add_soil_lines
+from loamline.sources.pages import with_place
 
 
 def stream_pages(
-    spark: SparkSession,
-    path: str,
-    record: StructType = SOIL_RECORD,
-    files_per_batch: int | None = None,
+    spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(page_schema(record))
+    """Lines of landed files, all of a file in one batch."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return records(reader.json(path))
+    return with_place(reader.text(path))
 
 
 def ingest_pages(
@@ -34,18 +29,16 @@ def ingest_pages(
     """Take in every page not seen yet, then stop; the checkpoint replaces the high-water mark.
 
     Each batch inserts only ids the table lacks, so pages that overlap, come late or are processed
-    again after a failure change nothing. No watermark: no row is dropped for being late.
+    again after a failure change nothing. No watermark: no row is dropped for being late. What cannot
+    be stored is set aside just as the batch step does.
     """
-    rows = accepted(soil_from_records(stream_pages(spark, landing, files_per_batch=files_per_batch)),
-                    "event_time")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        append_absent(
-            batch, table, ["ID"], ["event_time"], stamps=("ingested_at", "ingested_date")
-        )
+        add_soil_lines(batch, table)
 
     return (
-        rows.writeStream.foreachBatch(add)
+        stream_pages(spark, landing, files_per_batch)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

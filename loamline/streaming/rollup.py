@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,8 @@ from loamline.operators.summary import SITE, as_instant, depth_means, moisture_a
 def hourly_stream(silver: DataFrame, settings: Settings, late_by: str = "2 minutes") -> DataFrame:
     """The hourly summary without texture, as a windowed aggregation with a watermark.
 
-    In append mode an hour is emitted once, when the watermark has passed its end.
+    In append mode an hour is emitted once, when the watermark has passed its end; in update mode
+    whenever it changes.
     """
     timed = silver.withColumn("event_time", as_instant(silver, "event_time"))
     wide = (
@@ -30,6 +31,45 @@ def hourly_stream(silver: DataFrame, settings: Settings, late_by: str = "2 minut
     return moisture_averages(wide, settings)
 
 
+def write_hours(summary: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Write every hour that changed, open ones too, then stop; :func:`latest_hours` reads the table.
+
+    Each batch has a folder of its own, which a batch that runs again replaces, so an hour may stand
+    in several batches and the last of them counts.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+
+    return (
+        summary.writeStream.outputMode("update")
+        .foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_hours(spark: SparkSession, table: str) -> DataFrame:
+    """The hourly table as of the last batch."""
+    last = Window.partitionBy(*SITE, "hour").orderBy(F.desc("batch"))
+    return (
+        spark.read.parquet(table)
+        .withColumn("_rank", F.row_number().over(last))
+        .filter("_rank = 1")
+        .drop("_rank", "batch")
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and were left out, over all batches still reported."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def append_closed_hours(summary: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Write the hours that can no longer change, then stop."""
     return (

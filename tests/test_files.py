@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loamline.__main__ import main
 from loamline.config import Settings
@@ -77,7 +78,7 @@ def test_pages(spark, tmp_path):
     assert [r.ID for r in bronze.rejected(rows, "event_time").collect()] == ["14"]
 
     (tmp_path / "b.json").write_text(json.dumps({"results": [RECORD]}, indent=1))
-    assert read_pages(spark, [str(tmp_path / "b.json")], one_page_per_file=True).count() == 1
+    assert read_pages(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")]).count() == 4
 
 
 def test_site_pages(spark, tables, tmp_path):
@@ -85,7 +86,7 @@ def test_site_pages(spark, tables, tmp_path):
     pages = [{"results": [site, {**site, "latitude": 1}]}, {"results": [{**site, "site_id": None}]}]
     (tmp_path / "sites.json").write_text("\n".join(map(json.dumps, pages)))
     pipeline = Pipeline(spark, Lake(str(tmp_path / "lake")))
-    assert pipeline.ingest_sites_pages(str(tmp_path / "sites.json")) == 1
+    assert pipeline.ingest_sites_pages(str(tmp_path / "sites.json")) == (1, 2)
     row = read_table(spark, pipeline.lake.path("bronze", "sites")).first()
     assert (row.site_id, row.latitude, row.longitude) == (3, -37.8, None)
 
@@ -137,10 +138,13 @@ def test_database_options(spark):
     assert dict(out.dtypes)["h"] == "timestamp_ntz"
     row = out.first()
     assert (row.c, row.d, row.h) == (3.0, None, datetime(2024, 1, 1, 5))
-    assert column_types(out.schema) == (
-        "`a` INTEGER, `b` BIGINT, `c` DOUBLE PRECISION, `d` DOUBLE PRECISION, `e` TEXT, "
-        "`f` BOOLEAN, `g` DATE, `h` TIMESTAMP"
-    )
+    assert column_types(out.schema) == "`a` INTEGER, `b` BIGINT, `f` BOOLEAN, `g` DATE, `h` TIMESTAMP"
+
+
+def test_database_types_suit_sparks_parser(spark, tables):
+    for df in (tables.gold_daily(), tables.gold_hourly()):
+        declared = column_types(for_database(df).schema)
+        assert {f.name for f in StructType.fromDDL(declared)} <= set(df.columns)
 
 
 def test_settings_from_json(tmp_path):
@@ -176,8 +180,8 @@ def test_pipeline_equals_direct_computation(spark, tables, tmp_path):
 
     sites = str(tmp_path / "sites")
     tables.raw_sites().write.option("header", True).csv(sites)
-    assert pipeline.ingest_sites_csv(sites) == tables.raw_sites().count()
-    assert pipeline.ingest_sites_csv(sites) == 0
+    assert pipeline.ingest_sites_csv(sites) == (tables.raw_sites().count(), 0)
+    assert pipeline.ingest_sites_csv(sites) == (0, 0)
 
 
 def test_incremental_pages_pipeline(spark, tables, tmp_path):
@@ -188,9 +192,9 @@ def test_incremental_pages_pipeline(spark, tables, tmp_path):
     first, second = raw_deliveries(tables)
     land_pages(tables, first, str(tmp_path / "p1"))
     land_pages(tables, second, str(tmp_path / "p2"))
-    n = pipeline.ingest_soil_pages(str(tmp_path / "p1"))
-    assert pipeline.ingest_soil_pages([str(tmp_path / "p1"), str(tmp_path / "p2")]) > 0
-    assert pipeline.ingest_soil_pages(str(tmp_path / "p2")) == 0
+    n = pipeline.ingest_soil_pages(str(tmp_path / "p1")).added
+    assert pipeline.ingest_soil_pages([str(tmp_path / "p1"), str(tmp_path / "p2")]).added > 0
+    assert pipeline.ingest_soil_pages(str(tmp_path / "p2")) == (0, 0)
     table = read_table(spark, lake.path("bronze", "soil_readings"))
     assert n == first.count() and table.count() == tables.raw_soil().count()
     assert table.select("ID").distinct().count() == table.count()

@@ -57,10 +57,10 @@ def test_table_is_not_shuffled_for_a_small_batch(spark, old, tmp_path):
 
 def test_append_is_idempotent(spark, old, tmp_path):
     path = str(tmp_path / "bronze")
-    assert append_absent(old, path, ["ID"], stamps=("ingested_at",)) == 2
-    assert append_absent(old, path, ["ID"], stamps=("ingested_at",)) == 0
+    assert append_absent(old, path, ["ID"], stamps=("ingested_at",)) == (2, 0)
+    assert append_absent(old, path, ["ID"], stamps=("ingested_at",)) == (0, 0)
     more = spark.createDataFrame(rows(("2", 1, 2.0), ("9", 9, 9.0)), SCHEMA)
-    assert append_absent(more, path, ["ID"], stamps=("ingested_at",)) == 1
+    assert append_absent(more, path, ["ID"], stamps=("ingested_at",)) == (1, 0)
     assert spark.read.parquet(path).count() == 3
 
 

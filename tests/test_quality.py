@@ -62,8 +62,10 @@ def test_counts_fail(good, settings):
 
 
 def test_columns(good, limits):
-    with pytest.raises(QualityError, match="depth_cm"):
-        quality_report(good.drop("depth_cm"), limits)
+    lacking = good.drop("depth_cm", "soil_value")
+    with pytest.raises(QualityError, match="missing_columns: 2 .*missing column depth_cm"):
+        assert_quality(lacking, limits)
+    assert "Q2" in failed(lacking, limits)
     with pytest.raises(QualityError, match="rows: .*>= 5000"):
         assert_quality(good, limits.but(min_rows=5000))
 
