@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.config import Settings
-from loamline.demo.tables import Tables
+from loamline.demo.tables import FEED_PRIORITIES, SHIFT_DAYS, Tables
 from loamline.functions import (
     depth_cm,
     first_measure_word,
@@ -19,10 +19,11 @@ from loamline.functions import (
 )
 from loamline.functions.times import OFFSET_PATTERN
 from loamline.operators import calendar, counts, keyed, quality, sets, summary
-from loamline.plans import bronze, profile, replay, reports
-from loamline.schemas import WEATHER_VALUE
+from loamline.plans import bronze, profile, replay, reports, silver
+from loamline.plans.pipeline import Lake, Pipeline
+from loamline.schemas import SILVER_SOIL, SILVER_WEATHER, WEATHER_VALUE, conform
 from loamline.session import scratch_path
-from loamline.sinks import append_absent, write_table
+from loamline.sinks import append_absent, for_database, rejects_path, write_table
 from loamline.sources import (
     high_water_mark,
     incremental_slice,
@@ -34,7 +35,7 @@ from loamline.sources import (
     read_weather_csv,
 )
 from loamline.streaming.ingest import ingest_pages
-from loamline.streaming.rollup import append_closed_hours, hourly_stream
+from loamline.streaming.rollup import hourly_stream, latest_hours, write_hours
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -446,11 +447,22 @@ def sites_csv(t: Tables) -> DataFrame:
     return bronze.sites_dimension(read_sites_csv(t.spark, path))
 
 
-def land_pages(t: Tables, rows: DataFrame, path: str) -> None:
-    """Write raw readings as pages of at most 100 records, one page per line."""
-    page = F.floor(F.col("id").cast("bigint") / PAGE_ROWS)
+def land_pages(
+    t: Tables,
+    rows: DataFrame,
+    path: str,
+    page: Column | None = None,
+    paged: DataFrame | None = None,
+) -> None:
+    """Write raw readings as pages of at most 100 records, one page per line.
+
+    ``paged`` holds the rows with further columns, from which ``page`` gives the page's number.
+    """
+    if page is None:
+        page = F.floor(F.col("id").cast("bigint") / PAGE_ROWS)
     (
-        rows.groupBy(page.alias("page"))
+        (rows if paged is None else paged)
+        .groupBy(page.alias("page"))
         .agg(F.collect_list(F.struct(*rows.columns)).alias("results"))
         .select(F.to_json(F.struct("results")).alias("value"))
         .write.mode("append")
@@ -503,5 +515,147 @@ def stream_hourly(t: Tables) -> DataFrame:
     stored = read_table(t.spark, source)
     stream = t.spark.readStream.schema(stored.schema).parquet(source)
     checkpoint = scratch_path(t.spark, "checkpoint")
-    append_closed_hours(hourly_stream(stream, t.settings), table, checkpoint).awaitTermination()
-    return read_table(t.spark, table)
+    write_hours(hourly_stream(stream, t.settings), table, checkpoint).awaitTermination()
+    return latest_hours(t.spark, table)
+
+
+# Ingest steps of the pipeline, with everything that can be wrong about their input
+
+
+def _pipeline(t: Tables) -> Pipeline:
+    return Pipeline(t.spark, Lake(scratch_path(t.spark, "lake")), t.settings)
+
+
+def _bronze(t: Tables, pipeline: Pipeline) -> DataFrame:
+    return read_table(t.spark, pipeline.lake.path("bronze", "soil_readings")).select(*SOIL)
+
+
+def _faulty(t: Tables) -> DataFrame:
+    """Raw readings of which some have no id and some no readable time."""
+    number = F.col("id").cast("bigint")
+    return (
+        t.raw_soil()
+        .withColumn("page", F.floor(number / PAGE_ROWS))
+        .withColumn("local_time", F.when(number % 50 == 7, "soon").otherwise(F.col("local_time")))
+        .withColumn("id", F.when(number % 50 != 13, F.col("id")))
+    )
+
+
+@query
+def ingest_rejects(t: Tables) -> DataFrame:
+    """What the page step sets aside, with the reason."""
+    pipeline, landing = _pipeline(t), scratch_path(t.spark, "landing")
+    rows = _faulty(t)
+    land_pages(t, rows.drop("page"), landing, F.col("page"), rows)
+    pipeline.ingest_soil_pages(landing)
+    aside = read_table(t.spark, rejects_path(pipeline.lake.path("bronze", "soil_readings")))
+    fields = ("id", "local_time", "site_id", "probe_measure", "soil_value")
+    parts = [F.get_json_object("record", f"$.{name}").alias(name) for name in fields]
+    return aside.select("reason", *parts).withColumn("soil_value", F.col("soil_value").cast("double"))
+
+
+@query
+def json_pages_mixed(t: Tables) -> DataFrame:
+    """Pages on single lines and pages over whole files, some cut off, some records without an id."""
+    pipeline, landing = _pipeline(t), scratch_path(t.spark, "landing")
+    rows = _faulty(t)
+    columns = [c for c in rows.columns if c != "page"]
+    page = rows.groupBy("page").agg(F.collect_list(F.struct(*columns)).alias("results"))
+    odd = F.col("page") % 2 == 1
+    text = F.when(odd, F.to_json(F.struct("results"), {"pretty": "true"})).otherwise(
+        F.to_json(F.struct("results"))
+    )
+    cut = F.when(F.col("page") % 10 == 9, F.expr("substring(value, 1, length(value) - 5)"))
+    folder = F.when(odd, F.col("page").cast("string")).otherwise(
+        F.concat(F.lit("lines"), F.floor(F.col("page") / 20))
+    )
+    (
+        page.select(folder.alias("folder"), "page", text.alias("value"))
+        .select("folder", F.coalesce(cut, F.col("value")).alias("value"))
+        .repartition("folder")
+        .write.partitionBy("folder")
+        .text(landing)
+    )
+    pipeline.ingest_soil_pages(landing)
+    return _bronze(t, pipeline)
+
+
+@query
+def ingest_pages_batch(t: Tables) -> DataFrame:
+    """The later delivery lands first: rows far behind the table's last time are taken in as well."""
+    pipeline = _pipeline(t)
+    for part in reversed(raw_deliveries(t)):
+        landing = scratch_path(t.spark, "landing")
+        land_pages(t, part, landing)
+        pipeline.ingest_soil_pages(landing)
+    return _bronze(t, pipeline)
+
+
+@query
+def bronze_mixed_ids(t: Tables) -> DataFrame:
+    """A historical file with numbers as ids, then pages with text, in one table."""
+    pipeline = _pipeline(t)
+    first, second = raw_deliveries(t)
+    history, landing = scratch_path(t.spark, "history"), scratch_path(t.spark, "landing")
+    numbers = {c: F.col(c).cast("bigint") for c in ("id", "site_id", "probe_id")}
+    first.withColumns(numbers).drop("json_featuretype").write.parquet(history)
+    pipeline.ingest_soil(history)
+    land_pages(t, second, landing)
+    pipeline.ingest_soil_pages(landing)
+    return _bronze(t, pipeline)
+
+
+@query
+def database_rows(t: Tables) -> DataFrame:
+    """Readings as a database takes them: times without a zone, NULL in place of NaN."""
+    value = F.when(F.col("ID").cast("bigint") % 10 == 0, F.lit(float("nan"))).otherwise(
+        F.col("Soil_Value")
+    )
+    instant = F.col("event_time").cast("timestamp")
+    rows = t.bronze_soil().select("ID", value.alias("Soil_Value"), instant.alias("event_time"))
+    return for_database(rows)
+
+
+@query
+def gold_daily_incremental(t: Tables) -> DataFrame:
+    """Gold of half of the readings, brought up to date with the days of the other half."""
+    pipeline = _pipeline(t)
+    first, second = _deliveries(t)
+    layers = {"silver": "soil_readings", "gold": "daily_site_summary"}
+    silver_path, gold_path = [pipeline.lake.path(*item) for item in layers.items()]
+    weather = conform(t.silver_weather(), SILVER_WEATHER)
+    write_table(weather, pipeline.lake.path("silver", "weather_daily"))
+
+    def refresh(bronze_rows: DataFrame) -> None:
+        rows = silver.silver_soil(bronze_rows, t.settings)
+        write_table(conform(rows, SILVER_SOIL), silver_path, partition_by=("measure_type",))
+
+    refresh(first)
+    pipeline.gold_daily()
+    refresh(keyed.insert_if_absent(first, second, ["ID"], ["event_time"]))
+    days = second.select(F.to_date("event_time").alias("date")).distinct()
+    pipeline.gold_daily_days(days, gold_path)
+    return read_table(t.spark, gold_path).drop("transformed_at")
+
+
+@query
+def silver_weather_repeated_days(t: Tables) -> DataFrame:
+    """One value per order instead of one per day: many readings share a date in every feed."""
+    feeds = []
+    for feed, value in WEATHER_VALUE.items():
+        orders = t.read("orders").filter(F.col("o_orderpriority").isin(*FEED_PRIORITIES[feed]))
+        day = F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS)
+        reading = F.when(F.col("o_custkey") % 7 != 0, (F.col("o_custkey") % 80).cast("double"))
+        feeds.append(orders.select(day.alias("date"), reading.alias(value)))
+    return silver.silver_weather(*feeds, t.settings)
+
+
+@query
+def sites_csv_repeated(t: Tables) -> DataFrame:
+    """Two site lists that share ids; the row in the file that comes first by name counts."""
+    path = scratch_path(t.spark, "csv-sites")
+    again = t.raw_sites().withColumn("site_name", F.concat(F.lit("A much longer name of "), "site_name"))
+    other = again.withColumn("site_id", F.col("site_id") + 1_000_000)
+    t.raw_sites().write.option("header", True).csv(f"{path}/a")
+    again.unionByName(other).write.option("header", True).csv(f"{path}/b")
+    return bronze.sites_dimension(read_sites_csv(t.spark, [f"{path}/a", f"{path}/b"]))

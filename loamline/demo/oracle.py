@@ -458,7 +458,46 @@ SELECT (SELECT count(*) FROM (FROM soil EXCEPT ALL FROM rebuilt)) AS missing,
         "stream_dedup": _with(["soil"], soil_rows + "soil"),
         "stream_hourly": _with(
             ["silver", "hourly"],
-            f"""SELECT {HOURLY_COLUMNS} FROM hourly WHERE hour + INTERVAL 1 HOUR <=
-  (SELECT max(event_time) - INTERVAL 2 MINUTE FROM silver)""",
+            f"SELECT {HOURLY_COLUMNS} FROM hourly",
         ),
+        "ingest_rejects": _with(
+            ["soil"],
+            f"""SELECT DISTINCT 'unreadable time' AS reason, ID AS id, 'soon' AS local_time,
+  Site_ID AS site_id, Probe_Measure AS probe_measure, {r('Soil_Value')} AS soil_value
+FROM soil WHERE CAST(ID AS BIGINT) % 50 = 7
+UNION ALL SELECT DISTINCT 'missing id', NULL,
+  strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00', Site_ID, Probe_Measure, {r('Soil_Value')}
+FROM soil WHERE CAST(ID AS BIGINT) % 50 = 13""",
+        ),
+        "json_pages_mixed": _with(
+            ["soil"],
+            soil_rows
+            + """soil WHERE CAST(ID AS BIGINT) // 100 % 10 <> 9
+  AND CAST(ID AS BIGINT) % 50 NOT IN (7, 13)""",
+        ),
+        "ingest_pages_batch": _with(["soil"], soil_rows + "soil"),
+        "bronze_mixed_ids": _with(["soil"], soil_rows + "soil"),
+        "database_rows": _with(
+            ["soil"],
+            f"""SELECT ID, CASE WHEN CAST(ID AS BIGINT) % 10 <> 0 THEN {r('Soil_Value')} END
+  AS Soil_Value, event_time FROM soil""",
+        ),
+        "gold_daily_incremental": _with(["daily"], f"SELECT {DAILY_COLUMNS} FROM daily"),
+        "silver_weather_repeated_days": f"""
+SELECT date, {r("avg(value) FILTER (feed = 'rainfall')")} AS rainfall_mm,
+  {r("avg(value) FILTER (feed = 'temperature')")} AS max_temp_c,
+  {r("avg(value) FILTER (feed = 'solar')")} AS solar_exposure_mj
+FROM (
+  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'rainfall' WHEN '2-HIGH' THEN 'temperature'
+      ELSE 'solar' END AS feed, CAST(o_orderdate AS DATE) + 10227 AS date,
+    CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey % 80 AS DOUBLE) END AS value
+  FROM orders) d
+WHERE date >= DATE '2023-09-01' GROUP BY date""",
+        "sites_csv_repeated": f"""
+SELECT CAST(s_suppkey + shift AS INTEGER) AS site_id,
+  CASE WHEN shift > 0 THEN 'A much longer name of ' ELSE '' END || 'Site '
+    || CAST(s_suppkey AS VARCHAR) AS site_name, s_name AS property_name,
+  {r('-37.8::DOUBLE + s_acctbal / 1e5')} AS latitude,
+  {r('144.9::DOUBLE + s_acctbal / 1e5')} AS longitude
+FROM supplier, (VALUES (0), (1000000)) AS shifts (shift)""",
     }
