@@ -12,30 +12,40 @@ from pyspark.sql import functions as F
 
 SAMPLES = 64
 SEED = 29
-# Draws come from tables of this many equally likely values, so that no logarithm is taken per draw.
-GRID = 4096
+# Draws are taken from tables of equally likely values, as logarithms would cost most of the time.
+GRID = 256
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def gamma_grid(size: int = GRID) -> list[float]:
-    """Medians of ``size`` equally likely slices of Gamma(2, 1), by bisection of its distribution."""
-    values, low = [], 0.0
-    for i in range(size):
-        want, high = (i + 0.5) / size, max(2 * low, 1.0)
-        while 1 - math.exp(-high) * (1 + high) < want:
-            high *= 2
-        a, b = low, high
-        for _ in range(60):
-            mid = (a + b) / 2
-            a, b = (mid, b) if 1 - math.exp(-mid) * (1 + mid) < want else (a, mid)
-        low = (a + b) / 2
-        values.append(low)
-    return values
+def gamma_quantile(share: float) -> float:
+    """Where the distribution function of Gamma(2, 1) has the value ``share``, by bisection."""
+    low, high = 0.0, 1.0
+    while 1 - math.exp(-high) * (1 + high) < share:
+        high *= 2
+    for _ in range(60):
+        middle = (low + high) / 2
+        if 1 - math.exp(-middle) * (1 + middle) < share:
+            low = middle
+        else:
+            high = middle
+    return high
 
 
-def constant_array(values: list[float]) -> Column:
+def gamma_tables() -> tuple[list[float], list[float]]:
+    """Values of r, and of ln(c): its first GRID ones divide the lowest part of the others' range.
+
+    The least key of a text mostly comes from a small c, so that part is drawn more finely.
+    """
+    middles = [(i + 0.5) / GRID for i in range(GRID)]
+    coarse = [gamma_quantile(m) for m in middles]
+    fine = [gamma_quantile(m / GRID) for m in middles]
+    return coarse, [math.log(v) for v in [*fine, *coarse]]
+
+
+def constant_array(values: list[float], kind: str = ".6g") -> Column:
     """An array constant, written as one text so that the plan has one literal instead of thousands."""
-    return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast("array<double>")
+    texts = [repr(v) if kind == "r" else format(v, kind) for v in values]
+    return F.split(F.lit(",".join(texts)), ",").cast("array<double>")
 
 
 def samples(term: Column, weight: Column, count: int, seed: int) -> list[Column]:
@@ -44,18 +54,22 @@ def samples(term: Column, weight: Column, count: int, seed: int) -> list[Column]
     With r and c from Gamma(2, 1), b from (0, 1) and t = floor(ln(weight) / r + b), the key is
     ln(c) - r * (t - b + 1). A key depends on term, t and number of the sample alone, so two texts
     share a sample exactly when term and t agree, which happens with the probability of their
-    generalised Jaccard similarity. All three draws come from one 64-bit hash; b has its low 40 bits,
-    so different terms have different keys.
+    generalised Jaccard similarity. All draws come from one hash of the term: eight bits for r, sixteen
+    for c, the others for b, which also makes the keys of different terms differ.
     """
-    grid = gamma_grid()
-    r_grid, log_grid = constant_array(grid), constant_array([math.log(v) for v in grid])
+    r_values, log_c_values = map(constant_array, gamma_tables())
     log_weight = F.log(weight.cast("double"))
+
+    def bits(hash_: Column, at: int, size: int) -> Column:
+        return F.shiftrightunsigned(hash_, at).bitwiseAND(F.lit((1 << size) - 1)).cast("int")
+
     keys = []
     for k in range(count):
-        bits = F.xxhash64(term, F.lit(seed * 1_000 + k))
-        r = F.get(r_grid, F.shiftrightunsigned(bits, 52).cast("int"))
-        log_c = F.get(log_grid, F.shiftrightunsigned(bits, 40).bitwiseAND(F.lit(GRID - 1)).cast("int"))
-        b = bits.bitwiseAND(F.lit((1 << 40) - 1)).cast("double") / float(1 << 40)
+        drawn = F.xxhash64(term, F.lit(seed * 1_000 + k))
+        r = F.get(r_values, bits(drawn, 56, 8))
+        coarse = bits(drawn, 48, 8)
+        log_c = F.get(log_c_values, F.when(coarse == 0, bits(drawn, 40, 8)).otherwise(coarse + GRID))
+        b = drawn.bitwiseAND(F.lit((1 << 40) - 1)).cast("double") / float(1 << 40)
         t = F.floor(log_weight / r + b)
         keys.append(log_c - r * (t - b + 1))
     return keys
@@ -106,12 +120,9 @@ def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) ->
     wanted = [i / ranges for i in range(1, ranges)]
     found = own.agg(F.percentile_approx("order", wanted, 100 * ranges)).first()[0] if wanted else None
     marks = sorted(set(found or ()))
-    cuts = constant_array(marks) if marks else F.array().cast("array<double>")
-    # Binary search: how many marks are not above the row's place.
-    own = own.withColumn("range", F.lit(0))
-    for step in [1 << i for i in range(len(marks).bit_length() - 1, -1, -1)]:
-        passed = F.get(cuts, F.col("range") + F.lit(step - 1)) <= F.col("order")
-        own = own.withColumn("range", F.col("range") + F.when(passed, step).otherwise(0))
+    cuts = constant_array(marks, "r") if marks else F.array().cast("array<double>")
+    passed = F.size(F.filter(cuts, lambda mark: mark <= F.col("order")))
+    own = own.withColumn("range", passed)
     window = Window.partitionBy("range").orderBy(
         F.col("order").desc(), F.xxhash64("text").desc(), F.col("text")
     )
@@ -150,7 +161,7 @@ def fingerprints(
     An empty table gives an empty table; other columns are ignored.
     """
     if ranges is None:
-        ranges = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = in_ranges(docs, id_column, text_column, ranges)
     linked = placed.join(ring_heads(placed, "text"), "range")
     half = F.floor(F.length("text") / 2).cast("int")
