@@ -65,7 +65,7 @@ class FragmentEncoder:
         if ids is None:
             model = self.ends if end else self.inner
             ids = [t.id for t in model.tokenize(text)]
-            if len(self.fragments) < REMEMBERED and len(text) <= 32:
+            if len(self.fragments) < REMEMBERED // 8 and len(text) <= 32:
                 self.fragments[text, end] = ids
         return ids
 
@@ -112,7 +112,7 @@ class PieceTable:
             if entry is None:
                 ids = encode(key)
                 entry = (len(ids), " ".join(map(str, ids)).encode(), encode.decoded(ids).encode())
-                if len(key) <= 64 and len(known) < REMEMBERED // 2:
+                if len(key) <= 64 and len(known) < REMEMBERED // 3:
                     known[key] = entry
             out.append(entry)
         return out

@@ -23,7 +23,7 @@ WINDOW = 5
 CONTENT, BOILERPLATE = 0, 1
 LEAST_CONTENT_SHARE = 0.5
 TRAINING_ROWS = 4_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -309,7 +309,7 @@ def training_lines(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS
     )
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (cut for whole in parts for cut in by_bytes(whole, 1, BATCH_BYTES)):
             raw, bounds = text_bytes(part.column(1))
             found = measured(raw, bounds)
             cuts = np.searchsorted(found.line_row, np.arange(part.num_rows + 1))

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map
 
-BATCH_BYTES = 16 << 20
-REMEMBERED = 600_000
+BATCH_BYTES = 8 << 20
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 
 # The byte-level vocabulary's split pattern and its names for bytes.
