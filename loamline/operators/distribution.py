@@ -45,6 +45,7 @@ def describe(
     counts: Mapping[str, Callable[[Column], Column]] | None = None,
     quantiles: Mapping[str, float] = QUARTILES,
     few_groups: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """count, mean, std, min, quantiles and max of ``value`` per group.
 
@@ -52,18 +53,17 @@ def describe(
     counts. ``counts`` adds numbers of rows, NULL values included, whose value satisfies a predicate.
     ``few_groups`` may be set when the groups are bounded by construction (a fixed list of
     measures); their statistics are then broadcast. Otherwise Spark picks the join by size.
+    ``counted`` may be set when each group has one row per value already; it saves a shuffle.
     """
     by = list(by)
     times = F.col(weight) if weight else F.lit(1)
-    freq = (
-        df.select(
-            *by,
-            not_nan(F.col(value).cast("double")).alias("_v"),
-            times.cast("bigint").alias("_w"),
-        )
-        .groupBy(*by, "_v")
-        .agg(F.sum("_w").alias("_w"))
+    freq = df.select(
+        *by,
+        not_nan(F.col(value).cast("double")).alias("_v"),
+        times.cast("bigint").alias("_w"),
     )
+    if not counted:
+        freq = freq.groupBy(*by, "_v").agg(F.sum("_w").alias("_w"))
     small = F.broadcast if few_groups else (lambda d: d)
     # A group's NULL is one row of ``freq``. It takes part with weight 0 instead of being filtered:
     # a filter would move into the scan of some branches and make them scan the input once more.
@@ -83,7 +83,7 @@ def describe(
     # ``_mean`` and ``_w`` stay in every branch below although not each of them needs both: with the
     # same columns the branches read one shuffle of ``freq``.
     cuts = freq.groupBy(*by).agg(
-        F.expr(f"percentile_approx(_v, array({SHARES}), {20 * SLICES})").alias("_cuts"),
+        F.expr(f"percentile_approx(_v, array({SHARES}), {4 * SLICES})").alias("_cuts"),
         (F.sum(F.col("_v") * F.col("_w")) / F.nullif(F.sum(known_rows), F.lit(0))).alias("_mean"),
     )
     placed = _with_slice(_with_group(freq, small(cuts), by)).select(

@@ -141,7 +141,7 @@ def reading_gaps(bronze: DataFrame) -> DataFrame:
     series = with_depth(with_measure(bronze)).filter(
         "measure_type IS NOT NULL AND depth_cm IS NOT NULL"
     )
-    return describe(gap_counts(series, keys), keys, "gap_seconds", weight="n")
+    return describe(gap_counts(series, keys), keys, "gap_seconds", weight="n", counted=True)
 
 
 def first_texture(bronze: DataFrame) -> DataFrame:

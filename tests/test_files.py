@@ -15,8 +15,25 @@ from loamline.plans.pipeline import Lake, Pipeline
 from loamline.operators.quality import QualityError
 from loamline.schemas import RAW_SOIL, require_columns
 from loamline.session import scratch_path
-from loamline.sinks import column_types, connection, for_database, replace_partitions, write_table
-from loamline.sources import read_if_exists, read_pages, read_sites_csv, read_table, read_weather_csv
+from loamline.operators.keyed import absent_rows
+from loamline.plans.silver import silver_weather
+from loamline.sinks import (
+    append_absent,
+    column_types,
+    connection,
+    for_database,
+    rejects_path,
+    replace_partitions,
+    write_table,
+)
+from loamline.sources import (
+    page_after,
+    read_if_exists,
+    read_pages,
+    read_sites_csv,
+    read_table,
+    read_weather_csv,
+)
 from tests.conftest import plan_of, same_rows
 
 
@@ -125,6 +142,98 @@ def test_scratch_path(spark):
         scratch_path(session("yarn"), "y")
 
 
+def test_nothing_is_lost_at_ingest(spark, tmp_path):
+    """Every record of every file is stored or set aside, by the batch and by the stream alike."""
+    landing = tmp_path / "pages"
+    landing.mkdir()
+    lines = [
+        {"results": [RECORD, {**RECORD, "id": None}], "total_count": 5},
+        {"results": [{**RECORD, "id": 20, "local_time": "soon"}], "total_count": 5},
+    ]
+    cut = json.dumps({"results": [RECORD]})[:-9]
+    (landing / "lines.json").write_text("\n".join(map(json.dumps, lines)) + f"\n\n{cut}\n")
+    (landing / "page.json").write_text(json.dumps({"results": [{**RECORD, "id": 21}]}, indent=2))
+    (landing / "broken.json").write_text(json.dumps({"results": [{**RECORD, "id": 22}]}, indent=2)[:-4])
+    pipeline = Pipeline(spark, Lake(str(tmp_path / "lake")))
+    assert pipeline.ingest_soil_pages(str(landing)) == (2, 5)
+    assert pipeline.ingest_soil_pages(str(landing)).added == 0
+    table = pipeline.lake.path("bronze", "soil_readings")
+    aside = read_table(spark, rejects_path(table))
+    assert sorted(r.reason for r in aside.collect()) == [
+        "incomplete delivery", "missing id", "unreadable page", "unreadable page", "unreadable time",
+    ]
+    assert aside.filter("reason = 'unreadable time'").first().record.count('"id":"20"') == 1
+
+    from loamline.streaming.ingest import ingest_pages
+
+    other = str(tmp_path / "stream")
+    ingest_pages(spark, str(landing), other, str(tmp_path / "check")).awaitTermination()
+    columns = ["ID", "event_time", "Soil_Value"]
+    assert same_rows(read_table(spark, table).select(columns), read_table(spark, other).select(columns))
+    streamed = read_table(spark, rejects_path(other))
+    assert same_rows(aside.select("reason", "record"), streamed.select("reason", "record"))
+
+
+def test_late_rows_and_mixed_id_types(spark, tmp_path):
+    pipeline = Pipeline(spark, Lake(str(tmp_path / "lake")))
+    history = spark.createDataFrame(
+        [("2024-03-01T00:00:00+00:00", "S", 5, 1, 3, "Soil Moisture 10cm", 20.0, "%")],
+        "local_time string, site_name string, site_id bigint, id bigint, probe_id bigint, "
+        "probe_measure string, soil_value double, unit string",
+    )
+    history.write.parquet(str(tmp_path / "history"))
+    assert pipeline.ingest_soil(str(tmp_path / "history")) == (1, 0)
+    (tmp_path / "late.json").write_text(json.dumps({"results": [RECORD]}))
+    assert pipeline.ingest_soil_pages(str(tmp_path / "late.json")) == (1, 0)
+    assert pipeline.silver_soil() == 2
+    table = pipeline.lake.path("bronze", "soil_readings")
+    assert {r.ID for r in read_table(spark, table).collect()} == {"1", "12"}
+    numbers = spark.createDataFrame([(1, date(2024, 3, 1))], "ID bigint, event_day date")
+    with pytest.raises(ValueError, match="ID is string, not bigint"):
+        append_absent(numbers, table, ["ID"])
+
+
+def test_keys_are_looked_up_in_the_days_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(str(i), date(2024, 1, 1 + i % 20)) for i in range(200)]
+    old = spark.createDataFrame(rows, "ID string, event_day date")
+    assert append_absent(old, path, ["ID"], day="event_day") == (200, 0)
+    new = spark.createDataFrame([("3", date(2024, 1, 4)), ("x", date(2024, 1, 4))], old.schema)
+    existing = read_table(spark, path).filter(F.col("event_day").isin([date(2024, 1, 4)]))
+    rows = absent_rows(new, existing, ["ID"])
+    plan = plan_of(rows)
+    assert "PartitionFilters: [isnotnull(event_day" in plan or "event_day#" in plan.split("PartitionFilters: [")[1]
+    assert "SortAggregate" not in plan
+    assert append_absent(new, path, ["ID"], day="event_day") == (1, 0)
+    assert read_table(spark, path).count() == 201
+
+
+def test_repeated_days_of_weather_multiply_nothing(spark, settings):
+    feeds = [
+        spark.createDataFrame([(date(2024, 1, 1), float(v)) for v in (1, 2, 6)] + [(None, 5.0)], f"date date, {name} double")
+        for name in ("rainfall_mm", "max_temp_c", "solar_exposure_mj")
+    ]
+    got = silver_weather(*feeds, settings).collect()
+    assert [tuple(r) for r in got] == [(date(2024, 1, 1), 3.0, 3.0, 3.0)]
+    assert silver_weather(*feeds, settings.but(weather_from=None)).count() == 1
+
+
+def test_gold_scans_silver_once(spark, tables, settings, tmp_path):
+    path = str(tmp_path / "silver")
+    tables.silver_soil().write.parquet(path)
+    from loamline.plans.gold import gold_hourly
+
+    plan = plan_of(gold_hourly(read_table(spark, path), settings))
+    assert plan.count("FileScan") == 1
+
+
+def test_pages_by_last_key(spark):
+    df = spark.range(10).withColumnRenamed("id", "key")
+    first = [r.key for r in page_after(df, "key", 4).collect()]
+    assert first == [0, 1, 2, 3]
+    assert [r.key for r in page_after(df, "key", 4, first[-1]).collect()] == [4, 5, 6, 7]
+
+
 def test_database_options(spark):
     assert connection("postgresql+psycopg2://me:p%40ss@db:5432/farm") == {
         "url": "jdbc:postgresql://db:5432/farm", "user": "me", "password": "p@ss",
@@ -149,8 +258,18 @@ def test_database_types_suit_sparks_parser(spark, tables):
 
 def test_settings_from_json(tmp_path):
     path = tmp_path / "c.json"
-    path.write_text(json.dumps({"thresholds": {"soil_moisture_irrigate": 25, "moisture_max": 90}}))
+    sections = {
+        "thresholds": {"soil_moisture_irrigate": 25, "moisture_max": 90, "min_rows": 7},
+        "api": {"timezone": "Australia/Sydney"},
+        "bounds": {"weather_from": None, "first_load": "2024-05-01"},
+    }
+    path.write_text(json.dumps(sections))
     s = Settings.from_json(str(path))
+    assert (s.timezone, s.min_rows, s.min_sites) == ("Australia/Sydney", 7, 10)
+    assert s.weather_from is None and s.first_load == datetime(2024, 5, 1)
+    path.write_text("{}")
+    assert Settings.from_json(str(path)) == Settings()
+    path.write_text(json.dumps(sections))
     assert s.irrigate_below == 25 and s.ranges["Moisture"] == (0.0, 90.0)
     assert s.shallow == (10, 20, 30, 40) and s.deep == (50, 60, 70, 80)
 
@@ -205,7 +324,7 @@ def test_no_python_and_no_cross_join_in_plans(spark, tables):
 
     from tests.conftest import SF
 
-    for name in ("gold_daily", "irrigation_status_latest", "rain_response", "replay_difference"):
-        plan = plan_of(catalog.queries()[name](spark, SF))
+    for name, run in catalog.queries().items():
+        plan = plan_of(run(spark, SF))
         for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan, (name, word)
