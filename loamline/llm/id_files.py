@@ -33,8 +33,9 @@ TOTAL_BITS = 24
 TOTAL = 1 << TOTAL_BITS
 # Order 0 keeps at least this part of the range, so that every id can be coded at any time.
 RESERVED = 1 << 22
-HASH_BITS = 13
+HASH_BITS = 12
 STEP = 24
+LEAP = 256
 _WORD = np.uint64(32)
 _LOW = np.uint64((1 << 32) - 1)
 _BOTTOM = np.uint64(1 << 32)
@@ -46,54 +47,61 @@ class Mixer:
     Order 0 is a table of counts, summed up anew at set places. Orders 1 and 2 remember the last id
     that followed one or two ids (by hashed context) and how often in a row they were right. The
     three predictions are mixed: each context's id gets a share of the range by how often contexts
-    of that standing have been right in this block so far, the rest goes by order 0. All numbers are
-    whole, so every machine codes alike. A new object knows nothing: blocks are independent.
+    of that standing have been right in this block so far, the rest goes by order 0. The only
+    fractions are quotients of whole numbers below 2**45, rounded down, which are exact in double
+    precision, so every machine codes alike. A new object knows nothing: blocks are independent.
+
+    All tables are flat, with one part per block; arrays of shape (2, blocks) hold orders 1 and 2.
     """
 
     def __init__(self, blocks: int, alphabet: int, length: int):
-        self.alphabet, self.rows = alphabet, np.arange(blocks)
-        self.offsets = self.rows * (alphabet + 1)
-        self.counts = np.ones((blocks, alphabet), dtype=np.uint32)
-        self.below = np.zeros((blocks, alphabet + 1), dtype=np.uint32)
+        rows = np.arange(blocks)
+        self.alphabet, self.shape = alphabet, (blocks, alphabet)
+        self.counts = np.ones(blocks * alphabet, dtype=np.uint32)
+        self.below = np.zeros(blocks * (alphabet + 1), dtype=np.uint32)
+        self.counts_at, self.below_at = rows * alphabet, rows * (alphabet + 1)
         self.refresh()
-        self.guess = [np.zeros((blocks, 1 << HASH_BITS), dtype=np.uint32) for _ in range(2)]
-        self.streak = [np.zeros((blocks, 1 << HASH_BITS), dtype=np.uint8) for _ in range(2)]
-        self.hits = np.ones((2, blocks, 4), dtype=np.int64)
-        self.tries = np.full((2, blocks, 4), 3, dtype=np.int64)
+        orders = np.array([[0], [blocks]]) + rows
+        # A slot holds the id that came last, plus one, and in its two lowest bits its standing.
+        self.slots = np.zeros(2 * blocks << HASH_BITS, dtype=np.uint32)
+        self.slots_at = orders << HASH_BITS
+        self.odds = np.full(2 * blocks * 4, 1 << 14, dtype=np.int64)
+        self.odds_at = orders * 4
         self.last = np.zeros((2, blocks), dtype=np.int64)
         self.places = {1 << k for k in range(6, 40)} | set(range(4096, length + 1, 4096))
         self.seen = 0
 
     def refresh(self) -> None:
-        np.cumsum(self.counts, axis=1, out=self.below[:, 1:])
-        self.sum = self.below[:, -1].astype(np.int64)
+        below = self.below.reshape(self.shape[0], -1)
+        np.cumsum(self.counts.reshape(self.shape), axis=1, out=below[:, 1:])
+        leaps = below[:, : self.alphabet : LEAP]
+        self.n_leaps = leaps.shape[1]
+        self.leaps, self.leaps_at = leaps.ravel(), np.arange(self.shape[0]) * self.n_leaps
+        self.sum = below[:, -1].astype(np.float64)
 
     def predict(self) -> None:
         """Set slots, guesses (-1 where there is none) and shares for the next id."""
         one, two = self.last
-        mask = (1 << HASH_BITS) - 1
-        self.slots = (
-            (one * 40503 >> 5) & mask,
-            ((one * 2654435761 + two * 40503 * 65537) >> 15) & mask,
-        )
-        rows, left = self.rows, np.full(len(self.rows), TOTAL - RESERVED, dtype=np.int64)
-        self.ids, self.standing, self.shares = [None, None], [None, None], [None, None]
-        for order in (1, 0):
-            slot = self.slots[order]
-            guess = self.guess[order][rows, slot].astype(np.int64) - 1
-            standing = self.streak[order][rows, slot]
-            odds = (self.hits[order][rows, standing] << 16) // self.tries[order][rows, standing]
-            share = np.where(guess >= 0, (left * odds) >> 16, 0)
-            left = left - share
-            self.ids[order], self.standing[order], self.shares[order] = guess, standing, share
-        self.rest = TOTAL - self.shares[0] - self.shares[1]
-
-    def start_of(self, ids: np.ndarray) -> np.ndarray:
-        """Where the ids begin within the range."""
-        start = self.below[self.rows, ids].astype(np.int64) * self.rest // self.sum
-        start += np.where(self.ids[0] < ids, self.shares[0], 0)
-        start += np.where(self.ids[1] < ids, self.shares[1], 0)
-        return start
+        hashed = np.stack([one * 40503 >> 5, (one * 2654435761 + two * 2654481408) >> 15])
+        self.slot = self.slots_at + (hashed & ((1 << HASH_BITS) - 1))
+        value = self.slots[self.slot].astype(np.int64)
+        self.guess, self.standing = (value >> 2) - 1, value & 3
+        self.known = value > 0
+        self.odd = self.odds_at + self.standing
+        self.chance = self.odds[self.odd]
+        wanted = self.chance * self.known
+        second = ((TOTAL - RESERVED) * wanted[1]) >> 16
+        first = ((TOTAL - RESERVED - second) * wanted[0]) >> 16
+        self.shares = np.stack([first, second])
+        self.rest = (TOTAL - first - second).astype(np.float64)
+
+    def part(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the parts of ids begin within the range, and their sizes."""
+        at = self.below_at + ids
+        low = np.floor(self.below[at] * self.rest / self.sum).astype(np.int64)
+        high = np.floor(self.below[at + 1] * self.rest / self.sum).astype(np.int64)
+        (g, h), (s, t) = self.guess, self.shares
+        return low + s * (g < ids) + t * (h < ids), high - low + s * (g == ids) + t * (h == ids)
 
     def find(self, at: np.ndarray) -> np.ndarray:
         """The ids whose parts hold the given places.
@@ -101,42 +109,47 @@ class Mixer:
         Where a place lies against the parts of the two guesses tells what to take off it; what is
         left belongs to order 0, whose counts are then searched by halving.
         """
-        swap = self.ids[0] > self.ids[1]
-        first, second = np.where(swap, self.ids[::-1], self.ids)
-        share_1, share_2 = np.where(swap, self.shares[::-1], self.shares)
-        left, found = at.copy(), np.full(len(at), -1, dtype=np.int64)
-        for guess, share in ((first, share_1), (second, share_2)):
-            known = guess >= 0
-            own = np.where(known, guess, 0)
-            passed = known & (at >= self.start_of(own + 1))
-            left -= np.where(passed, share, 0)
-            found = np.where(known & ~passed & (at >= self.start_of(own)), guess, found)
-        count = ((left + 1) * self.sum - 1) // self.rest
-        flat, low = self.below.ravel(), np.zeros(len(at), dtype=np.int64)
-        size = 1 << (self.alphabet - 1).bit_length()
-        while size > 1:
-            size >>= 1
-            probe = np.minimum(low + size, self.alphabet)
-            low = np.where(flat[self.offsets + probe] <= count, probe, low)
-        return np.where(found >= 0, found, low)
+        own = np.maximum(self.guess, 0)
+        start, size = self.part(own)
+        inside = self.known & (at >= start) & (at < start + size)
+        passed = self.known & (at >= start + size)
+        # Both orders may guess one id, whose part then has both shares.
+        left = at - self.shares[0] * passed[0] - self.shares[1] * passed[1]
+        count = np.floor(((left + 1) * self.sum - 1) / self.rest)
+        # First among every 256th id, whose few counts stay in the processor's cache.
+        leap = _halving(self.leaps, self.leaps_at, self.n_leaps, count)
+        low = LEAP * leap + _halving(self.below, self.below_at + LEAP * leap, LEAP, count, self.alphabet - LEAP * leap)
+        return np.where(inside[0], own[0], np.where(inside[1], own[1], low))
 
     def learn(self, ids: np.ndarray) -> None:
-        rows = self.rows
-        self.counts[rows, ids] += STEP
-        for order in (0, 1):
-            slot, right = self.slots[order], self.ids[order] == ids
-            known = self.ids[order] >= 0
-            standing = self.standing[order]
-            self.hits[order][rows, standing] += right & known
-            self.tries[order][rows, standing] += known
-            self.streak[order][rows, slot] = np.where(right, np.minimum(standing + 1, 3), 0)
-            self.guess[order][rows, slot] = ids + 1
+        self.counts[self.counts_at + ids] += STEP
+        right = self.guess == ids
+        self.odds[self.odd] += self.known * (((right << 16) - self.chance) >> 5)
+        standing = np.minimum(self.standing + 1, 3) * right
+        self.slots[self.slot] = (ids + 1 << 2) | standing
         self.last = np.stack([ids, self.last[0]])
         self.seen += 1
         if self.seen in self.places:
             self.refresh()
 
 
+def _halving(
+    table: np.ndarray,
+    at: np.ndarray,
+    size: int,
+    wanted: np.ndarray,
+    most: np.ndarray | int | None = None,
+) -> np.ndarray:
+    """In each rising part of the table the last of ``size`` entries that is not above ``wanted``."""
+    most = size - 1 if most is None else np.minimum(most, size) - 1
+    low, step = np.zeros(len(at), dtype=np.int64), 1 << (size - 1).bit_length()
+    while step > 1:
+        step >>= 1
+        probe = np.minimum(low + step, most)
+        low = np.where(table[at + probe] <= wanted, probe, low)
+    return low
+
+
 def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
     """Range-code the rows of ``ids`` (blocks of equal length), each by itself."""
     blocks, length = ids.shape
@@ -145,13 +158,12 @@ def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
     span = np.full(blocks, np.iinfo(np.uint64).max, dtype=np.uint64)
     out = np.zeros((blocks, length + 4), dtype=np.uint32)
     used = np.zeros(blocks, dtype=np.int64)
-    for column in ids.T.astype(np.int64):
+    for column in np.ascontiguousarray(ids.T, dtype=np.int64):
         mixer.predict()
-        start = mixer.start_of(column)
-        after = mixer.start_of(column + 1)
+        start, size = mixer.part(column)
         part = span >> np.uint64(TOTAL_BITS)
         low = low + part * start.astype(np.uint64)
-        span = part * (after - start).astype(np.uint64)
+        span = part * size.astype(np.uint64)
         shift, span = _due(low, span)
         if shift.any():
             rows = np.flatnonzero(shift)
@@ -191,10 +203,9 @@ def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
         part = span >> np.uint64(TOTAL_BITS)
         at = np.minimum((code - low) // part, np.uint64(TOTAL - 1)).astype(np.int64)
         found = mixer.find(at)
-        start = mixer.start_of(found)
-        after = mixer.start_of(found + 1)
+        start, size = mixer.part(found)
         low = low + part * start.astype(np.uint64)
-        span = part * (after - start).astype(np.uint64)
+        span = part * size.astype(np.uint64)
         shift, span = _due(low, span)
         if shift.any():
             rows = np.flatnonzero(shift)
