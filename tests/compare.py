@@ -76,7 +76,7 @@ def main() -> None:
     con, runs, sqls = duck(sf_dir), entry.queries(), entry.oracle_sql()
     print("without SQL:", sorted(set(runs) - set(sqls)), "without query:", sorted(set(sqls) - set(runs)))
     bad = 0
-    for name in names or runs:
+    for name in names or [n for n in runs if n in sqls]:
         start = time.time()
         try:
             problem, n = differences(spark, con, sf_dir, runs[name], sqls[name])
