@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamline.llm.shared import stored
+
 SAMPLES = 64
 SEED = 29
 # Draws are taken from tables of equally likely values, as logarithms would cost most of the time.
@@ -78,14 +80,21 @@ def samples(term: Column, weight: Column, count: int, seed: int) -> list[Column]
 def signatures(
     terms: DataFrame, keys: list[str], term: str, weight: str, count: int = SAMPLES, seed: int = SEED
 ) -> DataFrame:
-    """Group weighted terms (one row per key and term) into ``signature``: an array of doubles.
+    """Group weighted terms (one row per key and term) into ``signature``: an array of whole numbers.
 
-    The minima combine on the map side, and no text's terms need to be in one place.
+    Each stands for a least key, by 31 bits of its hash. The minima combine on the map side, and no
+    text's terms need to be in one place.
     """
     drawn = samples(F.col(term), F.col(weight), count, seed)
     least = [F.min(s).alias(f"__s{k}") for k, s in enumerate(drawn)]
     return terms.groupBy(*keys).agg(*least).select(
-        *keys, F.array(*[F.col(f"__s{k}") for k in range(count)]).alias("signature")
+        *keys,
+        F.array(
+            *[
+                F.xxhash64(f"__s{k}").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+                for k in range(count)
+            ]
+        ).alias("signature"),
     )
 
 
@@ -103,7 +112,7 @@ def likeness(one: Column, other: Column) -> Column:
 
 def as_text(signature: Column) -> Column:
     """A fingerprint as text: eight hexadecimal digits for each sample; empty without terms."""
-    digits = F.transform(signature, lambda s: F.right(F.lpad(F.hex(F.xxhash64(s)), 16, "0"), F.lit(8)))
+    digits = F.transform(signature, lambda s: F.lpad(F.hex(s), 8, "0"))
     return F.coalesce(F.array_join(digits, ""), F.lit(""))
 
 
@@ -123,6 +132,8 @@ def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) ->
     cuts = constant_array(marks, "r") if marks else F.array().cast("array<double>")
     passed = F.size(F.filter(cuts, lambda mark: mark <= F.col("order")))
     own = own.withColumn("range", passed)
+    # More partitions than usual: each text becomes many terms there.
+    own = own.repartition(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "range")
     window = Window.partitionBy("range").orderBy(
         F.col("order").desc(), F.xxhash64("text").desc(), F.col("text")
     )
@@ -136,10 +147,14 @@ def ring_heads(placed: DataFrame, column: str) -> DataFrame:
 
     One row per range comes together; the last range is followed by the first.
     """
-    ring = Window.orderBy(F.col("range").desc())
+    # The id, which decides nothing here, keeps the columns of every use of the texts alike, so that
+    # they are shuffled once.
+    ring = Window.orderBy(F.col("range").desc(), "id")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return placed.filter(F.col("at") == 1).select(
-        "range", F.coalesce(F.lead(column).over(ring), F.first(column).over(whole)).alias("head")
+        "range", F.when(F.lead("at").over(ring).isNotNull(), F.lead(column).over(ring))
+        .otherwise(F.first(column).over(whole))
+        .alias("head")
     )
 
 
@@ -169,10 +184,10 @@ def fingerprints(
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), start)
     rows = linked.withColumn("edited", edited)
     sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(("text", "edited"))])
-    words = rows.select("range", "at", F.explode(sides).alias("part")).select(
-        "range", "at", "part.side", F.explode(F.split("part.text", SPACES)).alias("word")
+    words = rows.select("range", "at", "id", F.explode(sides).alias("part")).select(
+        "range", "at", "id", "part.side", F.explode(F.split("part.text", SPACES)).alias("word")
     )
-    key = ["range", "at", "side"]
+    key = ["range", "at", "id", "side"]
     weighted = (
         words.filter(F.col("word") != "")
         .groupBy(*key, F.xxhash64("word").alias("term"))
@@ -192,12 +207,14 @@ def fingerprints(
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
     )
-    described = facts.join(pairs, ["range", "at"], "left")
+    described = stored(
+        facts.join(pairs, ["range", "at"], "left"), docs.sparkSession, "fingerprints"
+    )
     # The next document's fingerprint is its own row's; across ranges it is handed on as the text was.
     beside = described.withColumn(
         "inside", F.lead(F.struct("own")).over(Window.partitionBy("range").orderBy("at"))
     )
-    heads = ring_signatures(placed, count)
+    heads = ring_heads(described, "own")
     following = F.when(F.col("inside").isNotNull(), F.col("inside.own")).otherwise(F.col("head"))
     return beside.join(heads, "range").select(
         F.col("id").alias(id_column),
@@ -208,16 +225,3 @@ def fingerprints(
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), following).alias("near_next"),
     )
-
-
-def ring_signatures(placed: DataFrame, count: int) -> DataFrame:
-    """For each range, ``head``: the signature of the text that follows its last one (NULL if none)."""
-    heads = ring_heads(placed, "text")
-    words = heads.select("range", F.explode(F.split("head", SPACES)).alias("word"))
-    weighted = (
-        words.filter(F.col("word") != "")
-        .groupBy("range", F.xxhash64("word").alias("term"))
-        .agg(F.count("*").alias("weight"))
-    )
-    signed = signatures(weighted, ["range"], "term", "weight", count)
-    return heads.select("range").join(signed, "range", "left").withColumnRenamed("signature", "head")
