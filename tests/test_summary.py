@@ -3,8 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from bench import three_pivots
-from loamline.operators.summary import day_of, summarize, texture_lookup
+from loamline.operators.summary import day_of, summarize, texture_lookup, wide_column
 from loamline.plans.gold import gold_daily, gold_hourly
 from tests.conftest import plan_of, same_rows
 
@@ -35,16 +34,40 @@ def silver(spark):
     return spark.createDataFrame(EDGES, SCHEMA)
 
 
-def test_fused_equals_three_pivots(silver, settings, tables):
+def filtered_averages(silver, settings):
+    """The summary as SQL text: one filtered average per column, and means over columns that are known."""
+    cells = {
+        wide_column(m, d): f"avg(soil_value) FILTER (WHERE measure_type = '{m}' AND depth_cm = {d})"
+        for m in settings.ranges
+        for d in settings.depths
+    }
+
+    def mean(depths):
+        known = f"filter(array({', '.join(wide_column('Moisture', d) for d in depths)}), x -> x IS NOT NULL)"
+        return f"aggregate({known}, 0D, (a, x) -> a + x) / nullif(size({known}), 0)"
+
+    wide = ", ".join(f"{text} AS {name}" for name, text in cells.items())
+    return silver.sparkSession.sql(
+        f"""SELECT *, {mean(settings.shallow)} AS avg_moisture_shallow,
+          {mean(settings.deep)} AS avg_moisture_deep
+        FROM (SELECT site_name, site_id, CAST(event_time AS DATE) AS date, {wide}
+          FROM {{silver}} GROUP BY ALL HAVING count_if(measure_type = 'Moisture') > 0)""",
+        silver=silver,
+    )
+
+
+def test_summary_equals_filtered_averages(silver, settings, tables):
     for rows in (silver, tables.silver_soil()):
         fused = summarize(rows, day_of(rows, settings), "date", settings)
-        pivots = three_pivots(rows, settings)
-        assert fused.columns == pivots.columns
+        with_texture = summarize(rows, day_of(rows, settings), "date", settings, texture=True)
+        plain = filtered_averages(rows, settings)
+        assert fused.columns == plain.columns
 
         def rounded(df):
             return df.select(*[F.round(c, 6).alias(c) if k == "double" else c for c, k in df.dtypes])
 
-        assert same_rows(rounded(fused), rounded(pivots))
+        assert same_rows(rounded(fused), rounded(plain))
+        assert same_rows(rounded(with_texture.drop("soil_texture")), rounded(plain))
 
 
 def test_edges(spark, silver, settings):
