@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.llm.components import components
@@ -306,22 +307,9 @@ def in_tiles(rows: DataFrame) -> DataFrame:
     return rows.repartition(wide, "tile").sortWithinPartitions("tile")
 
 
-def near_duplicates(
-    docs: DataFrame, join: PathJoin = PathJoin(), id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """One row per row of ``docs``: id, ``class_id`` and ``n_links``.
-
-    Two texts are linked when their sets of five-word shingles (words between ASCII white space) have
-    a Jaccard similarity of 0.8 or more. ``n_links`` counts the other rows linked with a row, copies
-    included. ``class_id`` is the least id among all rows that links connect with it.
-
-    The sets' MinHash signatures are split on sampled coordinates, again while a bucket is large;
-    small buckets are compared pair by pair, and the whole is repeated for the recall. Every pair
-    found is checked on the sets themselves in exactly one bucket, its first.
-
-    Fewer than five words make one shingle. Texts without words, NULL among them, are copies of each
-    other. Rows with equal or NULL ids are rows of their own; a class of NULL ids only has the id
-    NULL. Other columns are ignored; an empty table gives an empty table.
+def in_groups(docs: DataFrame, join: PathJoin, id_column: str, text_column: str) -> DataFrame:
+    """One row per row of ``docs``: id, hash of the text, ``root`` (digest that names the group of
+    all rows that links connect), ``class_id`` and ``n_links``.
     """
     spark = docs.sparkSession
     sets = stored(sets_of(docs, join, id_column, text_column), spark, "path-sets")
@@ -360,25 +348,66 @@ def near_duplicates(
     )
     least = grouped.groupBy("root").agg(F.min("least_id").alias("class_id"))
     known = grouped.join(least, "root").select(
-        "cls", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "cls", "root", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    return sets.join(known, "cls").select(F.col("id").alias(id_column), "class_id", "n_links")
+    return sets.join(known, "cls").select("id", "hash", "root", "class_id", "n_links")
+
+
+def near_duplicates(
+    docs: DataFrame, join: PathJoin = PathJoin(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: id, ``class_id`` and ``n_links``.
+
+    Two texts are linked when their sets of five-word shingles (words between ASCII white space) have
+    a Jaccard similarity of 0.8 or more. ``n_links`` counts the other rows linked with a row, copies
+    included. ``class_id`` is the least id among all rows that links connect with it.
+
+    The sets' MinHash signatures are split on sampled coordinates, again while a bucket is large;
+    small buckets are compared pair by pair, and the whole is repeated for the recall. Every pair
+    found is checked on the sets themselves in exactly one bucket, its first.
+
+    Fewer than five words make one shingle. Texts without words, NULL among them, are copies of each
+    other. Rows with equal or NULL ids are rows of their own; a class of NULL ids only has the id
+    NULL. Other columns are ignored; an empty table gives an empty table.
+    """
+    rows = in_groups(docs, join, id_column, text_column)
+    return rows.select(F.col("id").alias(id_column), "class_id", "n_links")
 
 
 def one_of_each(
     docs: DataFrame, join: PathJoin = PathJoin(), id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``docs`` without near duplicates: of each class the row with the least id stays.
+    """``docs`` without near duplicates: of each group that links connect one row stays.
 
-    Rows that share that id but differ in text, and rows of a class without ids, fall to the least
-    hash of the text; of equal rows one stays.
+    That is the row with the least id, NULL last; of rows with that id the one with the least hash of
+    the text; of rows with that text too the least one by the other columns. Rows of different groups
+    stay apart, whether or not they share an id.
     """
-    spark = docs.sparkSession
-    classes = stored(near_duplicates(docs, join, id_column, text_column), spark, "path-rows")
-    firsts = stored(classes.select(F.col("class_id").alias("__id")).distinct(), spark, "path-firsts")
-    rows = docs.join(firsts, F.col(id_column).eqNullSafe(F.col("__id")), "left_semi")
-    # Only where some id stands in several rows, one of them has to be chosen.
-    if classes.groupBy(id_column).count().filter("count > 1").isEmpty():
-        return rows
-    order = Window.partitionBy(id_column).orderBy(F.xxhash64(text_column), F.col(text_column))
-    return rows.withColumn("__at", F.row_number().over(order)).filter("__at = 1").drop("__at")
+    rows = in_groups(docs, join, id_column, text_column)
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "n")
+    firsts = stored(
+        rows.groupBy("root", "id", "hash")
+        .agg(F.count("*").alias("n"))
+        .groupBy("root")
+        .agg(F.min(place).alias("first"))
+        .groupBy(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash"))
+        .agg(F.sum("first.n").alias("__n")),
+        docs.sparkSession,
+        "path-firsts",
+    )
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
+    alone = docs.join(firsts.filter("__n = 1"), same, "left_semi")
+    equal = firsts.filter("__n > 1")
+    if equal.isEmpty():
+        return alone
+    # Equal rows are reduced map-side; maps and variants have no order.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kinds = [(f.name, f.dataType.simpleString()) for f in docs.schema]
+    order = F.struct(*[F.col(f"`{c}`") for c, kind in kinds if not re.search("map<|variant", kind)])
+    chosen = (
+        docs.join(equal, same, "left_semi")
+        .groupBy(F.col(f"`{id_column}`").alias("__id"), text.alias("__text"))
+        .agg(F.min_by(whole, order).alias("__row"))
+    )
+    return alone.unionByName(chosen.select("__row.*"))

@@ -83,6 +83,27 @@ def test_odd_rows_in_the_join(spark):
     assert len(ids) == len(set(ids)) == len({c for _, c, _ in brute(ODD)})
 
 
+def test_one_row_of_every_group_stays(spark):
+    base, other = prose(400, 80), prose(401, 80)
+    texts = [
+        (None, prose(402)),
+        (None, prose(403)),
+        (None, prose(403)),
+        (9, "one two"),
+        (9, prose(404)),
+        (3, base),
+        (5, edited(base, 3)),
+        (5, other),
+        (7, None),
+        (7, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(texts)], "doc_id bigint, text string, n int")
+    docs = docs.withColumn("more", F.create_map(F.lit("k"), F.col("n")))
+    kept = chosen_path.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.n for r in kept.collect()) == [0, 1, 3, 4, 5, 7, 8]
+
+
 def test_runs_follow_the_recall():
     assert chosen_path.PathJoin(recall=0.9).runs < chosen_path.PathJoin(recall=0.999).runs
     assert 0 < chosen_path.PathJoin().sure < 0.8
