@@ -26,48 +26,65 @@ UNIT_SCHEMA = (
 )
 
 
+# Whole lines that are judged besides their parts are numbered from here on, all others from 0.
+WHOLES = -(1 << 30)
+
+
 @dataclass(frozen=True)
 class Units:
-    """How texts are cut. ``kind`` is line, paragraph or sentence; units of fewer words are not
-    judged by themselves. Sentences end with their line at the latest; those of more than
-    ``long_sentence`` words are cut into clauses, so that a passage that starts within one is found.
+    """How texts are cut. ``kind`` is line, paragraph or sentence. Sentences end with their line at the
+    latest; those of more than ``long_sentence`` words are cut into clauses, so that a passage that
+    starts within one is found. Sentences and clauses of fewer than ``least_words`` words and
+    ``least_chars`` characters are not judged by themselves; the whole line that holds one is then
+    judged too. Lines and paragraphs are judged whatever their length.
     """
 
     kind: str = "sentence"
     least_words: int = 5
     long_sentence: int = 24
+    least_chars: int = 20
 
-    def cut(self, text: str) -> Iterator[str]:
-        if self.kind == "paragraph":
-            yield from PARAGRAPH_END.split(text)
+    def parts(self, whole: str) -> Iterator[str]:
+        """Sentences of a line, long ones in clauses; with the other kinds the whole itself."""
+        if self.kind != "sentence":
+            yield whole
             return
-        for line in LINE_END.split(text):
-            if self.kind == "line":
-                yield line
-                continue
-            for sentence in SENTENCE_END.split(line):
-                if sentence.count(" ") > self.long_sentence:
-                    yield from CLAUSE_END.split(sentence)
-                else:
-                    yield sentence
-
-    def found(self, text: str) -> Iterator[tuple[int, int, int, int, int]]:
-        """Judged units: begin, end, digest of the shorter units right before, digest (two halves).
+        for sentence in SENTENCE_END.split(whole):
+            if sentence.count(" ") > self.long_sentence:
+                yield from CLAUSE_END.split(sentence)
+            else:
+                yield sentence
+
+    def found(self, text: str) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """Judged units: number, begin, end, digest of the shorter units right before, digest (two halves).
 
         Normalised are case and white space; ends leave out the line break.
         """
-        at, lead = 0, xxhash.xxh64()
-        for piece in self.cut(text):
-            words = piece.lower().split()
-            if len(words) >= self.least_words:
-                begin = at + len(piece) - len(piece.lstrip())
-                digest = xxhash.xxh3_128_intdigest(" ".join(words))
-                yield begin, at + len(piece.rstrip()), lead.intdigest(), digest >> 64, digest & (1 << 64) - 1
-                lead = xxhash.xxh64()
-            else:
-                for word in words:
-                    lead.update(word + " ")
-            at += len(piece)
+        at, pos, extra, lead = 0, 0, WHOLES, xxhash.xxh64()
+        for whole in (PARAGRAPH_END if self.kind == "paragraph" else LINE_END).split(text):
+            start, short = at, False
+            for piece in self.parts(whole):
+                words = piece.lower().split()
+                normal = " ".join(words)
+                if len(words) >= self.least_words or len(normal) >= self.least_chars:
+                    yield pos, *bounds(piece, at), lead.intdigest(), *halves(normal)
+                    pos, lead = pos + 1, xxhash.xxh64()
+                elif words:
+                    short = True
+                    lead.update(normal + " ")
+                at += len(piece)
+            if short:
+                yield extra, *bounds(whole, start), 0, *halves(" ".join(whole.lower().split()))
+                extra += 1
+
+
+def bounds(piece: str, at: int) -> tuple[int, int]:
+    return at + len(piece) - len(piece.lstrip()), at + len(piece.rstrip())
+
+
+def halves(normal: str) -> tuple[int, int]:
+    digest = xxhash.xxh3_128_intdigest(normal)
+    return digest >> 64, digest & (1 << 64) - 1
 
 
 def signed(value: int) -> int:
@@ -81,7 +98,7 @@ def units_of(docs: DataFrame, units: Units, id_column: str, text_column: str) ->
         for part in parts:
             owners, rows = [], []
             for i, (key, text) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
-                for pos, (begin, end, lead, high, low) in enumerate(units.found(text)):
+                for pos, begin, end, lead, high, low in units.found(text):
                     owners.append(i)
                     rows.append((key, pos, begin, end, signed(lead), signed(high), signed(low)))
             columns = list(zip(*rows)) if rows else [[]] * 7
@@ -109,7 +126,7 @@ def repeats(found: DataFrame) -> DataFrame:
     has no key with more than a thousandth of the rows.
     """
     spark = found.sparkSession
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "pos", "lead")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "begin", "pos", "lead")
     firsts = stored(
         found.groupBy("high", "low")
         .agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -136,7 +153,8 @@ def removed_spans(found: DataFrame) -> DataFrame:
     """Per text (id, hash) the spans to remove, in order: begin, end, id of the first occurrence.
 
     Where two neighbouring units repeat two neighbouring ones of one text, with the same shorter
-    units between, the span runs over those too.
+    units between, the span runs over those too. Spans do not overlap: what a whole line covers is
+    left out of the others.
     """
     rows = repeats(found).select(
         "id", "hash", F.struct("pos", "begin", "end", "lead", "first").alias("unit")
@@ -147,6 +165,7 @@ def removed_spans(found: DataFrame) -> DataFrame:
         before = F.get("units", at - 1)
         run = (
             (at > 0)
+            & (unit["pos"] > 0)
             & (before["pos"] == unit["pos"] - 1)
             & before["first"]["id"].eqNullSafe(unit["first"]["id"])
             & (before["first"]["hash"] == unit["first"]["hash"])
@@ -159,7 +178,29 @@ def removed_spans(found: DataFrame) -> DataFrame:
             unit["first"]["id"].alias("first_id"),
         )
 
-    return lists.select("id", "hash", F.transform("units", span).alias("removed"))
+    spans = F.transform("units", span)
+    # By begin; of spans with the same begin the longest first.
+    by_begin = F.array_sort(
+        spans,
+        lambda a, b: F.when(a["begin"] != b["begin"], F.signum(a["begin"] - b["begin"]))
+        .otherwise(F.signum(b["end"] - a["end"]))
+        .cast("int"),
+    )
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.filter(spans, lambda s: F.lit(False)).alias("out"))
+
+    def beyond(done: Column, s: Column) -> Column:
+        rest = F.struct(
+            F.greatest(s["begin"], done["at"]).alias("begin"), s["end"].alias("end"), s["first_id"].alias("first_id")
+        )
+        return F.struct(
+            F.greatest(s["end"], done["at"]).alias("at"),
+            F.when(s["end"] > done["at"], F.concat(done["out"], F.array(rest))).otherwise(done["out"]).alias("out"),
+        )
+
+    apart = F.aggregate(by_begin, none, beyond, lambda done: done["out"])
+    # Only whole lines overlap other units, and they come first by their numbers.
+    removed = F.when(F.get("units", F.lit(0))["pos"] < 0, apart).otherwise(spans)
+    return lists.select("id", "hash", removed.alias("removed"))
 
 
 def without_repeats(

@@ -138,6 +138,24 @@ def test_shorter_units_inside_a_repeated_run_go_too(spark):
     assert [(s.begin, s.end) for s in got[2].removed] == [(25, 25 + len(prose(80, 9))), (25 + len(prose(80, 9)), 25 + len(run))]
 
 
+def test_whole_lines_of_any_length_go(spark):
+    long = prose(90, 9)
+    texts = [
+        (1, f"All rights reserved.\n{prose(91)}\n版权所有不得转载\nYes. {long} No."),
+        (2, f"{prose(92)}\nALL  rights reserved.\nYes. {long} No.\n版权所有不得转载"),
+        (3, f"Here all. No rights.\n{prose(93)} 版权所有不得转载版权所有不得转载版权所有。 x y. End of it here now."),
+        (4, f"{prose(94)} 版权所有不得转载版权所有不得转载版权所有。 x y. Yes."),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in without_repeats(docs).collect()}
+    assert got[1].text == texts[0][1] and got[3].text == texts[2][1]
+    assert got[2].text == f"{prose(92)}\n\n\n"
+    assert [(s.begin, s.end, s.first_id) for s in got[2].removed] == [
+        (m.start(), m.end(), 1) for m in re.finditer("ALL.*|Yes.*|版.*", texts[1][1])
+    ]
+    assert got[4].text == f"{prose(94)}  Yes."
+
+
 def test_hot_line_and_equal_rows(spark):
     hot = "the very same line in all of them"
     docs = spark.range(3000).select(
