@@ -204,11 +204,43 @@ def joined(spans: Column, names: Iterable[str]) -> Column:
     )
 
 
+def uncovered(runs: Column, spans: Column, rank: int) -> Column:
+    """What ``spans``, in order of start, leave of ``runs``: all pieces of two characters or more."""
+
+    def pieces(run: Column) -> Column:
+        over = F.filter(spans, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+        def piece(start: Column, end: Column) -> Column:
+            text = F.substring(run["text"], (start - run["start"] + 1).cast("int"), (end - start).cast("int"))
+            return F.struct(
+                start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), text.alias("text")
+            )
+
+        # Gaps lie between the furthest end so far and the next start, the last before the run's end.
+        last = F.struct(run["end"].alias("start"), run["end"].alias("end"))
+        edges = F.concat(F.transform(over, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))), F.array(last))
+        none = F.struct(run["start"].alias("at"), F.filter(F.array(run), lambda r: F.lit(False)).alias("out"))
+
+        def step(done: Column, edge: Column) -> Column:
+            wide = edge["start"] - done["at"] > 1
+            return F.struct(
+                F.greatest(done["at"], edge["end"]).alias("at"),
+                F.when(wide, F.concat(done["out"], F.array(piece(done["at"], edge["start"])))).otherwise(done["out"]).alias("out"),
+            )
+
+        return F.when(F.size(over) == 0, F.array(run)).otherwise(
+            F.aggregate(edges, none, step, lambda done: done["out"])
+        )
+
+    return F.when(F.size(spans) == 0, runs).otherwise(F.flatten(F.transform(runs, pieces)))
+
+
 def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -> DataFrame:
     """``docs`` with the arrays ``base_spans`` and ``all_spans`` (start, rank of kind, end, text).
 
     Positions are code points, the end exclusive, in order of start and kind. NULL and empty texts
-    have none. The models judge runs of 20 or more key characters that touch no base span.
+    have none. The models judge runs of 20 or more key characters; of a run that base spans touch they
+    judge each piece outside of them, whatever its length.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     base = F.array_sort(
@@ -220,13 +252,8 @@ def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -
         )
     )
     runs = matches(text, CANDIDATE, 0, LEAST_RUN, len(KINDS))
-    apart = F.filter(
-        F.col("run_spans"),
-        lambda r: ~F.exists(
-            F.col("base_spans"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-        )
-        & models.random(r["text"]),
-    )
+    pieces = uncovered(F.col("run_spans"), F.col("base_spans"), len(KINDS))
+    apart = F.filter(pieces, lambda r: models.random(r["text"]))
     return (
         docs.withColumn("small_text", F.lower(text))
         .withColumn("base_spans", base)
