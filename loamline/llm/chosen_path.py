@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +45,45 @@ class PathJoin:
         """Chance of a coordinate to be chosen at a node: 1 / threshold of them on average."""
         return 1 / (self.threshold * self.coordinates)
 
+    def missed(self, drawn: list[int]) -> float:
+        """Chance that a pair at the threshold shares no path that begins at a coordinate in ``drawn``.
+
+        Below, nodes choose among all coordinates, so how many of them agree decides how paths survive.
+        """
+        s, chance = self.threshold, min(self.chance, 1.0)
+        alive = [1.0] * (self.coordinates + 1)
+        for _ in range(self.depth - 1):
+            alive = [1 - (1 - chance * a) ** agreed for agreed, a in enumerate(alive)]
+        # Of the drawn coordinates so many agree, and so many paths begin at these.
+        states = {(0, 0): 1.0}
+        times = Counter(drawn)
+        for n in times.values():
+            after = Counter()
+            for (agreed, begun), p in states.items():
+                after[agreed, begun] += p * (1 - s)
+                after[agreed + 1, begun + n] += p * s
+            states = after
+        rest = self.coordinates - len(times)
+        others = [math.comb(rest, k) * s**k * (1 - s) ** (rest - k) for k in range(rest + 1)]
+        return sum(
+            p * q * (1 - alive[agreed + k]) ** begun
+            for (agreed, begun), p in states.items()
+            for k, q in enumerate(others)
+        )
+
+    @property
+    def drawn(self) -> list[int]:
+        """Coordinates that split all sets first: the share of every run, and more until the recall holds.
+
+        All coordinates are drawn once, in an order of the seed, before one is drawn again.
+        """
+        order = random.Random(self.seed).sample(range(self.coordinates), self.coordinates)
+        share = math.ceil(self.runs / self.threshold)
+        drawn = []
+        while len(drawn) < share or self.missed(drawn) > 1 - self.recall:
+            drawn.append(order[len(drawn) % self.coordinates])
+        return drawn
+
     @property
     def runs(self) -> int:
         """Enough repetitions for the recall, each with the chance that a path survives."""
@@ -92,15 +132,8 @@ def sets_of(docs: DataFrame, join: PathJoin, id_column: str, text_column: str) -
 
 
 def first_buckets(classes: DataFrame, join: PathJoin) -> DataFrame:
-    """(bucket, cls): every run splits all sets on the coordinates it chose."""
-    draw = random.Random(join.seed)
-    chosen = [
-        (run, at)
-        for run in range(join.runs)
-        for at in range(join.coordinates)
-        if draw.random() < join.chance
-    ]
-    buckets = [F.xxhash64(F.lit(run), F.lit(at), F.col("sig")[at]) for run, at in chosen]
+    """(bucket, cls): all sets, split anew on every coordinate drawn."""
+    buckets = [F.xxhash64(F.lit(n), F.lit(at), F.col("sig")[at]) for n, at in enumerate(join.drawn)]
     return classes.select(F.explode(F.array(*buckets)).alias("bucket"), "cls")
 
 

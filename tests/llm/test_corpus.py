@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -109,6 +110,22 @@ def test_runs_follow_the_recall():
     assert 0 < chosen_path.PathJoin().sure < 0.8
 
 
+def test_first_buckets_reach_the_recall(spark):
+    join = chosen_path.PathJoin()
+    # Set c agrees with set -1 on coordinate c alone, so they share as many buckets as c was drawn.
+    sigs = [(-1, [0] * join.coordinates)]
+    sigs += [(c, [0 if at == c else c + 1 for at in range(join.coordinates)]) for c in range(join.coordinates)]
+    rows = chosen_path.first_buckets(spark.createDataFrame(sigs, "cls int, sig array<int>"), join).collect()
+    base = {r.bucket for r in rows if r.cls == -1}
+    times = Counter(r.cls for r in rows if r.bucket in base and r.cls >= 0)
+    deeper = 1.0
+    for _ in range(join.depth - 1):
+        deeper = 1 - math.exp(-deeper)
+    s = join.threshold
+    assert math.prod(1 - s + s * (1 - deeper) ** n for n in times.values()) <= 1 - join.recall
+    assert sum(times.values()) == len(join.drawn) and join.missed(list(times.elements())) <= 1 - join.recall
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 301)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
