@@ -14,8 +14,11 @@ from loamline.llm.fingerprints import fingerprints
 from loamline.llm.forced_cuts import bpe_round_trip
 from loamline.llm.id_files import id_round_trip
 from loamline.llm.mixing import Mix, drawn
+from loamline.llm.phrases import collocations
 from loamline.llm.repeated_units import without_repeats
+from loamline.llm.sim_hash import near_prints
 from loamline.llm.token_counts import token_counts
+from loamline.llm.vector_codes import vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +92,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sim_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_prints(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_token_counts,
@@ -101,6 +116,9 @@ def queries() -> dict[str, Query]:
         op8_id_files,
         op9_fingerprints,
         op10_near_duplicates,
+        op11_vector_codes,
+        op12_sim_hash,
+        op13_phrases,
     )
     return {fn.__name__: fn for fn in named}
 

@@ -8,38 +8,57 @@ from pyspark.sql import functions as F
 from loamline.llm.shared import stored
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); the root is the component's least node.
 
-    Each round takes the least root among a node and its neighbours and then follows it one step
-    on, so long chains shrink fast. Rounds are written to the shared folder. A node's edges are
-    reduced map-side before they meet.
+    Edges are contracted until none is left. In every round each node moves to the first of itself
+    and its neighbours in an order that is drawn anew for the round, then once more to where that node
+    went; edges follow their ends, and those that became loops or copies go. Whatever the graph, a node
+    with an edge stays where it is with a chance of at most a half, and so the nodes left fall by a
+    constant factor a round on average: chains of any length and order take a logarithm of rounds, and
+    the tables of all rounds together are a constant times the edges. Nodes may be numbers, texts or
+    binary; NULL ends are left out. Rounds are written to the shared folder. A node's edges are reduced
+    map-side before they meet.
     """
     spark = edges.sparkSession
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.filter("a != b").distinct(), spark, "component-edges")
-    roots = stored(
-        both.groupBy("a").agg(F.min("b").alias("near")).select(
-            F.col("a").alias("node"), F.least("a", "near").alias("root")
-        ),
-        spark,
-        "component-roots",
-    )
-    for _ in range(most_rounds):
-        near = (
-            both.join(roots.select(F.col("node").alias("b"), "root"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("near"))
+    known = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    nodes = known.select(F.col("a").alias("node")).unionByName(known.select(F.col("b").alias("node")))
+    left = stored(_once(known), spark, "component-edges")
+    moves: list[DataFrame] = []
+    while not left.isEmpty():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        drawn = F.struct(F.xxhash64("b", F.lit(len(moves))).alias("drawn"), F.col("b").alias("to"))
+        own = F.struct(F.xxhash64("a", F.lit(len(moves))).alias("drawn"), F.col("a").alias("to"))
+        near = both.groupBy("a").agg(F.min(drawn).alias("near"))
+        first = stored(
+            near.select(F.col("a").alias("node"), F.least("near", own)["to"].alias("to")),
+            spark,
+            "component-first",
         )
-        lower = roots.join(near, "node").select(
-            "node", F.col("root").alias("before"), F.least("root", "near").alias("root")
+        again = first.select(F.col("node").alias("to"), F.col("to").alias("onward"))
+        move = stored(
+            first.join(again, "to").select("node", F.col("onward").alias("to")), spark, "component-moves"
         )
-        onward = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        after = lower.join(onward, "root", "left").select(
-            "node", "before", F.least("root", F.coalesce("next", "root")).alias("root")
+        moves.append(move)
+        ends = left.join(move.select(F.col("node").alias("a"), F.col("to").alias("a_to")), "a")
+        ends = ends.join(move.select(F.col("node").alias("b"), F.col("to").alias("b_to")), "b")
+        left = stored(_once(ends.select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))), spark, "component-edges")
+    if not moves:
+        return nodes.distinct().select("node", F.col("node").alias("root"))
+    # Backwards: where a node went in one round, it went on from in the next.
+    place = moves[-1]
+    for move in reversed(moves[:-1]):
+        onward = place.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        place = stored(
+            move.join(onward, "to", "left").select("node", F.coalesce("end", "to").alias("to")),
+            spark,
+            "component-places",
         )
-        after = stored(after, spark, "component-roots")
-        roots = after.select("node", "root")
-        if after.filter("before != root").isEmpty():
-            return roots
-    raise RuntimeError(f"components did not settle within {most_rounds} rounds")
+    least = place.groupBy("to").agg(F.min("node").alias("root"))
+    linked = place.join(least, "to").select("node", "root")
+    return nodes.distinct().join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def _once(edges: DataFrame) -> DataFrame:
+    """Every edge once, whichever way round it was, without loops."""
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()

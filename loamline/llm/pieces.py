@@ -117,3 +117,9 @@ def coded_spans(
 def span_codes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A number for each distinct span of bytes."""
     return coded_spans(raw, starts, stops)[0]
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """Bytes with A to Z as small letters."""
+    capital = (raw >= 65) & (raw <= 90)
+    return np.where(capital, raw + np.uint8(32), raw)

@@ -80,8 +80,9 @@ def test_odd_rows_in_the_join(spark):
     assert chosen_path.near_duplicates(none(spark)).count() == 0
     kept = chosen_path.one_of_each(odd(spark))
     assert kept.columns == odd(spark).columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) == len({c for _, c, _ in brute(ODD)})
+    # One row of each group; two groups may hold rows with the same id.
+    sets = [shingles(t) for _, t in ODD]
+    assert sorted(map(repr, (shingles(r.text) for r in kept.collect()))) == sorted(map(repr, set(sets)))
 
 
 def test_one_row_of_every_group_stays(spark):
@@ -129,7 +130,18 @@ def test_first_buckets_reach_the_recall(spark):
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 301)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
-    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {300: 300, 301: 300}
+    whole = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 300: 300, 301: 300}
+    assert got == whole
+
+
+def test_long_chains_of_edits_are_one_group(spark):
+    texts, words = [], prose(77, 60).split()
+    for i in range(1500):
+        texts.append((i, " ".join(words)))
+        words[(i * 23) % 60] = f"w{i}"
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = chosen_path.near_duplicates(docs)
+    assert {r.class_id for r in got.collect()} == {c for _, c, _ in brute(texts)}
 
 
 # Mixing
@@ -232,6 +244,6 @@ def test_stages_take_empty_and_odd_documents(spark):
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
