@@ -215,11 +215,7 @@ def measure_profile(t: Tables) -> DataFrame:
 
 @query
 def weather_profile(t: Tables) -> DataFrame:
-    rows = [
-        profile.weather_profile(t.bronze_weather(feed), feed, value)
-        for feed, value in WEATHER_VALUE.items()
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return profile.weather_profile({f: (t.bronze_weather(f), v) for f, v in WEATHER_VALUE.items()})
 
 
 @query

@@ -1,4 +1,11 @@
-from loamline.functions.numbers import irrigation_needed, not_nan, plausible, row_mean, within_limits
+from loamline.functions.numbers import (
+    irrigation_needed,
+    not_nan,
+    ordered_bits,
+    plausible,
+    row_mean,
+    within_limits,
+)
 from loamline.functions.text import (
     clean_text,
     depth_cm,
@@ -29,6 +36,7 @@ __all__ = [
     "not_nan",
     "plausible",
     "offset_timestamp",
+    "ordered_bits",
     "probe_suffix",
     "row_mean",
     "soil_texture",

@@ -1,13 +1,16 @@
 """Exact summary statistics of a column, per group, without gathering a group in one task.
 
 Mean and deviation come from ordinary partial aggregates. Exact quartiles need an order, and a
-group may hold a large share of all rows, so the order is found in three steps:
+group may hold a large share of all rows, so the order is found by repeated refinement:
 
 1. equal values are first counted together, so repeated values travel once;
-2. an approximate sketch cuts each group's values into slices of about equal size. It only balances
-   the slices; the result does not depend on its accuracy;
-3. slice totals give the ranks at which each slice starts, and only the slices that hold a wanted
-   rank are sorted.
+2. every value is a 64-bit number of the same order, and its first 16 bits name its slice. Slices
+   are counted with partial sums, and their totals give the rank at which each one starts;
+3. only the slices that hold a wanted rank are cut again, by the next 16 bits, until after four
+   levels a slice is one value.
+
+Nothing is sorted but the slices of one level, of which a slice above has at most 65,536, whatever
+the number of values.
 """
 
 from __future__ import annotations
@@ -19,11 +22,11 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.functions import not_nan
+from loamline.functions import not_nan, ordered_bits
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-SLICES = 256  # a power of two
-SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
+LEVEL_BITS = 16
+LEVELS = 64 // LEVEL_BITS
 
 
 def _same_group(by: Sequence[str]) -> Column:
@@ -77,75 +80,79 @@ def describe(
         F.sum(known_rows).alias("count"),
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
+        (F.sum(F.col("_v") * F.col("_w")) / F.nullif(F.sum(known_rows), F.lit(0))).alias("mean"),
         *[c.alias(name) for name, c in extra.items()],
     )
-
-    # ``_mean`` and ``_w`` stay in every branch below although not each of them needs both: with the
-    # same columns the branches read one shuffle of ``freq``.
-    cuts = freq.groupBy(*by).agg(
-        F.expr(f"percentile_approx(_v, array({SHARES}), {4 * SLICES})").alias("_cuts"),
-        (F.sum(F.col("_v") * F.col("_w")) / F.nullif(F.sum(known_rows), F.lit(0))).alias("_mean"),
-    )
-    placed = _with_slice(_with_group(freq, small(cuts), by)).select(
-        *by, "_v", known_rows.alias("_w"), "_mean", "_slice"
-    )
-    slices = placed.groupBy(*by, "_slice").agg(
-        F.sum("_w").alias("_n"),
+    # For the same reason its number is known: a join on a number that may be NULL filters, too.
+    number = F.coalesce(ordered_bits(F.col("_v")), F.lit(0))
+    bits = freq.select(*by, "_v", known_rows.alias("_w"), number.alias("_bits"))
+    about = small(totals.select(*by, F.col("count").alias("_total"), F.col("mean").alias("_mean")))
+    first = _with_group(bits, about, by).groupBy(*by, _slice(1)).agg(
+        F.sum("_w").alias("_w"),
+        F.first("_total").alias("_total"),
         F.sum(F.pow(F.col("_v") - F.col("_mean"), 2) * F.col("_w")).alias("_dev2"),
     )
-    in_order = Window.partitionBy(*by).orderBy("_slice")  # at most SLICES rows per group
-    all_rows = Window.partitionBy(*by)
-    slices = slices.select(
-        *by,
-        "_slice",
-        (F.sum("_n").over(in_order) - F.col("_n")).alias("_from"),
-        F.sum("_n").over(in_order).alias("_to"),
-        F.sum("_n").over(all_rows).alias("_total"),
-        F.sum("_dev2").over(all_rows).alias("_dev2"),
-    )
-    wanted = reduce(
-        or_,
-        [
-            (r >= F.col("_from")) & (r < F.col("_to"))
-            for q in quantiles.values()
-            for r in _ranks(q)
-        ],
-    )
-    ordered = Window.partitionBy(*by, "_slice").orderBy("_v")
-    ranked = (
-        _with_group(
-            placed,
-            small(slices.filter(wanted).withColumnRenamed("_slice", "_at")),
-            by,
-            F.col("l._slice") == F.col("r._at"),
+    spread = first.groupBy(*by).agg(F.sum("_dev2").alias("_dev2"))
+    wanted = _holding(first, by, [], "_slice1", quantiles)
+    for level in range(2, LEVELS + 1):
+        above = f"_slice{level - 1}"
+        base = wanted.select(*by, F.col(above).alias("_at"), "_from", "_total")
+        inside = _with_group(
+            bits.withColumn(above, _slice(level - 1)), small(base), by, F.col(f"l.{above}") == F.col("r._at")
         )
-        .withColumn("_to", F.col("_from") + F.sum("_w").over(ordered))
-        .withColumn("_from", F.col("_to") - F.col("_w"))
-    )
-    ordered_values = ranked.groupBy(*by).agg(
-        F.first("_mean").alias("mean"),
-        F.sqrt(F.first("_dev2") / F.nullif(F.first("_total") - 1, F.lit(0))).alias("std"),
-        *[_interpolated(q).alias(name) for name, q in quantiles.items()],
-    )
+        cut = inside.groupBy(*by, above, _slice(level)).agg(
+            F.sum("_w").alias("_w"),
+            F.first("_total").alias("_total"),
+            F.first("_from").alias("_from"),
+            F.min("_v").alias("_v"),
+        )
+        wanted = _holding(cut, by, [above], f"_slice{level}", quantiles)
+    values = wanted.groupBy(*by).agg(*[_interpolated(q).alias(name) for name, q in quantiles.items()])
+    deviation = F.sqrt(F.col("_dev2") / F.nullif(F.col("count") - 1, F.lit(0)))
+    with_spread = totals.alias("l").join(spread.alias("r"), _same_group(by), "left").select("l.*", "r._dev2")
     return (
-        totals.alias("l")
-        .join(ordered_values.alias("r"), _same_group(by), "left")
+        with_spread.alias("l")
+        .join(values.alias("r"), _same_group(by), "left")
         .select(
             *[F.col(f"l.{c}") for c in by],
-            *["count", "mean", "std", "min", *quantiles, "max", *extra],
+            "count",
+            "mean",
+            F.when(F.col("count") > 0, deviation).alias("std"),
+            "min",
+            *quantiles,
+            "max",
+            *extra,
         )
     )
 
 
-def _with_slice(df: DataFrame) -> DataFrame:
-    """Number of cuts below the value, by halving: one comparison per bit of the slice number."""
-    df = df.withColumn("_slice", F.lit(0))
-    step = SLICES // 2
-    while step:
-        above = F.col("_cuts")[F.col("_slice") + (step - 1)] < F.col("_v")
-        df = df.withColumn("_slice", F.col("_slice") + F.when(above, step).otherwise(0))
-        step //= 2
-    return df
+def _slice(level: int) -> Column:
+    """The first ``level`` times 16 bits of a value, a number of the same order."""
+    return F.shiftright("_bits", 64 - level * LEVEL_BITS).alias(f"_slice{level}")
+
+
+def _holding(
+    slices: DataFrame, by: Sequence[str], above: Sequence[str], name: str, quantiles: Mapping[str, float]
+) -> DataFrame:
+    """The slices that hold a wanted rank, with the ranks ``_from`` and ``_to`` at which they start and end.
+
+    The window runs over the slices of one slice of the level above, at most 65,536 rows.
+    """
+    in_order = Window.partitionBy(*by, *above).orderBy(name)
+    start = F.col("_from") if above else F.lit(0)
+    placed = slices.withColumn("_to", start + F.sum("_w").over(in_order)).withColumn(
+        "_from", F.col("_to") - F.col("_w")
+    )
+    return placed.filter(
+        reduce(
+            or_,
+            [
+                (r >= F.col("_from")) & (r < F.col("_to"))
+                for q in quantiles.values()
+                for r in _ranks(q)
+            ],
+        )
+    )
 
 
 def _ranks(q: float) -> tuple[Column, Column]:

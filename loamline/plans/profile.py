@@ -63,12 +63,16 @@ def measure_profile(bronze: DataFrame) -> DataFrame:
     return describe(known, ["measure_type"], "Soil_Value", counts=counts, few_groups=True)
 
 
-def weather_profile(feed: DataFrame, name: str, value: str) -> DataFrame:
-    """Distribution of one weather value over the whole feed."""
+def weather_profile(feeds: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Distribution of the values of each feed (table, value column), all feeds in one go."""
     counts = {"null_values": lambda v: v.isNull(), "zero_values": lambda v: v == 0}
-    return describe(
-        feed.withColumn("feed", F.lit(name)), ["feed"], value, counts=counts, few_groups=True
-    )
+    rows = [
+        df.select(F.lit(name).alias("feed"), F.col(value).cast("double").alias("value"))
+        for name, (df, value) in feeds.items()
+    ]
+    below = reduce(DataFrame.unionByName, rows)
+    # one group for each feed that is handed in
+    return describe(below, ["feed"], "value", counts=counts, few_groups=True)
 
 
 def site_coverage(bronze: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import math
 import random
+import struct
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from loamline.functions import ordered_bits
 from loamline.operators.distribution import describe
 from loamline.operators.series import gap_counts
 from tests.conftest import plan_of
@@ -90,6 +92,40 @@ def test_describe_scans_once(spark, tmp_path):
     assert plan_of(result).split("Initial Plan")[0].count("FileScan") == 1
 
 
+def test_bits_follow_the_order_of_doubles(spark):
+    rng = random.Random(11)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, math.inf, -math.inf]
+    values += [1.7976931348623157e308, -1.7976931348623157e308]
+    for e in (*range(-1074, 1024, 37), -1, 0, 1, 52, 53):
+        two = math.ldexp(1.0, e)
+        values += [two, math.nextafter(two, 0), math.nextafter(two, math.inf), -two, two * 1.1]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values = [v for v in values if not math.isnan(v)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = df.select("v", ordered_bits(F.col("v")).alias("bits")).collect()
+    for row in got:
+        if row.v is None:
+            assert row.bits is None
+        else:
+            stored = struct.unpack("<q", struct.pack("<d", abs(row.v)))[0]
+            assert row.bits == (-stored if row.v < 0 else stored), row
+
+
+def test_windows_are_bounded_whatever_the_number_of_values(spark):
+    """Many different values close together: no window runs over more than one level's slices."""
+    n = 300_000
+    df = spark.range(n).select(F.lit("hot").alias("g"), (F.lit(20.0) + F.col("id") / 1e7).alias("v"))
+    row = describe(df, ["g"], "v").first()
+    want = [20.0 + (n - 1) * q / 1e7 for q in (0.25, 0.5, 0.75)]
+    assert all(close(a, b) for a, b in zip((row.q25, row.q50, row.q75), want))
+    bits = df.select(ordered_bits(F.col("v")).alias("b"))
+    for level in range(1, 5):
+        above, own = 64 - 16 * (level - 1), 64 - 16 * level
+        parent = F.lit(0) if level == 1 else F.shiftright("b", above)
+        sizes = bits.groupBy(parent.alias("p")).agg(F.count_distinct(F.shiftright("b", own)).alias("n"))
+        assert sizes.agg(F.max("n")).first()[0] <= 1 << 16
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_gaps(spark, kind):
     rng = random.Random(3)
