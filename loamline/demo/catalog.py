@@ -35,7 +35,7 @@ from loamline.sources import (
     read_weather_csv,
 )
 from loamline.streaming.ingest import ingest_pages
-from loamline.streaming.rollup import hourly_stream, latest_hours, write_hours
+from loamline.streaming.rollup import keep_hourly, read_hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -505,14 +505,12 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 @query
 def stream_hourly(t: Tables) -> DataFrame:
-    source = scratch_path(t.spark, "silver")
-    table = scratch_path(t.spark, "hourly")
+    source, table = scratch_path(t.spark, "silver"), scratch_path(t.spark, "hourly")
     write_table(t.silver_soil(), source)
-    stored = read_table(t.spark, source)
-    stream = t.spark.readStream.schema(stored.schema).parquet(source)
-    checkpoint = scratch_path(t.spark, "checkpoint")
-    write_hours(hourly_stream(stream, t.settings), table, checkpoint).awaitTermination()
-    return latest_hours(t.spark, table)
+    stream = t.spark.readStream.schema(read_table(t.spark, source).schema).parquet(source)
+    for running in keep_hourly(stream, t.settings, table, scratch_path(t.spark, "checkpoint")):
+        running.awaitTermination()
+    return read_hourly(t.spark, table)
 
 
 # Ingest steps of the pipeline, with everything that can be wrong about their input

@@ -458,7 +458,7 @@ SELECT (SELECT count(*) FROM (FROM soil EXCEPT ALL FROM rebuilt)) AS missing,
         "stream_dedup": _with(["soil"], soil_rows + "soil"),
         "stream_hourly": _with(
             ["silver", "hourly"],
-            f"SELECT {HOURLY_COLUMNS} FROM hourly",
+            f"SELECT {HOURLY_COLUMNS}, soil_texture FROM hourly",
         ),
         "ingest_rejects": _with(
             ["soil"],

@@ -1,11 +1,17 @@
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from loamline.demo.catalog import land_pages, raw_deliveries
 from loamline.plans.gold import gold_hourly
 from loamline.streaming.ingest import first_seen, ingest_pages
-from loamline.streaming.rollup import append_closed_hours, hourly_stream
+from loamline.streaming.rollup import (
+    append_closed_hours,
+    hourly_stream,
+    keep_hourly,
+    late_rows,
+    read_hourly,
+)
 from tests.conftest import same_rows
 
 COLUMNS = ["ID", "Site_ID", "Probe_Measure", "Soil_Value"]
@@ -59,3 +65,53 @@ def test_closed_hours_equal_the_batch_summary(spark, tables, settings, tmp_path)
 
     assert 0 < closed.count() < batch.count()
     assert same_rows(rounded(closed), rounded(spark.read.parquet(out)))
+
+
+def test_a_late_earlier_texture_corrects_written_hours(spark, settings, tmp_path):
+    source, table, checkpoint = [str(tmp_path / n) for n in ("silver", "hourly", "check")]
+    schema = (
+        "site_name string, site_id string, event_time timestamp, depth_cm int, measure_type string, "
+        "soil_texture string, soil_value double, reading_count long"
+    )
+    day = datetime(2024, 5, 1)
+
+    def land(*rows):
+        full = [(s, s, day + timedelta(hours=h), d, "Moisture", x, v, 1) for s, h, d, x, v in rows]
+        spark.createDataFrame(full, schema).coalesce(1).write.mode("append").parquet(source)
+        queries = keep_hourly(spark.readStream.schema(schema).parquet(source), settings, table, checkpoint)
+        for query in queries:
+            query.awaitTermination()
+        return queries, {(r.site_id, r.hour.hour): (r.soil_texture, r.moisture_10cm, r.moisture_20cm)
+                         for r in read_hourly(spark, table).collect()}
+
+    _, hours = land(("a", 8, 10, "Clay", 20.0), ("a", 9, 20, None, 30.0), ("b", 8, 20, "Loam", 5.0))
+    assert hours == {("a", 8): ("Clay", 20.0, None), ("a", 9): ("Clay", None, 30.0), ("b", 8): (None, None, 5.0)}
+    _, hours = land(("a", 12, 20, None, 31.0), ("c", 20, 10, "Sand", 1.0))
+    assert hours[("a", 12)] == ("Clay", None, 31.0) and hours[("c", 20)] == ("Sand", 1.0, None)
+    # Far behind the watermark: the hour itself is dropped, its texture is not.
+    queries, hours = land(("a", 2, 10, "Loam", 40.0), ("b", 23, 20, None, 6.0))
+    assert late_rows(queries[0]) == 1 and ("a", 2) not in hours
+    assert {k: v[0] for k, v in hours.items()} == {
+        ("a", 8): "Loam", ("a", 9): "Loam", ("a", 12): "Loam", ("b", 8): None, ("b", 23): None, ("c", 20): "Sand",
+    }
+    # A later texture, and the same delivery once more, change nothing.
+    _, hours = land(("a", 23, 10, "Gravel", 41.0))
+    assert hours[("a", 8)][0] == hours[("a", 23)][0] == "Loam"
+
+
+def test_streamed_hours_equal_the_batch_over_several_batches(spark, tables, settings, tmp_path):
+    source, table = str(tmp_path / "silver"), str(tmp_path / "hourly")
+    silver = tables.silver_soil().withColumn("event_time", F.col("event_time").cast("timestamp"))
+    silver.repartitionByRange(6, "event_time").sortWithinPartitions("event_time").write.parquet(source)
+    stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    for query in keep_hourly(stream, settings, table, str(tmp_path / "check"), late_by="60 days"):
+        query.awaitTermination()
+        assert len(query.recentProgress) > 1
+
+    def rounded(df):
+        return df.select(*[F.round(c, 6).alias(c) if k == "double" else c for c, k in df.dtypes])
+
+    batch = gold_hourly(spark.read.parquet(source), settings)
+    streamed = read_hourly(spark, table)
+    assert set(streamed.columns) == set(batch.columns)
+    assert same_rows(rounded(batch), rounded(streamed))
