@@ -245,7 +245,7 @@ def coverage_classes(t: Tables) -> DataFrame:
 
 @query
 def depth_coverage_hist(t: Tables) -> DataFrame:
-    return counts.distinct_histogram(profile.with_depth(t.bronze_soil()), ["Site_Name"], "depth_cm")
+    return profile.depth_coverage(t.bronze_soil())
 
 
 @query

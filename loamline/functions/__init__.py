@@ -1,3 +1,4 @@
+from loamline.functions.digests import row_digest
 from loamline.functions.numbers import (
     irrigation_needed,
     not_nan,
@@ -38,6 +39,7 @@ __all__ = [
     "offset_timestamp",
     "ordered_bits",
     "probe_suffix",
+    "row_digest",
     "row_mean",
     "soil_texture",
     "within_limits",

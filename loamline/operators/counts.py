@@ -15,13 +15,36 @@ def value_counts(df: DataFrame, column: str, by_value: bool = False) -> DataFram
     return counts.orderBy(*order)
 
 
-def distinct_per_group(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.count_distinct(column).alias(name))
+def count_known(column: str, known: Sequence[object] = ()) -> Column:
+    """Number of distinct non-NULL values, as an aggregate that needs no expansion of rows.
 
+    The values in ``known`` (at most 63) set one bit each of a number; any others are collected as a
+    set, so the count is exact whatever occurs. Several such counts share one grouping and one shuffle
+    with one row for each group and task.
+    """
+    if len(known) > 63:
+        raise ValueError("more known values than bits")
+    value = F.col(column)
+    others = F.size(F.collect_set(F.when(~value.isin(*known), value) if known else value))
+    if not known:
+        return others.cast("bigint")
+    bit = F.lit(None).cast("bigint")
+    for at, item in enumerate(known):
+        bit = F.when(value == item, F.lit(1 << at)).otherwise(bit)
+    return (F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)) + others).cast("bigint")
+
+
+def distinct_per_group(
+    df: DataFrame, by: Sequence[str], column: str, name: str, known: Sequence[object] = ()
+) -> DataFrame:
+    return df.groupBy(*by).agg(count_known(column, known).alias(name))
 
-def distinct_histogram(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+
+def distinct_histogram(
+    df: DataFrame, by: Sequence[str], column: str, known: Sequence[object] = ()
+) -> DataFrame:
     """How many groups have 1, 2, … distinct values of ``column``."""
-    per_group = distinct_per_group(df, by, column, "distinct_values")
+    per_group = distinct_per_group(df, by, column, "distinct_values", known)
     return (
         per_group.groupBy("distinct_values")
         .agg(F.count("*").alias("groups"))

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamline.functions import row_digest
+
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the first by ``order``, then by all other columns.
@@ -59,15 +61,58 @@ def matching_rows(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFra
     return df.join(keys.select(*key), list(key), "left_semi")
 
 
-def difference(left: DataFrame, right: DataFrame) -> DataFrame:
+def bucket_sums(rows: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket of row digests their number and sums, all that a comparison needs at first.
+
+    Digests are added up in quarters, so sums stay exact; equal sums of 128-bit digests mean equal rows.
+    """
+    high, low = row_digest(rows.columns)
+    quarters = {
+        f"_{side}{part}": F.shiftrightunsigned(half, shift).bitwiseAND(F.lit(0xFFFFFFFF))
+        for side, half in (("high", high), ("low", low))
+        for part, shift in (("a", 32), ("b", 0))
+    }
+    return (
+        rows.select(F.pmod(high, F.lit(buckets)).alias("_bucket"), *[q.alias(n) for n, q in quarters.items()])
+        .groupBy("_bucket")
+        .agg(F.count("*").alias("_rows"), *[F.sum(n).alias(n) for n in quarters])
+    )
+
+
+def unequal_buckets(left: DataFrame, right: DataFrame, buckets: int) -> DataFrame:
+    """The buckets in which both sides' sums differ, at most as many as there are buckets."""
+    sides = [bucket_sums(side, buckets) for side in (left, right)]
+    sums = [c for c in sides[0].columns if c != "_bucket"]
+    signed = sides[0].unionByName(sides[1].select("_bucket", *[(-F.col(c)).alias(c) for c in sums]))
+    return (
+        signed.groupBy("_bucket")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .filter(reduce(or_, [F.col(c) != 0 for c in sums]))
+        .select("_bucket")
+    )
+
+
+def difference(left: DataFrame, right: DataFrame, buckets: int = 4096) -> DataFrame:
     """Rows that one side has more often than the other, with that side and how many more; empty
-    when both hold the same rows. One grouping of both tables answers it for both sides."""
+    when both hold the same rows.
+
+    Both sides are first compared by sums of row digests in a fixed number of buckets, which needs no
+    shuffle of rows. Only rows of unequal buckets are then grouped and compared themselves. The list of
+    unequal buckets is broadcast; it holds ``buckets`` numbers at most.
+    """
     columns = left.columns
-    signed = left.withColumn("_n", F.lit(1)).unionByName(
-        right.select(*columns).withColumn("_n", F.lit(-1))
-    )
+    right = right.select(*columns)
+    apart = F.broadcast(unequal_buckets(left, right, buckets))
+
+    def suspect(side: DataFrame, sign: int) -> DataFrame:
+        bucket = F.pmod(row_digest(columns)[0], F.lit(buckets))
+        marked = side.withColumn("_bucket", bucket).join(apart, "_bucket", "left_semi")
+        return marked.drop("_bucket").withColumn("_n", F.lit(sign))
+
     return (
-        signed.groupBy(*columns)
+        suspect(left, 1)
+        .unionByName(suspect(right, -1))
+        .groupBy(*columns)
         .agg(F.sum("_n").alias("_n"))
         .filter("_n <> 0")
         .select(

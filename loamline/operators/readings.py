@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loamline.config import Settings
 from loamline.functions import depth_cm, measure_type, plausible, soil_texture
 
+# The columns that identify a merged reading.
 SILVER_KEYS = ("site_name", "site_id", "event_time", "depth_cm", "measure_type", "soil_texture")
 
 

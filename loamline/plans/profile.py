@@ -9,9 +9,15 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.config import MEASURES
+from loamline.config import DEPTHS_CM, MEASURES
 from loamline.functions import depth_cm, first_measure_word, probe_suffix, soil_texture
-from loamline.operators.counts import count_matrix, first_known, value_counts
+from loamline.operators.counts import (
+    count_known,
+    count_matrix,
+    distinct_histogram,
+    first_known,
+    value_counts,
+)
 from loamline.operators.distribution import describe
 from loamline.operators.series import gap_counts
 from loamline.operators.sets import side_by_predicate
@@ -76,17 +82,22 @@ def weather_profile(feeds: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def site_coverage(bronze: DataFrame) -> DataFrame:
-    """Number of measures and of depths seen at each site."""
+    """Number of measures and of depths seen at each site: one bit for each usual one."""
     return (
         with_depth(with_measure(bronze))
         .groupBy("Site_Name")
         .agg(
-            F.count_distinct("measure_type").alias("measures"),
-            F.count_distinct("depth_cm").alias("depths"),
+            count_known("measure_type", MEASURE_WORDS).alias("measures"),
+            count_known("depth_cm", DEPTHS_CM).alias("depths"),
         )
     )
 
 
+def depth_coverage(bronze: DataFrame) -> DataFrame:
+    """How many sites have 0, 1, 2, … depths."""
+    return distinct_histogram(with_depth(bronze), ["Site_Name"], "depth_cm", DEPTHS_CM)
+
+
 def coverage_classes(bronze: DataFrame) -> DataFrame:
     """Number of sites with 0, 1, 2, … distinct measures."""
     return site_coverage(bronze).groupBy("measures").agg(F.count("*").alias("sites"))

@@ -80,6 +80,57 @@ def test_difference_counts_copies(spark, old):
     assert [(r.side, r.copies) for r in keyed.difference(tripled, old).collect()] == [("left", 2)]
 
 
+def test_difference_looks_into_unequal_buckets_only(spark, tmp_path):
+    path, other = str(tmp_path / "a"), str(tmp_path / "b")
+    whole = spark.range(20000).select(
+        "id",
+        F.when(F.col("id") % 7 != 0, F.col("id").cast("string")).alias("t"),
+        F.when(F.col("id") % 5 != 0, F.col("id") / 3).alias("v"),
+    )
+    whole.write.parquet(path)
+    changed = whole.withColumn("v", F.when(F.col("id") == 17, -1.0).otherwise(F.col("v"))).filter("id != 40")
+    changed.write.parquet(other)
+    left, right = spark.read.parquet(path), spark.read.parquet(other)
+    assert keyed.unequal_buckets(left, right, 4096).count() == 3
+    found = keyed.difference(left, right)
+    assert sorted((r.id, r.side, r.copies) for r in found.collect()) == [
+        (17, "left", 1), (17, "right", 1), (40, "left", 1),
+    ]
+    plan = plan_of(found).split("Initial Plan")[0]
+    assert plan.count("FileScan") == 4 and "BroadcastHashJoin" in plan
+    assert keyed.difference(left, left.orderBy(F.desc("id"))).count() == 0
+
+
+def test_difference_tells_null_places_zeros_and_nan(spark):
+    schema = "a string, b string, v double"
+    left = spark.createDataFrame([("x", None, 0.0), (None, "y", float("nan"))], schema)
+    same = spark.createDataFrame([(None, "y", float("nan")), ("x", None, -0.0)], schema)
+    assert keyed.difference(left, same).count() == 0
+    moved = spark.createDataFrame([(None, "x", 0.0), (None, "y", float("nan"))], schema)
+    assert {(r.a, r.b, r.side) for r in keyed.difference(left, moved).collect()} == {
+        ("x", None, "left"), (None, "x", "right"),
+    }
+
+
+def test_replay_reads_the_table_twice(spark, tables, settings, tmp_path, monkeypatch):
+    path = str(tmp_path / "soil")
+    tables.bronze_soil().write.parquet(path)
+    soil, source = spark.read.parquet(path), spark.read.parquet(path)
+    scans = []
+    ids = replay.last_ids
+
+    def counted(table, n):
+        scans.append(plan_of(replay.last_by_id(table.select("ID"), n)).count(path))
+        return ids(table, n)
+
+    monkeypatch.setattr(replay, "last_ids", counted)
+    result = replay.replay_difference(source, soil, settings)
+    assert scans == [1] and result.collect() == [(0, 0)]
+    assert path not in plan_of(result).replace("replay", "")
+    gone = source.filter("ID != (SELECT max(cast(ID AS bigint)) FROM parquet.`%s`)" % path)
+    assert [tuple(r) for r in replay.replay_difference(gone, soil, settings).collect()] == [(1, 0)]
+
+
 def test_high_water_mark_and_slice(spark, old, settings):
     assert high_water_mark(old).first()[0] == T0 + timedelta(minutes=1)
     empty = old.filter("false")
@@ -147,6 +198,13 @@ def test_counts(spark):
     assert [tuple(r) for r in counts.distinct_histogram(df, ["g"], "n").collect()] == [(0, 2), (2, 1)]
     extra = counts.duplicate_keys(df, ["g", "n"])
     assert [tuple(r) for r in extra.collect()] == [("a", 1, 1)]
+    known = counts.distinct_per_group(df, ["g"], "t", "n", ["x", "z"])
+    assert {tuple(r) for r in known.collect()} == {("a", 2), ("b", 1), (None, 1)}
+    wide = spark.range(1000).select((F.col("id") % 2).alias("g"), (F.col("id") % 90 * 10).alias("d"))
+    for few in ((), (10, 20, 30), tuple(range(0, 630, 10))):
+        got = counts.distinct_per_group(wide, ["g"], "d", "n", few)
+        assert {tuple(r) for r in got.collect()} == {(0, 45), (1, 45)}
+        assert "Expand" not in plan_of(got)
     first = counts.first_known(df, ["g"], "t", "n")
     assert {tuple(r) for r in first.collect()} == {("a", "x"), ("b", "x"), (None, "x")}
 

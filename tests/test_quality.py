@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamline.operators.quality import QualityError, assert_quality, quality_report
+from tests.conftest import plan_of
 
 
 @pytest.fixture
@@ -74,3 +75,27 @@ def test_extra_ranges(good, limits):
     hot = with_extra_row(good, measure_type="'Temperature'", soil_value="99D")
     assert failed(hot, limits) == []
     assert failed(hot, limits, extra_ranges=True) == ["extra"]
+
+
+def test_gate_expands_no_rows_and_shuffles_keys_once(spark, limits):
+    silver = spark.range(5000).select(
+        F.concat(F.lit("s"), F.col("id") % 20).alias("site_name"),
+        (F.col("id") % 20).cast("string").alias("site_id"),
+        F.timestamp_seconds("id").alias("event_time"),
+        F.lit(10).alias("depth_cm"),
+        F.lit("Moisture").alias("measure_type"),
+        F.lit(None).cast("string").alias("soil_texture"),
+        F.lit(1.0).alias("soil_value"),
+    )
+    report = quality_report(silver, limits)
+    assert all(r.passed for r in report.collect())
+    plan = plan_of(report).split("Initial Plan")[0]
+    assert "Expand" not in plan and "NestedLoop" not in plan
+    shuffled = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line]
+    # one row for each site and task, and one narrow row for each key
+    assert len(shuffled) == 2 and sum("site_name" in line for line in shuffled) == 1
+
+
+def test_empty_table_has_a_report(good, limits):
+    report = {r.check_id: r for r in quality_report(good.filter("false"), limits).collect()}
+    assert len(report) == 9 and not report["Q1"].passed and report["Q8"].observed == 0
