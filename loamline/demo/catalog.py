@@ -23,7 +23,14 @@ from loamline.plans import bronze, profile, replay, reports, silver
 from loamline.plans.pipeline import Lake, Pipeline
 from loamline.schemas import SILVER_SOIL, SILVER_WEATHER, WEATHER_VALUE, conform
 from loamline.session import scratch_path
-from loamline.sinks import append_absent, for_database, rejects_path, write_table
+from loamline.sinks import (
+    append_absent,
+    for_database,
+    rejects_path,
+    replace_partitions,
+    replace_table,
+    write_table,
+)
 from loamline.sources import (
     high_water_mark,
     incremental_slice,
@@ -492,6 +499,26 @@ def append_absent_table(t: Tables) -> DataFrame:
     return read_table(t.spark, path).select(*SOIL)
 
 
+@query
+def append_absent_buckets(t: Tables) -> DataFrame:
+    """Two overlapping deliveries into a table that is partitioned by a hash of the id."""
+    path = scratch_path(t.spark, "bronze")
+    for part in _deliveries(t):
+        append_absent(part, path, ["ID"], ["event_time"], buckets=16)
+    return read_table(t.spark, path).select(*SOIL)
+
+
+@query
+def replaced_partitions(t: Tables) -> DataFrame:
+    """A versioned table of all readings, of which the days of the second half are then replaced."""
+    path = scratch_path(t.spark, "versions")
+    rows = t.bronze_soil().select(*SOIL).withColumn("event_day", F.to_date("event_time"))
+    replace_table(rows, path, ("event_day",))
+    later = read_table(t.spark, path).filter(F.col("event_day") >= F.lit(MIDDLE.date()))
+    replace_partitions(later.withColumn("Unit", F.lit("new")), path, ("event_day",))
+    return read_table(t.spark, path).select(*SOIL)
+
+
 @query
 def stream_dedup(t: Tables) -> DataFrame:
     landing = scratch_path(t.spark, "landing")

@@ -455,6 +455,13 @@ SELECT (SELECT count(*) FROM (FROM soil EXCEPT ALL FROM rebuilt)) AS missing,
   {r('144.9::DOUBLE + s_acctbal / 1e5')} AS longitude FROM supplier""",
         "json_pages": _with(["soil"], soil_rows + "soil"),
         "append_absent_table": _with(["soil"], soil_rows + "soil"),
+        "append_absent_buckets": _with(["soil"], soil_rows + "soil"),
+        "replaced_partitions": _with(
+            ["soil"],
+            soil_rows
+            + """(SELECT * REPLACE (CASE WHEN event_time >= TIMESTAMP '2024-01-16' THEN 'new' ELSE Unit END
+  AS Unit) FROM soil) s""",
+        ),
         "stream_dedup": _with(["soil"], soil_rows + "soil"),
         "stream_hourly": _with(
             ["silver", "hourly"],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline.plans import bronze
 from loamline.schemas import BRONZE_SOIL, SITE_RECORD, SOIL_RECORD, conform
+from loamline.session import stored
 from loamline.sinks.files import Ingested, append_absent, set_aside
 from loamline.sources.pages import incomplete, landed_pages, records, unreadable
 
@@ -35,17 +36,20 @@ def page_rejects(pages: DataFrame) -> DataFrame:
 
 
 def soil_from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bronze readings of landed lines, and everything else with the reason."""
-    pages = landed_pages(lines, SOIL_RECORD)
+    """Bronze readings of landed lines, and everything else with the reason.
+
+    A delivery is parsed once: its lines, and then its readings, are written to the scratch folder, from
+    where the days it touches, its rejects and its rows are read.
+    """
+    pages = landed_pages(lines, SOIL_RECORD, stored)
     raw = records(pages)
-    read = bronze.soil_from_records(raw)
-    good = soil_rows(read.filter(reading_problem().isNull()))
     # What is set aside keeps the record as it came.
-    kept = F.struct(*[F.col(c) for c in raw.columns]).alias("_raw")
-    bad = bronze.soil_from_records(raw.withColumn("_raw", kept)).filter(reading_problem().isNotNull())
-    aside = set_aside(
-        bad.select(reading_problem().alias("_why"), "_raw.*"), F.col("_why"), F.col("file")
-    )
+    kept = F.struct(*[F.col(c) for c in raw.columns])
+    read = bronze.soil_from_records(raw.withColumn("_raw", kept)).withColumn("_why", reading_problem())
+    read = stored(read.withColumn("_raw", F.when(F.col("_why").isNotNull(), F.col("_raw"))), "readings")
+    good = soil_rows(read.filter("_why IS NULL").drop("_why", "_raw"))
+    bad = read.filter("_why IS NOT NULL").select("_why", "_raw.*")
+    aside = set_aside(bad, F.col("_why"), F.col("file"))
     return good, aside.unionByName(page_rejects(pages))
 
 

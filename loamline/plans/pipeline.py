@@ -31,10 +31,12 @@ from loamline.sinks import (
     connection,
     load_tables,
     replace_partitions,
+    replace_table,
     set_aside,
     store_rejects,
     write_table,
 )
+from loamline.versions import is_versioned
 from loamline.sources import page_lines, read_sites_csv, read_table, read_weather_csv
 
 
@@ -67,7 +69,7 @@ class Pipeline:
             read.filter(problem.isNotNull()).select("_raw.*"), F.lit("unreadable time"), F.lit(raw_path)
         )
         rejected = store_rejects(aside, path)
-        added = write_table(
+        added = replace_table(
             ingest.soil_rows(read.filter(problem.isNull()).drop("_raw")),
             path,
             partition_by=("event_day",),
@@ -85,7 +87,7 @@ class Pipeline:
         path = self.lake.path("bronze", f"weather_{feed}")
         rows, aside = ingest.dated_weather(read_weather_csv(self.spark, csv_path, feed))
         rejected = store_rejects(aside, path)
-        return Ingested(write_table(rows, path, stamps=("ingested_at",)), rejected)
+        return Ingested(replace_table(rows, path, stamps=("ingested_at",)), rejected)
 
     def ingest_sites_csv(self, csv_path: str) -> Ingested:
         rows, aside = ingest.sites_from_text(
@@ -106,7 +108,7 @@ class Pipeline:
         )
 
     def silver_soil(self) -> int:
-        return write_table(
+        return replace_table(
             conform(silver.silver_soil(self._read("bronze", "soil_readings"), self.settings), SILVER_SOIL),
             self.lake.path("silver", "soil_readings"),
             partition_by=("measure_type",),
@@ -115,7 +117,7 @@ class Pipeline:
 
     def silver_weather(self) -> int:
         feeds = [self._read("bronze", f"weather_{feed}") for feed in WEATHER_VALUE]
-        return write_table(
+        return replace_table(
             conform(silver.silver_weather(*feeds, self.settings), SILVER_WEATHER),
             self.lake.path("silver", "weather_daily"),
             stamps=("transformed_at",),
@@ -127,7 +129,7 @@ class Pipeline:
     def gold_daily(self) -> int:
         readings = self._read("silver", "soil_readings")
         weather = self._read("silver", "weather_daily")
-        return write_table(
+        return replace_table(
             gold.gold_daily(readings, weather, self.settings),
             self.lake.path("gold", "daily_site_summary"),
             partition_by=("date",),
@@ -149,13 +151,15 @@ class Pipeline:
         stored = read_table(self.spark, path)
         days = gold.touched_days(stored, readings, changed, self.settings)
         rows = gold.gold_days(readings, weather, days, self.settings)
-        # Spark may not replace files that the same job reads, so the rows are put down first.
-        between = scratch_path(self.spark, "gold-days")
-        write_table(rows, between)
-        return replace_partitions(read_table(self.spark, between), path, ("date",), ("transformed_at",))
+        if not is_versioned(self.spark, path):
+            # Spark may not replace files that the same job reads, so the rows are put down first.
+            between = scratch_path(self.spark, "gold-days")
+            write_table(rows, between)
+            rows = read_table(self.spark, between)
+        return replace_partitions(rows, path, ("date",), ("transformed_at",))
 
     def gold_hourly(self) -> int:
-        return write_table(
+        return replace_table(
             gold.gold_hourly(self._read("silver", "soil_readings"), self.settings),
             self.lake.path("gold", "hourly_site_summary"),
             stamps=("transformed_at",),

@@ -2,8 +2,12 @@ from loamline.sinks.files import (
     Ingested,
     append_absent,
     append_rows,
+    bucket_column,
+    in_buckets,
+    pruned,
     rejects_path,
     replace_partitions,
+    replace_table,
     set_aside,
     store_rejects,
     write_table,
@@ -14,13 +18,17 @@ __all__ = [
     "Ingested",
     "append_absent",
     "append_rows",
+    "bucket_column",
     "column_types",
     "connection",
     "for_database",
     "load_table",
     "load_tables",
+    "in_buckets",
+    "pruned",
     "rejects_path",
     "replace_partitions",
+    "replace_table",
     "set_aside",
     "store_rejects",
     "write_table",

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loamline.schemas import WEATHER_CSV
+from loamline.versions import is_versioned, read_version
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet with the schema stored in it, or with a declared one."""
+    """Parquet with the schema stored in it, or with a declared one; of a versioned table its newest version."""
+    if is_versioned(spark, path):
+        return read_version(spark, path, schema)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.config import Settings
+from loamline.versions import is_versioned, read_version
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    if is_versioned(spark, path):
+        return read_version(spark, path)
     try:
         return spark.read.parquet(path)
     except AnalysisException as err:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
@@ -30,24 +32,35 @@ def readable(page: Column) -> Column:
     return page["results"].isNotNull() | page["total_count"].isNotNull()
 
 
-def landed_pages(lines: DataFrame, record: StructType = SOIL_RECORD) -> DataFrame:
+def landed_pages(
+    lines: DataFrame,
+    record: StructType = SOIL_RECORD,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
     """One row per page: file, text and ``page``, NULL fields in the latter where it is unreadable.
 
     A file may hold one page per line, or one page over many lines. It counts as the latter when
     none of its lines is a page by itself; then its lines are put together again, which gathers no
-    more than one such file. Blank lines are no pages.
+    more than one such file. Blank lines are no pages. ``text`` is NULL where ``page`` says it all.
+
+    ``keep`` may write the parsed lines somewhere and read them again (:func:`loamline.session.stored`).
+    They are then parsed once, however often the pages are used.
     """
     schema = page_schema(record)
 
     def parsed(text: str) -> Column:
         return F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
 
+    page = F.col("page")
     numbered = (
         lines.filter(F.trim("value") != "")
         .withColumn("line", F.monotonically_increasing_id())
         .withColumn("page", parsed("value"))
+        .withColumn("value", F.when(~readable(page), F.col("value")))
     )
-    kinds = numbered.groupBy("file").agg(F.max(readable(F.col("page"))).alias("_by_line"))
+    if keep:
+        numbered = keep(numbered, "parsed-lines")
+    kinds = numbered.groupBy("file").agg(F.max(readable(page)).alias("_by_line"))
     known = numbered.join(kinds, "file")
     by_line = known.filter("_by_line").select("file", F.col("value").alias("text"), "page")
     whole = (
