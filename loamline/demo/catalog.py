@@ -21,8 +21,8 @@ from loamline.functions.times import OFFSET_PATTERN
 from loamline.operators import calendar, counts, keyed, quality, sets, summary
 from loamline.plans import bronze, profile, replay, reports, silver
 from loamline.plans.pipeline import Lake, Pipeline
-from loamline.schemas import SILVER_SOIL, SILVER_WEATHER, WEATHER_VALUE, conform
-from loamline.session import scratch_path
+from loamline.schemas import SILVER_SOIL, SILVER_WEATHER, WEATHER_CSV, WEATHER_VALUE, conform
+from loamline.session import scratch_path, stored
 from loamline.sinks import (
     append_absent,
     for_database,
@@ -32,14 +32,19 @@ from loamline.sinks import (
     write_table,
 )
 from loamline.sources import (
+    all_pages,
     high_water_mark,
     incremental_slice,
     page_of,
     range_slice,
+    read_landed,
     read_pages,
     read_sites_csv,
     read_table,
     read_weather_csv,
+    stored_high_water_mark,
+    weather_from_text,
+    weather_text,
 )
 from loamline.streaming.ingest import ingest_pages
 from loamline.streaming.rollup import keep_hourly, read_hourly
@@ -358,6 +363,24 @@ def third_page(t: Tables) -> DataFrame:
     return page_of(t.bronze_soil().select(*SOIL), order, PAGE_ROWS, 2 * PAGE_ROWS)
 
 
+@query
+def page_numbers(t: Tables) -> DataFrame:
+    """Every reading with the number of its page, newest first, from one pass."""
+    order = [F.desc("event_time"), F.desc("number")]
+    rows = t.bronze_soil().select("ID", F.col("ID").cast("bigint").alias("number"), "event_time")
+    return all_pages(rows, order, PAGE_ROWS).select("ID", "event_time", "page")
+
+
+@query
+def high_water_mark_stored(t: Tables) -> DataFrame:
+    """The last time of a table stored by day, and the ids that have it; only the newest day is read."""
+    path = scratch_path(t.spark, "bronze")
+    rows = t.bronze_soil().select(*SOIL).withColumn("event_day", F.to_date("event_time"))
+    replace_table(rows, path, ("event_day",))
+    last = stored_high_water_mark(t.spark, path)
+    return range_slice(read_table(t.spark, path), last).select("ID", "event_time")
+
+
 def _deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
     """All readings in two deliveries that share half a day."""
     soil = t.bronze_soil().select(*SOIL)
@@ -434,6 +457,26 @@ def weather_csv(t: Tables) -> DataFrame:
     return feeds[0].unionByName(feeds[1]).unionByName(feeds[2])
 
 
+@query
+def weather_csv_rejects(t: Tables) -> DataFrame:
+    """Lines and cells of weather files that do not fit, of which some were spoilt."""
+    aside = []
+    for feed, value in WEATHER_VALUE.items():
+        path = scratch_path(t.spark, f"csv-{feed}")
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in WEATHER_CSV[feed].names]
+        rows = t.raw_weather(feed).select(*text)
+        spoilt = F.when(F.col("day") == "7", F.lit("wet")).when(F.col("day") == "9", F.lit(" "))
+        cells = [spoilt.otherwise(F.col(c)) if c == value else F.col(c) for c in rows.columns]
+        short = F.concat_ws(",", *rows.columns[:3])
+        line = F.when(F.col("day") == "8", short).otherwise(F.concat_ws(",", *cells))
+        header = t.spark.createDataFrame([(0, ",".join(rows.columns))], "n int, value string")
+        lines = header.unionByName(rows.select(F.lit(1).alias("n"), line.alias("value")))
+        lines.coalesce(1).sortWithinPartitions("n", "value").select("value").write.text(path)
+        _, wrong = weather_from_text(weather_text(t.spark, path, feed), feed)
+        aside.append(wrong.select(F.lit(feed).alias("feed"), "reason", "column", "cell", "line"))
+    return aside[0].unionByName(aside[1]).unionByName(aside[2])
+
+
 @query
 def sites_csv(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv-sites")
@@ -481,6 +524,17 @@ def json_pages(t: Tables) -> DataFrame:
     return bronze.accepted(rows, "event_time").select(*SOIL)
 
 
+@query
+def landed_pages(t: Tables) -> DataFrame:
+    """Readings of the second half of the month from the paged data source, which knows the bounds."""
+    path = scratch_path(t.spark, "pages")
+    land_pages(t, t.raw_soil(), path)
+    some = read_landed(t.spark, path, f"{MIDDLE.isoformat()}+00:00", "2024-02-01", 256 << 10)
+    # The source runs in Python; what follows does not.
+    read = stored(some, "landed-rows")
+    return bronze.accepted(bronze.soil_from_records(read), "event_time").select(*SOIL)
+
+
 def raw_deliveries(t: Tables) -> tuple[DataFrame, DataFrame]:
     raw = t.raw_soil()
     time = F.col("local_time")

@@ -455,6 +455,29 @@ SELECT (SELECT count(*) FROM (FROM soil EXCEPT ALL FROM rebuilt)) AS missing,
   {r('144.9::DOUBLE + s_acctbal / 1e5')} AS longitude FROM supplier""",
         "json_pages": _with(["soil"], soil_rows + "soil"),
         "append_absent_table": _with(["soil"], soil_rows + "soil"),
+        "page_numbers": _with(
+            ["soil"],
+            """SELECT ID, event_time,
+  (row_number() OVER (ORDER BY event_time DESC, CAST(ID AS BIGINT) DESC) - 1) // 100 AS page FROM soil""",
+        ),
+        "high_water_mark_stored": _with(
+            ["soil"],
+            "SELECT ID, event_time FROM soil WHERE event_time = (SELECT max(event_time) FROM soil)",
+        ),
+        "landed_pages": _with(
+            ["soil"],
+            soil_rows
+            + "soil WHERE event_time >= TIMESTAMP '2024-01-16' AND event_time < TIMESTAMP '2024-02-01'",
+        ),
+        "weather_csv_rejects": _with(
+            ["feeds"],
+            """, lines AS (SELECT feed, day(date) AS d,
+  'P-' || feed || ',000001,' || year(date) AS head, ',' || month(date) || ',7,wet' AS rest FROM feeds)
+SELECT feed, 'not double' AS reason, CASE feed WHEN 'rainfall' THEN 'rainfall_mm'
+    WHEN 'temperature' THEN 'max_temp_c' ELSE 'solar_exposure_mj' END AS column, 'wet' AS cell,
+  head || rest || CASE feed WHEN 'solar' THEN '' ELSE ',1.0,Y' END AS line FROM lines WHERE d = 7
+UNION ALL SELECT feed, 'malformed line', NULL, NULL, head FROM lines WHERE d = 8""",
+        ),
         "append_absent_buckets": _with(["soil"], soil_rows + "soil"),
         "replaced_partitions": _with(
             ["soil"],

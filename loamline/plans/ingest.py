@@ -9,6 +9,7 @@ from loamline.plans import bronze
 from loamline.schemas import BRONZE_SOIL, SITE_RECORD, SOIL_RECORD, conform
 from loamline.session import stored
 from loamline.sinks.files import Ingested, append_absent, set_aside
+from loamline.sources.files import weather_from_text
 from loamline.sources.pages import incomplete, landed_pages, records, unreadable
 
 
@@ -86,8 +87,11 @@ def site_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records(pages).drop("file"), page_rejects(pages)
 
 
-def dated_weather(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of a daily feed with a date, and those without."""
-    dated = bronze.weather_with_date(feed)
-    aside = set_aside(bronze.rejected(dated, "date"), F.lit("no such day"), F.lit(None))
-    return bronze.accepted(dated, "date"), aside
+def dated_weather(text: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of a daily feed with a date, from its file as text; and its malformed lines, its cells that
+    do not fit their column (the rows stay, with NULL in their place), and its rows without a date."""
+    typed, misfits = weather_from_text(text, feed)
+    dated = bronze.weather_with_date(typed)
+    undated = set_aside(bronze.rejected(dated, "date"), F.lit("no such day"), F.lit(None))
+    wrong = set_aside(misfits, F.col("reason"), F.col("file"))
+    return bronze.accepted(dated, "date"), undated.unionByName(wrong)

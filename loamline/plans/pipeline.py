@@ -36,8 +36,8 @@ from loamline.sinks import (
     store_rejects,
     write_table,
 )
+from loamline.sources import page_lines, read_sites_csv, read_table, weather_text
 from loamline.versions import is_versioned
-from loamline.sources import page_lines, read_sites_csv, read_table, read_weather_csv
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ class Pipeline:
 
     def ingest_weather(self, feed: str, csv_path: str) -> Ingested:
         path = self.lake.path("bronze", f"weather_{feed}")
-        rows, aside = ingest.dated_weather(read_weather_csv(self.spark, csv_path, feed))
+        rows, aside = ingest.dated_weather(weather_text(self.spark, csv_path, feed), feed)
         rejected = store_rejects(aside, path)
         return Ingested(replace_table(rows, path, stamps=("ingested_at",)), rejected)
 

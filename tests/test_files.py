@@ -33,6 +33,8 @@ from loamline.sources import (
     read_sites_csv,
     read_table,
     read_weather_csv,
+    weather_from_text,
+    weather_text,
 )
 from tests.conftest import plan_of, same_rows
 
@@ -73,6 +75,42 @@ def test_weather_csv(spark, tmp_path):
     assert bronze.rejected(dated, "date").count() == 2
 
 
+def test_weather_rejects_name_file_line_and_cell(spark, tmp_path):
+    folder = tmp_path / "rain"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "Product code,Station,Year,Month,Day,Rainfall amount,Period,Quality\n"
+        "P,086,2024,1,31,1.5,1,Y\n"
+        "P,086,2024,3,1,wet,2.5x,\n"
+        "P,086,2024,3,2, 4.5 ,,\n"
+        "P,086,2024\n"
+        "P,086,2024,3,4,1,1,Y,more\n"
+    )
+    (folder / "b.csv").write_text(
+        "Product code,Station,Year,Month,Day,Rainfall amount,Period,Quality\n"
+        "P,087,20x4,1,31,1.5,1,Y\n"
+        "P,087,2024,2,30,7,,\n"
+    )
+    typed, aside = weather_from_text(weather_text(spark, str(folder), "rainfall"), "rainfall")
+    assert same_rows(typed, read_weather_csv(spark, str(folder), "rainfall").withColumn(
+        "rainfall_mm", F.when(F.col("day") == 2, 4.5).otherwise(F.col("rainfall_mm"))
+    ))
+    got = {(r.reason, r.column, r.cell, r.line, r.file[-5:]) for r in aside.collect()}
+    assert got == {
+        ("not double", "rainfall_mm", "wet", "P,086,2024,3,1,wet,2.5x,", "a.csv"),
+        ("not double", "period_days", "2.5x", "P,086,2024,3,1,wet,2.5x,", "a.csv"),
+        ("malformed line", None, None, "P,086,2024", "a.csv"),
+        ("malformed line", None, None, "P,086,2024,3,4,1,1,Y,more", "a.csv"),
+        ("not int", "year", "20x4", "P,087,20x4,1,31,1.5,1,Y", "b.csv"),
+    }
+    pipeline = Pipeline(spark, Lake(str(tmp_path / "lake")))
+    assert pipeline.ingest_weather("rainfall", str(folder)) == (4, 8)
+    rejects = read_table(spark, rejects_path(pipeline.lake.path("bronze", "weather_rainfall")))
+    reasons = sorted(r.reason for r in rejects.collect())
+    assert reasons == ["malformed line"] * 2 + ["no such day"] * 3 + ["not double"] * 2 + ["not int"]
+    assert rejects.filter("reason = 'not double' AND source LIKE '%a.csv'").count() == 2
+
+
 RECORD = {
     "local_time": "2024-01-01T10:00:00+11:00", "site_name": "S", "site_id": 5, "id": 12,
     "probe_id": 3, "probe_measure": "Soil Moisture 10cm", "soil_value": 0, "unit": "%",
