@@ -38,9 +38,14 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw documents by the weights of domains, languages and sources, once per epoch drawn."""
-    mixed = mixing.drawn(with_domain(docs), MIX)
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Draw documents by the weights of domains, languages and sources, once per epoch drawn.
+
+    The columns come out as they went in: a table's own ``domain`` and ``epoch`` take no part.
+    """
+    own = [F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns]
+    known = {c: F.col(f"`{c}`") for c in ("doc_id", "text", "lang", "source")}
+    mixed = mixing.drawn(with_domain(docs.select(*own, *[c.alias(n) for n, c in known.items()])), MIX)
+    return mixed.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
