@@ -23,6 +23,8 @@ WINDOW = 5
 CONTENT, BOILERPLATE = 0, 1
 LEAST_CONTENT_SHARE = 0.5
 TRAINING_ROWS = 4_000
+# Of a training text so many lines are gathered at most; judged texts have no such bound.
+TRAINING_LINES = 400
 BATCH_BYTES = 2 << 20
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -292,10 +294,10 @@ LABEL_SCHEMA = "quality int, classes binary"
 
 
 def training_lines(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
-    """Feature classes of the lines of at most ``rows`` labelled documents, chosen by a hash of the id.
+    """Feature classes of the first lines of at most ``rows`` labelled documents, chosen by a hash of the id.
 
     No table labels lines: a line of a document of good quality counts as content, one of a
-    document of bad quality as boilerplate.
+    document of bad quality as boilerplate. See :func:`spliced` for texts that hold both.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -314,7 +316,8 @@ def training_lines(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS
             found = measured(raw, bounds)
             cuts = np.searchsorted(found.line_row, np.arange(part.num_rows + 1))
             lines = [
-                found.classes[a:b].astype(np.uint8).tobytes() for a, b in zip(cuts[:-1], cuts[1:])
+                found.classes[a : min(b, a + TRAINING_LINES)].astype(np.uint8).tobytes()
+                for a, b in zip(cuts[:-1], cuts[1:])
             ]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(lines, pa.binary())], names=["quality", "classes"]
@@ -323,17 +326,50 @@ def training_lines(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS
     return arrow_map(chosen.select("quality", "text"), batches, LABEL_SCHEMA)
 
 
+Labelled = tuple[np.ndarray, np.ndarray]
+
+
+def spliced(texts: list[Labelled]) -> list[Labelled]:
+    """Texts with lines of both labels, from texts with lines of one.
+
+    The k-th good and the k-th bad text (the shorter list from its start again) give two texts: the good
+    one with a run of one to eight of the bad one's lines inside, and the bad one with a run of the good
+    one's. Places and lengths follow from k. In these texts the label changes, so the field learns how
+    often it does, and that a line's own features decide.
+    """
+    good = [t for t in texts if t[1][0] == CONTENT]
+    bad = [t for t in texts if t[1][0] == BOILERPLATE]
+    if not good or not bad:
+        return []
+    out = []
+    for k in range(max(len(good), len(bad))):
+        one, other = good[k % len(good)], bad[k % len(bad)]
+        for (outer, label), (inner, insert) in ((one, other), (other, one)):
+            size = 1 + 7919 * k % min(8, len(inner))
+            start = 104729 * k % (len(inner) - size + 1)
+            at = 15485863 * k % (len(outer) + 1)
+            run = slice(start, start + size)
+            out.append(
+                (
+                    np.concatenate([outer[:at], inner[run], outer[at:]]),
+                    np.concatenate([label[:at], insert[run], label[at:]]),
+                )
+            )
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> LineField:
-    """Fit the field on a bounded sample of labelled documents; only feature numbers are gathered.
+    """Fit the field on a bounded sample of labelled documents and on texts spliced from them; only
+    feature numbers are gathered, of a bounded number of lines.
 
     Without labelled documents all weights are zero, and then every line counts as content.
     """
-    texts = []
+    texts: list[Labelled] = []
     for row in training_lines(docs, labels, rows).orderBy("classes", "quality").collect():
         classes = np.frombuffer(row.classes, dtype=np.uint8).reshape(-1, len(CLASSES)).astype(int)
         if len(classes):
             texts.append((classes, np.full(len(classes), 1 - row.quality)))
-    return fit(texts)
+    return fit(texts + spliced(texts))
 
 
 def quality(

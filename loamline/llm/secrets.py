@@ -36,7 +36,8 @@ METHOD_KIND = "markov"
 # The characters that the models know run from + to z.
 FIRST, CODES = ord("+"), ord("z") - ord("+") + 1
 RUN = "A-Za-z0-9+/_=-"
-LEAST_RUN = 20
+# The least length of the fixed patterns; whether a run is random is for the models to say.
+LEAST_RUN = 12
 CANDIDATE = rf"[{RUN}]{{{LEAST_RUN},}}"
 IDENTIFIER = r"(?<![\p{L}\p{N}_-])[A-Za-z][A-Za-z0-9_-]{5,}(?![\p{L}\p{N}_-])"
 TRAINING_ROWS = 4_000
@@ -239,7 +240,7 @@ def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -
     """``docs`` with the arrays ``base_spans`` and ``all_spans`` (start, rank of kind, end, text).
 
     Positions are code points, the end exclusive, in order of start and kind. NULL and empty texts
-    have none. The models judge runs of 20 or more key characters; of a run that base spans touch they
+    have none. The models judge runs of 12 or more key characters; of a run that base spans touch they
     judge each piece outside of them, whatever its length.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))

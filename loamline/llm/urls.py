@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline.llm.shared import stored
+
 # The rules (host, path, verdict).
 RULES = (
     ("net", "/", "block"),
@@ -144,29 +146,36 @@ def rate(bad: Column, rows: Column, prior: float) -> Column:
 def train(
     labelled: DataFrame, rows: int = TRAINING_ROWS, trees: int = 12, depth: int = 4, seed: int = 7
 ) -> UrlModel:
-    """Fit on at most ``rows`` labelled URLs (columns url, label 0/1), chosen by a hash of the URL.
+    """Fit on at most ``rows`` different labelled URLs (columns url, label 0/1), chosen by a hash of the URL.
 
+    Rows without a URL or with another label are left out, repeated ones count once; a URL with both
+    labels counts with each. The sample is written once and read from there by everything that follows.
     Suffix statistics come from the same rows; a training row's own label is taken out of its rate.
     With no rows or only one label there are no trees, and every URL is allowed.
     """
-    chosen = (
+    sample = (
         labelled.filter(F.col("label").isin(0, 1) & F.col("url").isNotNull())
         .select("url", F.col("label").cast("double").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("url"), "url", "label")
         .limit(rows)
         .withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     )
+    chosen = stored(sample, labelled.sparkSession, "url-sample")
     total, bad = chosen.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = bad / total if total else 0.0
-    suffixes = (
+    suffixes = stored(
         chosen.groupBy(suffix_of(F.col("host")).alias("suffix"))
         .agg(F.sum("label").alias("bad"), F.count("*").alias("rows"))
-        .withColumn("share", F.col("rows") / F.lit(max(total, 1)))
+        .withColumn("share", F.col("rows") / F.lit(max(total, 1))),
+        labelled.sparkSession,
+        "url-suffixes",
     )
     if not 0 < bad < total:
         return UrlModel(suffixes, prior, None)
     own = UrlModel(suffixes, prior, None).features(chosen)
     own = own.withColumn("suffix_rate", rate(F.col("bad") - F.col("label"), F.col("rows") - 1, prior))
+    own = stored(own.select(*FEATURES, "label"), labelled.sparkSession, "url-features")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     fitted = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, seed=seed
