@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.pieces import byte_batches, coded_spans, lowered, text_bytes
 from loamline.llm.shared import arrow_map, discard, stored
+from loamline.llm.shingles import mixed
 from loamline.session import scratch_path
 
 # Bytes that end a piece of text, and bytes between the words of a piece.
@@ -23,6 +25,7 @@ BATCH_BYTES = 4 << 20
 # Bits of one bitmap of Spark's bitmap aggregates.
 BITMAP = 32768
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(BREAKS)] = True
 _APART = _BREAK.copy()
@@ -94,10 +97,34 @@ def runs(raw: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
 
 def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values as numbers: where each occurs first, the number at each place, and how often."""
-    _, first, which, times = np.unique(values, return_index=True, return_inverse=True, return_counts=True)
+    which = pd.factorize(values)[0]
+    times = np.bincount(which)
+    first = np.empty(len(times), dtype=np.int64)
+    first[which[::-1]] = np.arange(len(values) - 1, -1, -1)
     return first, which, times
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def joined_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of phrases, or of a language and its words, from those without the last word and of that word."""
+    return mixed(before * _ODD + word)
+
+
+def slots_of(keys: list[str], slots: int) -> np.ndarray:
+    """The slot of each phrase, as :func:`counted` finds it."""
+    parts = [key.rsplit("\t", 1) for key in keys]
+    found = word_hashes([lang.encode() for lang, _ in parts])
+    words = [phrase.encode().split(b" ") for _, phrase in parts]
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    for at in range(int(sizes.max(initial=0))):
+        some = np.flatnonzero(sizes > at)
+        found[some] = joined_hashes(found[some], word_hashes([words[i][at] for i in some.tolist()]))
+    return (found & np.uint64(slots - 1)).astype(np.int64)
+
+
 def counted(
     raw: np.ndarray, rows: np.ndarray, langs: list[bytes], step: int, reached: np.ndarray, mining: Mining
 ) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
@@ -115,26 +142,27 @@ def counted(
     codes, distinct = coded_spans(raw, starts, stops)
     kinds = {lang: n for n, lang in enumerate(dict.fromkeys(langs))}
     of_row = np.array([kinds[lang] for lang in langs], dtype=np.int64)
-    word = numbered(of_row[row] * len(distinct) + codes)[1]
     if step < mining.shards:
         first, _, times = numbered(of_row[row])
         yield [langs[row[i]] + b"\t" for i in first.tolist()], np.zeros(len(first), np.int8), times
 
+    further = bool(reached.any())
+    own = word_hashes(distinct.to_pylist())[codes] if further else None
+    before = word_hashes(list(kinds))[of_row[row]] if further else None
+    word = numbered(of_row[row] * len(distinct) + codes)[1]
     places = np.arange(len(starts))
     number, active = word, np.zeros(len(starts), dtype=np.int8)
     for length in range(1, mining.longest + 1):
         first, which, times = numbered(number)
-        at = places[first]
-        since = active[first]
-        wanted = since + mining.shards > step
-        further = length < mining.longest and reached.any()
-        need = np.arange(len(at)) if further else np.flatnonzero(wanted)
-        own = [langs[r] for r in row[at[need]].tolist()]
-        keys = keys_at(raw, starts[at[need]], stops[at[need] + length - 1], own)
-        yield [k for k, w in zip(keys, wanted[need].tolist()) if w], since[wanted], times[wanted]
-        if not further:
+        at, since = places[first], active[first]
+        wanted = np.flatnonzero(since + mining.shards > step)
+        if len(wanted):
+            here = at[wanted]
+            head = [langs[r] for r in row[here].tolist()]
+            yield keys_at(raw, starts[here], stops[here + length - 1], head), since[wanted], times[wanted]
+        if not further or length == mining.longest:
             return
-        hashes = np.array([xxhash.xxh64_intdigest(k, 42) for k in keys], dtype=np.uint64)
+        hashes = joined_hashes(before[first], own[at + length - 1])
         level = reached[(hashes & np.uint64(mining.slots - 1)).astype(np.int64)][which]
         # A phrase begins here and one begins at the next place, and both reached the threshold.
         follows = np.flatnonzero((level[:-1] > 0) & (level[1:] > 0) & (places[1:] == places[:-1] + 1))
@@ -144,6 +172,7 @@ def counted(
         # Phrases that share a slot with others may seem to have reached it before they were active.
         level = np.maximum(level, active)
         active = np.maximum(level[follows], level[follows + 1])
+        before = hashes[which[follows]]
         number = which[follows] * np.int64(len(word)) + word[places[follows] + length]
         places = places[follows]
 
@@ -196,12 +225,25 @@ def words_in(key: Column) -> Column:
 
 def newly_reached(state: DataFrame, mining: Mining) -> np.ndarray:
     """Slots of the phrases that reached the threshold in this step, as bitmaps of fixed size."""
-    slot = F.xxhash64("key").bitwiseAND(F.lit(mining.slots - 1)) + 1
-    maps = (
+    fresh = (
         state.filter((F.col("n") >= mining.least) & (F.col("before") < mining.least))
         .filter((words_in(F.col("key")) > 0) & (words_in(F.col("key")) < mining.longest))
-        .groupBy(F.call_function("bitmap_bucket_number", slot).alias("at"))
-        .agg(F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", slot)).alias("bits"))
+        .select("key")
+    )
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            slots = slots_of(part.column(0).to_pylist(), mining.slots)
+            yield pa.RecordBatch.from_arrays([pa.array(slots + 1)], names=["slot"])
+
+    maps = (
+        arrow_map(fresh, batches, "slot bigint")
+        .groupBy(F.call_function("bitmap_bucket_number", F.col("slot")).alias("at"))
+        .agg(
+            F.call_function(
+                "bitmap_construct_agg", F.call_function("bitmap_bit_position", F.col("slot"))
+            ).alias("bits")
+        )
     )
     found = np.zeros(mining.slots, dtype=bool)
     for row in maps.collect():

@@ -99,6 +99,22 @@ def test_long_texts_are_cut_between_pieces(spark, monkeypatch):
         assert bounds[0] == 0 and bounds[-1] == len(bytes_) and len(which) == len(bounds) - 1
 
 
+def test_slots_of_keys_are_those_of_counted_phrases():
+    text = "aa bb cc dd aa bb ee. bb cc\nx"
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    rows, mining = np.array([0, len(raw)]), Mining(least=1, shards=1, slots=1 << 20)
+    reached = np.zeros(mining.slots, dtype=np.int8)
+    found = {}
+    for step in range(4):
+        for keys, since, _ in phrases.counted(raw, rows, [b"d\te"], step, reached, mining):
+            found.update({k.decode(): s for k, s in zip(keys, since.tolist())})
+        fresh = [k for k, s in found.items() if s == step and not k.endswith("\t")]
+        reached[phrases.slots_of(fresh, mining.slots)] = step + 1
+    words = [p.split() for p in ("aa bb cc dd aa bb ee", "bb cc", "x")]
+    want = {" ".join(w[i : i + n]) for w in words for n in range(1, 5) for i in range(len(w) - n + 1)}
+    assert {k.rsplit("\t", 1)[1] for k in found} == want | {""}
+
+
 def test_odd_and_empty_tables(spark):
     rows = [(r.lang, r.text) for r in odd(spark).collect()]
     mining = Mining(least=2)
