@@ -10,12 +10,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import stored
+from loamline.llm.shared import HOT_PART, stored
 
 SAMPLES = 64
 SEED = 29
 # Draws are taken from tables of equally likely values, as logarithms would cost most of the time.
 GRID = 256
+# Copies of a row for which one row stands at most.
+COPIES = 100_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -44,10 +46,9 @@ def gamma_tables() -> tuple[list[float], list[float]]:
     return coarse, [math.log(v) for v in [*fine, *coarse]]
 
 
-def constant_array(values: list[float], kind: str = ".6g") -> Column:
+def constant_array(values: list[float]) -> Column:
     """An array constant, written as one text so that the plan has one literal instead of thousands."""
-    texts = [repr(v) if kind == "r" else format(v, kind) for v in values]
-    return F.split(F.lit(",".join(texts)), ",").cast("array<double>")
+    return F.split(F.lit(",".join(format(v, ".6g") for v in values)), ",").cast("array<double>")
 
 
 def samples(term: Column, weight: Column, count: int, seed: int) -> list[Column]:
@@ -116,46 +117,99 @@ def as_text(signature: Column) -> Column:
     return F.coalesce(F.array_join(digits, ""), F.lit(""))
 
 
+def own_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """id, text and ``place``, which orders rows: known ids first, then the id itself, then a hash of the text."""
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    own = docs.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
+    place = F.struct(F.col("id").isNotNull().alias("known"), "id", F.xxhash64("text").alias("hash"))
+    return own.withColumn("place", place)
+
+
+def range_marks(places: DataFrame, ranges: int) -> Column:
+    """The least places of about as many ranges that hold about as many rows each, as a constant.
+
+    Only places are put in order, in as many tasks as there are ranges; one place of each comes to the driver.
+    """
+    firsts = (
+        places.select("place")
+        .repartitionByRange(ranges, "place")
+        .groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min("place").alias("place"))
+        .agg(F.to_json(F.sort_array(F.collect_list("place"))))
+    )
+    kind = f"array<{places.schema['place'].dataType.simpleString()}>"
+    return F.from_json(F.lit(firsts.first()[0] or "[]"), kind)
+
+
+def range_of(marks: Column, place: Column, ranges: int) -> Column:
+    """How many marks are at or below the place, by halving."""
+    steps = [1 << k for k in reversed(range(max(ranges, 1).bit_length()))]
+
+    def step(at: Column, size: Column) -> Column:
+        return F.when(F.get(marks, at + size - 1) <= place, at + size).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+
 def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) -> DataFrame:
-    """Rows numbered in descending order of ids inside ranges of ids: range, at, id, text, following.
+    """Rows numbered in descending order of ids inside ranges: range, at, id, text, copies, following.
 
-    Order is by id, then by a hash of the text, NULL ids last. The ranges are cut at quantiles of all
-    ids, so they hold about as many rows each; ``following`` is the next text inside the range.
+    Order is by the id, whatever its type, then by a hash of the text, NULL ids last. A range holds about
+    as many rows as any other; rows of one id are dealt to several by their texts' hashes. Rows that
+    are equal and hold more than a thousandth of all rows are brought down to a few, which say in
+    ``times`` for how many they stand: all but the last copy are followed by another one, so the last
+    one has a row of its own. ``following`` is the next text inside the range.
     """
-    own = docs.select(
-        F.col(id_column).alias("id"),
-        F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("order", F.coalesce(F.col("id").cast("double"), F.lit(float("-inf"))))
-    wanted = [i / ranges for i in range(1, ranges)]
-    found = own.agg(F.percentile_approx("order", wanted, 100 * ranges)).first()[0] if wanted else None
-    marks = sorted(set(found or ()))
-    cuts = constant_array(marks, "r") if marks else F.array().cast("array<double>")
-    passed = F.size(F.filter(cuts, lambda mark: mark <= F.col("order")))
-    own = own.withColumn("range", passed)
-    # More partitions than usual: each text becomes many terms there.
-    own = own.repartition(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "range")
-    window = Window.partitionBy("range").orderBy(
-        F.col("order").desc(), F.xxhash64("text").desc(), F.col("text")
+    own = own_texts(docs, id_column, text_column)
+    places = stored(own.select("place"), docs.sparkSession, "places")
+    counts = places.groupBy("place").agg(F.count("*").alias("copies")).filter("copies > 1")
+    marks = range_marks(places, ranges)
+    many = F.broadcast(counts.filter(F.col("copies") * HOT_PART > places.count()))
+    one = F.lit(1).cast("bigint")
+    alone = own.join(many, "place", "left_anti").select("place", "id", "text", one.alias("times"))
+    before_last = F.col("copies") - 1
+    parts = F.sequence(F.lit(0), F.ceil(before_last / COPIES).cast("int") - 1)
+    times = F.concat(
+        F.transform(parts, lambda k: F.least(F.lit(COPIES), before_last - k * COPIES).cast("bigint")), F.array(one)
     )
-    return own.withColumns(
+    whole = (
+        own.join(many, "place")
+        .groupBy("place", "copies")
+        .agg(F.first("id").alias("id"), F.min("text").alias("text"))
+        .select("place", "id", "text", F.explode(times).alias("times"))
+    )
+    rows = alone.unionByName(whole).withColumn("range", range_of(marks, F.col("place"), ranges))
+    # More partitions than usual: each text becomes many terms there.
+    wide = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    window = Window.partitionBy("range").orderBy(F.col("place").desc(), "text", F.col("times").desc())
+    return rows.repartition(wide, "range").withColumns(
         {"at": F.row_number().over(window), "following": F.lead("text").over(window)}
-    ).select("range", "at", "id", "text", "following")
+    ).select("range", "at", "id", "text", "times", "following")
 
 
 def ring_heads(placed: DataFrame, column: str) -> DataFrame:
     """For each range, ``head``: the column of the first row of the next range in descending order.
 
-    One row per range comes together; the last range is followed by the first.
+    The last range is followed by the first. Ranges are put in order by their numbers alone; what a
+    range hands on goes to the task of the range that takes it.
     """
-    # The id, which decides nothing here, keeps the columns of every use of the texts alike, so that
+    # Id and times, which decide nothing here, keep the columns of every use of the texts alike, so that
     # they are shuffled once.
-    ring = Window.orderBy(F.col("range").desc(), "id")
+    firsts = placed.filter(F.col("at") == 1)
+    ring = Window.orderBy(F.col("range").desc(), "id", "times")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return placed.filter(F.col("at") == 1).select(
-        "range", F.when(F.lead("at").over(ring).isNotNull(), F.lead(column).over(ring))
-        .otherwise(F.first(column).over(whole))
-        .alias("head")
+    numbers = firsts.select(
+        F.col("range").alias("own_range"),
+        F.col("id").alias("own_id"),
+        F.col("times").alias("own_times"),
+        F.coalesce(F.lag("range").over(ring), F.last("range").over(whole)).alias("before"),
+    )
+    same = (
+        (F.col("range") == F.col("own_range"))
+        & F.col("id").eqNullSafe(F.col("own_id"))
+        & (F.col("times") == F.col("own_times"))
     )
+    return firsts.join(numbers, same).select(F.col("before").alias("range"), F.col(column).alias("head"))
 
 
 def fingerprints(
@@ -170,9 +224,9 @@ def fingerprints(
     Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     Terms are words between ASCII white space, weighted by how often they occur. In the edited text
     the last half of the code points (rounded down) gives way to the start of the next document's
-    text, as many of its code points or all; order is by descending id, equal ids by a hash of the
-    text. NULL texts are empty; a text without words has an empty fingerprint, like only to another
-    such. Equal rows each come out; equal texts have equal fingerprints. A single row follows itself.
+    text, as many of its code points or all; order is by descending id (of any type that has an order),
+    equal ids by a hash of the text, rows without an id last. NULL texts are empty; a text without words has an empty
+    fingerprint, like only to another such. Equal rows each come out; equal texts have equal fingerprints. A single row follows itself.
     An empty table gives an empty table; other columns are ignored.
     """
     if ranges is None:
@@ -204,6 +258,7 @@ def fingerprints(
         "range",
         "at",
         "id",
+        "times",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
     )
@@ -216,7 +271,8 @@ def fingerprints(
     )
     heads = ring_heads(described, "own")
     following = F.when(F.col("inside").isNotNull(), F.col("inside.own")).otherwise(F.col("head"))
-    return beside.join(heads, "range").select(
+    each = beside.join(heads, "range").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")))
+    return each.select(
         F.col("id").alias(id_column),
         "n_chars",
         "edited_sha256",

@@ -1,7 +1,9 @@
+import decimal
 import hashlib
 import math
 import re
 from collections import Counter
+from datetime import date
 
 import numpy as np
 import pytest
@@ -103,6 +105,42 @@ def test_field_separates_held_out_documents(spark):
     assert kept.columns == ["doc_id", "text", "kept"]
 
 
+def test_boilerplate_lines_inside_good_texts_are_marked(spark):
+    """Lines of junk between lines of prose, in texts that the field has not seen."""
+    def line(seed, junk):
+        words = prose(seed, 11)
+        return " | ".join(f"{w}$$$" for w in words.split()) if junk else words
+
+    good = [(i, "\n".join(line(1000 + 9 * i + k, False) for k in range(6))) for i in range(60)]
+    bad = [(100 + i, "\n".join(line(7000 + 9 * i + k, True) for k in range(6))) for i in range(60)]
+    docs = spark.createDataFrame(good + bad, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad], "doc_id bigint, quality int")
+    field = line_quality.train(docs, labels)
+    hits = wrong = missed = 0
+    for i in range(80):
+        truth = [k in (i % 7, 3 + i % 4) for k in range(9)]
+        text = "\n".join(line(50_000 + 11 * i + k, junk) for k, junk in enumerate(truth))
+        found = line_quality.measured(np.frombuffer(text.encode(), dtype=np.uint8), np.array([0, len(text.encode())]))
+        said = (field.label(found.line_row, found.classes) == line_quality.BOILERPLATE).tolist()
+        hits += sum(a and b for a, b in zip(said, truth))
+        wrong += sum(a and not b for a, b in zip(said, truth))
+        missed += sum(b and not a for a, b in zip(said, truth))
+    assert 2 * hits / (2 * hits + wrong + missed) >= 0.9
+    mixed = spark.createDataFrame(
+        [(i, "\n".join(line(90_000 + 11 * i + k, k in (2, 5)) for k in range(9))) for i in range(30)], "doc_id bigint, text string"
+    )
+    rows = line_quality.quality(mixed, field).collect()
+    assert all(0.5 < r.content_share < 1 and r.kept for r in rows)
+
+
+def test_training_takes_a_bounded_number_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(line_quality, "TRAINING_LINES", 5)
+    docs = spark.createDataFrame([(i, "\n".join(prose(i * 50 + k, 5) for k in range(40))) for i in range(6)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id bigint, quality int")
+    rows = line_quality.training_lines(docs, labels).collect()
+    assert [len(r.classes) for r in rows] == [5 * len(line_quality.CLASSES)] * 6
+
+
 # Repeated units
 
 
@@ -230,6 +268,26 @@ def test_base_spans_equal_brute_force(spark, models):
     assert secrets.secret_scan(none(spark), models).count() == 0
 
 
+def test_short_random_strings_are_found_and_ratios_are_right(spark, models):
+    """Rates by length on strings the models have not seen, and every ratio recomputed."""
+    import base64
+
+    digests = [hashlib.sha256(f"held out {i}".encode()).digest() for i in range(200)]
+    for n, least in ((12, 0.65), (16, 0.85), (19, 0.9), (24, 0.95)):
+        strings = [base64.b64encode(d).decode().replace("=", "")[:n] for d in digests]
+        docs = spark.createDataFrame([(i, f"é {s} end") for i, s in enumerate(strings)], "doc_id bigint, text string")
+        rows = secrets.secret_scan(docs, models).collect()
+        assert sum(r.n_markov + r.n_hex > 0 for r in rows) >= least * len(strings), n
+        scored = spark.createDataFrame([(s,) for s in strings], "s string").select("s", models.score(F.col("s")).alias("x"))
+        for r in scored.collect():
+            codes = [ord(c) - secrets.FIRST for c in r.s]
+            want = sum(models.ratios[a * secrets.CODES + b] for a, b in zip(codes, codes[1:]))
+            assert abs(r.x - want) < 1e-3
+    words = "internationally Zusammenarbeit responsabilidades développement-durable configuration_manager".split()
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "doc_id bigint, text string")
+    assert sum(r.n_markov for r in secrets.secret_scan(docs, models).collect()) <= 1
+
+
 def test_models_tell_random_strings_from_identifiers(spark, models):
     digests = [hashlib.sha256(str(i).encode()).digest() for i in range(200)]
     import base64
@@ -306,6 +364,44 @@ def test_rules_and_parts_of_urls(spark):
     assert urls.url_verdicts(pages.limit(0), model).count() == 0
 
 
+def test_sample_holds_different_urls(spark, monkeypatch):
+    pages = [(f"http://host{i}.example.com/en/{i}", i % 5 == 0) for i in range(250)]
+    rows = [(u, int(b)) for u, b in pages] + [(pages[7][0], 0)] * 4000
+    df = spark.createDataFrame(rows, "url string, label int")
+    seen = []
+    kept = urls.stored
+
+    def noted(frame, session, name):
+        out = kept(frame, session, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(urls, "stored", noted)
+    model = urls.train(df, rows=200, trees=2)
+    assert dict(seen)["url-sample"] == 200 and model.trees is not None
+    odd_ones = spark.createDataFrame([(None, 1), ("a://b", None), ("a://b", 3), ("a://c", 1), ("a://c", 0)], "url string, label int")
+    seen.clear()
+    urls.train(odd_ones, trees=1)
+    assert dict(seen)["url-sample"] == 2
+
+
+def test_lexical_features_equal_brute_force(spark):
+    texts = [u for _, u, *_ in URLS] + ["http://a1-b2.c-d.example.com/x/y/?a=1&b=2&c#f?g", "https://aaaa.b/?", "ftp://x?#"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(texts)], "n int, url string").withColumns(
+        {"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))}
+    )
+    for r in urls.lexical(df).collect():
+        url, host = r.url or "", r.host
+        known = Counter(c for c in host if c in urls.HOST_CHARACTERS)
+        entropy = -sum(n / len(host) * math.log2(n / len(host)) for n in known.values())
+        assert abs(r.host_entropy - entropy) < 1e-9
+        assert abs(r.digit_ratio - sum(c in "0123456789" for c in url) / max(len(url), 1)) < 1e-12
+        assert r.suffix == ".".join(host.split(".")[-2:])
+        query = re.search(r"\?([^#]*)", url)
+        assert r.parameters == (query.group(1).count("&") + 1 if query and query.group(1) else 0)
+        assert (r.url_length, r.host_labels, r.path_depth) == (len(url), host.count(".") + 1, r.path.count("/"))
+
+
 def test_trees_learn_lexical_features(spark):
     def url(i, bad):
         name = f"cheap-{prose(i, 1)[:-1]}-win-{i % 7}" if bad else prose(i, 1)[:-1].strip("0123456789")
@@ -368,6 +464,53 @@ def test_odd_rows_have_fingerprints(spark):
     assert prints.fingerprints(alone, ranges=3).first().near_next == 1.0
 
 
+def followed(rows):
+    """(id, digest of the edited text) of (id, text) rows in descending order of ids, known ones first."""
+    out = []
+    for (i, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        text, following = text or "", following or ""
+        half = len(text) // 2
+        out.append((i, hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()))
+    return plain(out)
+
+
+@pytest.mark.parametrize(
+    ("kind", "ids"),
+    [
+        ("bigint", [2**53 + k for k in range(6)] + [-(2**60), 2**62, 0, 7]),
+        ("string", ["a", "B", "10", "9", "é", "", "zz\"\\"]),
+        ("decimal(30,0)", [10**25 + k for k in range(5)]),
+        ("date", [date(2024, 1, d) for d in range(1, 9)]),
+    ],
+)
+def test_order_is_by_the_id_itself(spark, kind, ids):
+    rows = sorted([(i, prose(400 + n, 12 + n)) for n, i in enumerate(ids)], key=lambda r: r[0], reverse=True)
+    if kind == "string":
+        rows.sort(key=lambda r: r[0].encode(), reverse=True)
+    docs = spark.createDataFrame([(decimal.Decimal(i) if "decimal" in kind else i, t) for i, t in rows], f"doc_id {kind}, text string")
+    for ranges in (1, 4):
+        got = prints.fingerprints(docs.repartition(3), ranges=ranges)
+        assert plain((r.doc_id, r.edited_sha256) for r in got.collect()) == plain(
+            (decimal.Decimal(i) if "decimal" in kind else i, d) for i, d in followed(rows)
+        )
+
+
+@pytest.mark.parametrize("copies", [4, 100_000])
+def test_many_equal_rows_and_rows_without_an_id(spark, monkeypatch, copies):
+    monkeypatch.setattr(prints, "COPIES", copies)
+    rows = [(9, prose(1, 20))] + [(5, prose(2, 20))] * 30 + [(4, prose(3, 20))] + [(None, prose(4, 21))] * 25
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = prints.fingerprints(docs, ranges=6).collect()
+    assert plain((r.doc_id, r.edited_sha256) for r in got) == followed(rows)
+    assert sum(r.near_next == 1.0 for r in got) >= 29 + 24
+    marks = prints.own_texts(docs, "doc_id", "text")
+    spread = spark.range(4000).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    own = prints.own_texts(spread, "doc_id", "text")
+    ranged = own.withColumn("range", prints.range_of(prints.range_marks(own, 8), F.col("place"), 8))
+    sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+    assert marks.count() == len(rows) and len(sizes) >= 7 and max(sizes) < 1200
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     one = {f"t{i}": i % 7 + 1 for i in range(60)}
     two = {f"t{i}": (i * 3) % 5 + 1 for i in range(20, 80)}
