@@ -6,7 +6,7 @@ import argparse
 
 from loamline.config import Settings
 from loamline.plans.pipeline import Lake, Pipeline
-from loamline.session import get_spark
+from loamline.session import clear_scratch, get_spark
 from loamline.sinks import Ingested
 
 STEPS_WITH_INPUT = {
@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         result = STEPS_WITH_INPUT[args.step](pipeline, args.input)
     else:
         result = STEPS[args.step](pipeline)
+    clear_scratch(pipeline.spark)
     if isinstance(result, Ingested):
         print(f"{args.step}: {result.added} rows added, {result.rejected} set aside")
     else:

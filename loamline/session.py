@@ -10,6 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loamline.storage import discard
+
 # AQE sizes reduce tasks from what was really shuffled, turns a join into a broadcast when the side
 # it measured is small, and splits skewed join partitions. No master and no fixed shuffle width:
 # both belong to whoever launches the job.
@@ -31,17 +33,36 @@ def get_spark(app_name: str = "loamline", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables, under the folder named by ``spark.checkpoint.dir``.
+_LOCAL: dict[str, str] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, below the one named by ``spark.checkpoint.dir``.
 
     Executors must see it, so a machine-local folder is only made up in local mode.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root, application = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="loamline-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="loamline-")
+        root = _LOCAL[application]
+    return f"{root.rstrip('/')}/loamline-{application}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table. Results may read it until :func:`clear_scratch`."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; for when its last result has been read.
+
+    The commands do so when a step has ended. A job that calls operators itself does it last; what an
+    application that was lost has left lies in the folder that bears its id.
+    """
+    discard(spark, scratch_root(spark))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from typing import Any
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType, TimestampType
 
@@ -58,6 +59,47 @@ def for_database(df: DataFrame) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+def stage_name(table: str) -> str:
+    """Where the rows are put before they become the table; in the same schema."""
+    return f"{table}__stage"
+
+
+def swap_statements(table: str) -> list[str]:
+    """What makes the filled stage the table."""
+    return [
+        f"DROP TABLE IF EXISTS {table}",
+        f"ALTER TABLE {stage_name(table)} RENAME TO {table.rsplit('.', 1)[-1]}",
+    ]
+
+
+def in_transaction(connection: Any, statements: Iterable[str]) -> None:
+    """Run statements on a JDBC connection, all or none, and close it."""
+    try:
+        connection.setAutoCommit(False)
+        try:
+            for text in statements:
+                statement = connection.createStatement()
+                try:
+                    statement.execute(text)
+                finally:
+                    statement.close()
+        except BaseException:
+            connection.rollback()
+            raise
+        connection.commit()
+    finally:
+        connection.close()
+
+
+def opened(spark: SparkSession, options: Mapping[str, str]) -> Any:
+    """A JDBC connection of the driver, by the options that Spark's writer takes."""
+    properties = spark._jvm.java.util.Properties()
+    for name, value in options.items():
+        if name != "url":
+            properties.setProperty(name, value)
+    return spark._jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+
+
 def load_table(
     df: DataFrame,
     table: str,
@@ -65,19 +107,22 @@ def load_table(
     connections: int = 8,
     types: Mapping[str, str] = DATABASE_TYPES,
 ) -> None:
-    """Drop, create and fill ``table``. Every task inserts its own rows in batches;
-    ``connections`` bounds how many write at once."""
+    """Replace ``table``. Every task inserts its own rows in batches into a stage beside it;
+    ``connections`` bounds how many write at once. Only when all rows are there does the stage become the
+    table, in one transaction, so a failed load leaves the old rows, and readers never see half of the
+    new ones (in databases whose DROP and ALTER belong to a transaction, as in PostgreSQL)."""
     out = for_database(df)
     (
         out.write.format("jdbc")
         .options(**options)
-        .option("dbtable", table)
+        .option("dbtable", stage_name(table))
         .option("batchsize", BATCH_ROWS)
         .option("numPartitions", connections)
         .option("createTableColumnTypes", column_types(out.schema, types))
         .mode("overwrite")
         .save()
     )
+    in_transaction(opened(df.sparkSession, options), swap_statements(table))
 
 
 def load_tables(tables: Mapping[str, DataFrame], options: Mapping[str, str], **kwargs) -> None:

@@ -14,9 +14,11 @@ from loamline.plans import bronze
 from loamline.plans.pipeline import Lake, Pipeline
 from loamline.operators.quality import QualityError
 from loamline.schemas import RAW_SOIL, require_columns
-from loamline.session import scratch_path
+from loamline.session import clear_scratch, scratch_path, scratch_root, stored
+from loamline.storage import names_in
 from loamline.operators.keyed import absent_rows
 from loamline.plans.silver import silver_weather
+from loamline.sinks.jdbc import in_transaction, stage_name, swap_statements
 from loamline.sinks import (
     append_absent,
     column_types,
@@ -171,15 +173,27 @@ def test_scratch_path(spark):
     assert first != second and "/x-" in first
 
     def session(master, **conf):
-        context = SimpleNamespace(master=master)
+        context = SimpleNamespace(master=master, applicationId="app-1")
         return SimpleNamespace(conf=conf, sparkContext=context)
 
     named = session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
-    assert scratch_path(named, "y").startswith("hdfs:///shared/y-")
+    assert scratch_path(named, "y").startswith("hdfs:///shared/loamline-app-1/y-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(session("yarn"), "y")
 
 
+def test_scratch_is_cleared(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        rows = stored(spark.range(5), "some")
+        assert rows.count() == 5 and len(names_in(spark, scratch_root(spark))) == 1
+        clear_scratch(spark)
+        assert names_in(spark, scratch_root(spark)) == [] and (tmp_path / "shared").exists()
+        clear_scratch(spark)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_nothing_is_lost_at_ingest(spark, tmp_path):
     """Every record of every file is stored or set aside, by the batch and by the stream alike."""
     landing = tmp_path / "pages"
@@ -288,6 +302,39 @@ def test_database_options(spark):
     assert column_types(out.schema) == "`a` INTEGER, `b` BIGINT, `f` BOOLEAN, `g` DATE, `h` TIMESTAMP"
 
 
+def test_tables_are_swapped_in_one_transaction():
+    log = []
+
+    class Connection:
+        def setAutoCommit(self, on):
+            log.append(f"auto {on}")
+
+        def createStatement(self):
+            return SimpleNamespace(execute=lambda sql: log.append(sql) or ("boom" in sql and 1 / 0), close=lambda: None)
+
+        def commit(self):
+            log.append("commit")
+
+        def rollback(self):
+            log.append("rollback")
+
+        def close(self):
+            log.append("close")
+
+    assert stage_name("gold.daily") == "gold.daily__stage"
+    statements = swap_statements("gold.daily")
+    assert statements == [
+        "DROP TABLE IF EXISTS gold.daily",
+        "ALTER TABLE gold.daily__stage RENAME TO daily",
+    ]
+    in_transaction(Connection(), statements)
+    assert log == ["auto False", *statements, "commit", "close"]
+    log.clear()
+    with pytest.raises(ZeroDivisionError):
+        in_transaction(Connection(), ["boom", "never"])
+    assert log == ["auto False", "boom", "rollback", "close"]
+
+
 def test_database_types_suit_sparks_parser(spark, tables):
     for df in (tables.gold_daily(), tables.gold_hourly()):
         declared = column_types(for_database(df).schema)
