@@ -1,12 +1,14 @@
 import decimal
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 from datetime import date
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from loamline.llm import fingerprints as prints
@@ -216,6 +218,68 @@ def test_lines_and_paragraphs(spark, kind, left):
     assert got[2] == left + "\n"
 
 
+def cut_units(text, kind):
+    """(begin, end, normal form) of the lines or paragraphs of a text, those without words left out."""
+    ends, at = [], 0
+    for m in re.finditer("\n" if kind == "line" else "\n\n+", text):
+        ends.append(m.end())
+    out = []
+    for end in [*ends, len(text)]:
+        piece = text[at:end]
+        if piece.split():
+            begin = at + len(piece) - len(piece.lstrip())
+            out.append((begin, at + len(piece.rstrip()), " ".join(piece.lower().split())))
+        at = end
+    return out
+
+
+def brute_repeats(docs, kind):
+    """(id, text left, number of spans) of every row, from all units of all rows in order."""
+    order = sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0, signed_hash(d[1])))
+    first, removed = {}, {}
+    for key, text in order:
+        spans, before = [], None
+        for n, (begin, end, normal) in enumerate(cut_units(text or "", kind)):
+            place = first.setdefault(normal, (key, text, n))
+            if place == (key, text, n):
+                before = None
+                continue
+            # Neighbours that repeat neighbours go with what is between them.
+            together = before is not None and before[0] == place[:2] and before[1] + 1 == place[2]
+            spans.append((spans[-1][1] if together else begin, end))
+            before = place[:2], place[2]
+        removed[key, text] = spans
+    out = []
+    for key, text in docs:
+        spans = removed[key, text]
+        left, at = [], 0
+        for begin, end in spans:
+            left.append((text or "")[at:begin])
+            at = end
+        out.append((key, None if text is None else "".join([*left, text[at:]]), len(spans)))
+    return plain(out)
+
+
+def signed_hash(text):
+    value = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+@pytest.mark.parametrize("kind", ["line", "paragraph"])
+def test_units_equal_brute_force(spark, kind):
+    rng = random.Random(17)
+    pool = [prose(3000 + i, rng.choice([5, 6, 9])) for i in range(25)]
+    pool += ["", " ", "\t x y z und so weiter", "Ünd  SO geht es  immer weiter", "ünd so geht es immer weiter"]
+    docs = []
+    for i in range(150):
+        lines = [rng.choice(pool) if rng.random() < 0.6 else prose(9000 + 40 * i + k, 5) for k in range(rng.randrange(0, 9))]
+        docs.append((rng.choice([i, i, i, i // 3, None]), rng.choice(["\n", "\n", "\n\n", "\n\n\n"]).join(lines)))
+    docs += docs[:7] + [(3, None), (None, "")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = without_repeats(df, Units(kind=kind))
+    assert plain((r.doc_id, r.text, r.n_removed) for r in got.collect()) == brute_repeats(docs, kind)
+
+
 # Secrets
 
 BASE = (
