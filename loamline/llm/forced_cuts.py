@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -75,16 +75,23 @@ class FragmentEncoder:
         text = self.whole.normalizer.normalize_str(piece)
         return [word for word, _ in self.whole.pre_tokenizer.pre_tokenize_str(text)]
 
-    def __call__(self, piece: str) -> list[int]:
+    def word(self, word: str) -> list[int]:
+        """Ids of a word whose characters stand for bytes."""
+        *inner, last = self.cut(word)
+        ids: list[int] = []
+        for part in inner:
+            ids += self.fragment(part, False)
+        return ids + self.fragment(last, True)
+
+    def special(self, piece: str) -> list[int] | None:
+        """Ids of a piece that holds a special string, as the library finds it."""
         if any(s in piece for s in self.specials):
             return self.whole.encode(piece, add_special_tokens=False).ids
-        ids: list[int] = []
-        for word in self.words(piece):
-            *inner, last = self.cut(word)
-            for part in inner:
-                ids += self.fragment(part, False)
-            ids += self.fragment(last, True)
-        return ids
+        return None
+
+    def __call__(self, piece: str) -> list[int]:
+        ids = self.special(piece)
+        return [i for word in self.words(piece) for i in self.word(word)] if ids is None else ids
 
     def decoded(self, ids: list[int]) -> str:
         """The library's decoding without a decoder step: names of the tokens, one space between."""
@@ -96,28 +103,64 @@ def encoder(path: str) -> FragmentEncoder:
     return FragmentEncoder(path)
 
 
+# Number of ids, the ids as text, and the decoded text.
+Entry = tuple[int, bytes, bytes]
+
+
 class PieceTable:
-    """For each distinct piece: its number of ids, the ids as text, and the decoded text."""
+    """For each distinct piece its entry, put together from those of its words.
+
+    Words differ less than pieces, which hold capitals and marks as well, so both are remembered.
+    """
 
     def __init__(self, path: str):
         self.encode = encoder(path)
-        self.known: dict[str, tuple[int, bytes, bytes]] = {}
-
-    def __call__(self, pieces: list[str]) -> list[tuple[int, bytes, bytes]]:
-        known, encode = self.known, self.encode
+        self.known: dict[str, Entry] = {}
+        self.plain: dict[str, Entry] = {}
+        self.named: dict[str, Entry] = {}
+
+    def entry(self, ids: list[int]) -> Entry:
+        return len(ids), " ".join(map(str, ids)).encode(), self.encode.decoded(ids).encode()
+
+    def word(self, word: str, memory: dict[str, Entry], name: Callable[[str], str]) -> Entry:
+        entry = self.entry(self.encode.word(name(word)))
+        if len(word) <= 32 and len(memory) < REMEMBERED // 2:
+            memory[word] = entry
+        return entry
+
+    def piece(self, key: str) -> Entry:
+        ids = self.encode.special(key)
+        if ids is not None:
+            return self.entry(ids)
+        if PLAIN.fullmatch(key):  # there the library's steps come to this
+            memory, name, words = self.plain, byte_names, WORDS.findall(key.lower())
+        else:
+            memory, name, words = self.named, str, self.encode.words(key)
+        parts = [memory.get(w) or self.word(w, memory, name) for w in words]
+        if len(parts) == 1:
+            return parts[0]
+        return sum([p[0] for p in parts]), b" ".join([p[1] for p in parts]), b" ".join([p[2] for p in parts])
+
+    def __call__(self, pieces: list[str]) -> list[Entry]:
+        known = self.known
         out = []
         for piece in pieces:
             key = piece.strip(" \n")
             entry = known.get(key)
             if entry is None:
-                ids = encode(key)
-                entry = (len(ids), " ".join(map(str, ids)).encode(), encode.decoded(ids).encode())
-                if len(key) <= 64 and len(known) < REMEMBERED // 3:
+                entry = self.piece(key)
+                if len(key) <= 64 and len(known) < REMEMBERED // 6:
                     known[key] = entry
             out.append(entry)
         return out
 
 
+@lru_cache(maxsize=1)
+def piece_table(path: str) -> PieceTable:
+    """One table for all tasks of a worker."""
+    return PieceTable(path)
+
+
 def digests(
     raw: np.ndarray, rows: np.ndarray, table: PieceTable, most: int
 ) -> tuple[np.ndarray, list[str], list[str]]:
@@ -163,7 +206,7 @@ def bpe_round_trip(
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(path)
+        table = piece_table(path)
         for part in parts:
             raw, rows = text_bytes(part.column(1))
             tokens, ids, texts = digests(raw, rows, table, batch_bytes)
@@ -187,7 +230,7 @@ def encoded(
     schema = docs.drop(to).schema.add(to, ArrayType(IntegerType()))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(path)
+        table = piece_table(path)
         for part in parts:
             at = part.schema.get_field_index(text_column)
             raw, rows = text_bytes(part.column(at))
