@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from loamline.config import Settings
 from loamline.session import stored
-from loamline.storage import names_in
+from loamline.storage import exists, names_in
 from loamline.versions import commits, folders_of, is_versioned, read_version
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     if is_versioned(spark, path):
         return read_version(spark, path)
+    # Looked up first, because Spark prints a stack trace for a path that is not there.
+    if not exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as err:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loamline import session
 from loamline.__main__ import main
 from loamline.config import Settings
 from loamline.plans import bronze
@@ -172,26 +173,25 @@ def test_scratch_path(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and "/x-" in first
 
-    def session(master, **conf):
+    def other(master, **conf):
         context = SimpleNamespace(master=master, applicationId="app-1")
         return SimpleNamespace(conf=conf, sparkContext=context)
 
-    named = session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    named = other("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
     assert scratch_path(named, "y").startswith("hdfs:///shared/loamline-app-1/y-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session("yarn"), "y")
-
-
-def test_scratch_is_cleared(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        rows = stored(spark.range(5), "some")
-        assert rows.count() == 5 and len(names_in(spark, scratch_root(spark))) == 1
-        clear_scratch(spark)
-        assert names_in(spark, scratch_root(spark)) == [] and (tmp_path / "shared").exists()
-        clear_scratch(spark)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        scratch_path(other("yarn"), "y")
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    assert scratch_root(spark).endswith(f"/loamline-{spark.sparkContext.applicationId}")
+    root = str(tmp_path / "shared" / "app")
+    monkeypatch.setattr(session, "scratch_root", lambda _: root)
+    rows = stored(spark.range(5), "some")
+    assert rows.count() == 5 and len(names_in(spark, root)) == 1
+    clear_scratch(spark)
+    assert names_in(spark, root) == [] and (tmp_path / "shared").exists()
+    clear_scratch(spark)
 
 
 def test_nothing_is_lost_at_ingest(spark, tmp_path):
