@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +26,9 @@ BATCH_BYTES = 4 << 20
 BITMAP = 32768
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+# An odd number, by which the running sum of a text's bytes tells its words apart.
+BASE = 0xD1342543DE82EF95
+SPANS = 1 << 15
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(BREAKS)] = True
 _APART = _BREAK.copy()
@@ -104,8 +107,30 @@ def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, which, times
 
 
+@lru_cache(maxsize=4)
+def powers(base: int, count: int) -> np.ndarray:
+    """Powers of an odd number, modulo 2 ** 64."""
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(count - 1, base, np.uint64)]), dtype=np.uint64)
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, from a running sum over the bytes of some spans at a time."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    for at in range(0, len(starts), SPANS):
+        begin, end = starts[at : at + SPANS] - starts[at], stops[at : at + SPANS] - starts[at]
+        part = raw[starts[at] : stops[min(at + SPANS, len(stops)) - 1]]
+        size = 1 << max(len(part), 1).bit_length()
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, size)[: len(part)], out=sums[1:])
+        own = (sums[end] - sums[begin]) * powers(pow(BASE, -1, 1 << 64), size)[begin]
+        out[at : at + SPANS] = mixed(own + (end - begin).astype(np.uint64) * _ODD)
+    return out
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    stops = np.cumsum([len(w) for w in words], dtype=np.int64)
+    starts = np.concatenate([np.zeros(min(1, len(words)), np.int64), stops[:-1]])
+    return span_hashes(np.frombuffer(b"".join(words), dtype=np.uint8), starts, stops)
 
 
 def joined_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -147,7 +172,7 @@ def counted(
         yield [langs[row[i]] + b"\t" for i in first.tolist()], np.zeros(len(first), np.int8), times
 
     further = bool(reached.any())
-    own = word_hashes(distinct.to_pylist())[codes] if further else None
+    own = span_hashes(raw, starts, stops) if further else None
     before = word_hashes(list(kinds))[of_row[row]] if further else None
     word = numbered(of_row[row] * len(distinct) + codes)[1]
     places = np.arange(len(starts))
@@ -187,7 +212,7 @@ def shards_of(docs: DataFrame, mining: Mining, text_column: str, lang_column: st
         "lang", "text", F.pmod(F.xxhash64("text", "n"), F.lit(mining.shards)).cast("int").alias("shard")
     )
     path = scratch_path(spark, "phrase-shards")
-    placed.write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    placed.write.partitionBy("shard").parquet(path)
     return spark.read.schema(placed.schema).parquet(path)
 
 
@@ -279,7 +304,7 @@ def frequencies(docs: DataFrame, mining: Mining, text_column: str, lang_column:
             .filter(~F.col("done") | (F.col("n") >= mining.least))
         )
         path = scratch_path(spark, "phrase-counts")
-        counts.write.partitionBy("done").option("compression", "zstd").parquet(path)
+        counts.write.partitionBy("done").parquet(path)
         table = spark.read.schema(counts.schema).parquet(path)
         if old:
             discard(spark, f"{old}/done=false")
