@@ -118,11 +118,11 @@ def as_text(signature: Column) -> Column:
 
 
 def own_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """id, text and ``place``, which orders rows: known ids first, then the id itself, then a hash of the text."""
+    """text and ``place``, which orders rows: is the id known, then the id itself, then a hash of the text."""
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     own = docs.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", F.xxhash64("text").alias("hash"))
-    return own.withColumn("place", place)
+    return own.select("text", place.alias("place"))
 
 
 def range_marks(places: DataFrame, ranges: int) -> Column:
@@ -148,17 +148,23 @@ def range_of(marks: Column, place: Column, ranges: int) -> Column:
     def step(at: Column, size: Column) -> Column:
         return F.when(F.get(marks, at + size - 1) <= place, at + size).otherwise(at)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    # Never NULL, so that joins on it filter nothing and all uses of the texts stay alike.
+    return F.coalesce(found, F.lit(0))
 
 
-def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) -> DataFrame:
-    """Rows numbered in descending order of ids inside ranges: range, at, id, text, copies, following.
+def in_ranges(
+    docs: DataFrame, id_column: str, text_column: str, ranges: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows numbered in descending order of ids inside ranges: range, at, place, text, times, following.
 
     Order is by the id, whatever its type, then by a hash of the text, NULL ids last. A range holds about
     as many rows as any other; rows of one id are dealt to several by their texts' hashes. Rows that
     are equal and hold more than a thousandth of all rows are brought down to a few, which say in
     ``times`` for how many they stand: all but the last copy are followed by another one, so the last
     one has a row of its own. ``following`` is the next text inside the range.
+
+    The second table says for each range (``own``) which one comes ``before`` it, for the first the last.
     """
     own = own_texts(docs, id_column, text_column)
     places = stored(own.select("place"), docs.sparkSession, "places")
@@ -166,7 +172,7 @@ def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) ->
     marks = range_marks(places, ranges)
     many = F.broadcast(counts.filter(F.col("copies") * HOT_PART > places.count()))
     one = F.lit(1).cast("bigint")
-    alone = own.join(many, "place", "left_anti").select("place", "id", "text", one.alias("times"))
+    alone = own.join(many, "place", "left_anti").select("place", "text", one.alias("times"))
     before_last = F.col("copies") - 1
     parts = F.sequence(F.lit(0), F.ceil(before_last / COPIES).cast("int") - 1)
     times = F.concat(
@@ -175,41 +181,37 @@ def in_ranges(docs: DataFrame, id_column: str, text_column: str, ranges: int) ->
     whole = (
         own.join(many, "place")
         .groupBy("place", "copies")
-        .agg(F.first("id").alias("id"), F.min("text").alias("text"))
-        .select("place", "id", "text", F.explode(times).alias("times"))
+        .agg(F.min("text").alias("text"))
+        .select("place", "text", F.explode(times).alias("times"))
     )
-    rows = alone.unionByName(whole).withColumn("range", range_of(marks, F.col("place"), ranges))
+    number = range_of(marks, F.col("place"), ranges)
+    rows = alone.unionByName(whole).withColumn("range", number)
     # More partitions than usual: each text becomes many terms there.
     wide = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     window = Window.partitionBy("range").orderBy(F.col("place").desc(), "text", F.col("times").desc())
-    return rows.repartition(wide, "range").withColumns(
+    placed = rows.repartition(wide, "range").withColumns(
         {"at": F.row_number().over(window), "following": F.lead("text").over(window)}
-    ).select("range", "at", "id", "text", "times", "following")
+    )
+    # Only numbers of ranges come together to be put in order.
+    ring = Window.orderBy(F.col("own").desc())
+    all_of_it = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("own").over(ring), F.last("own").over(all_of_it))
+    order = places.select(number.alias("own")).distinct().withColumn("before", before)
+    return placed, stored(order, docs.sparkSession, "ranges")
 
 
-def ring_heads(placed: DataFrame, column: str) -> DataFrame:
+def ring_heads(placed: DataFrame, order: DataFrame, column: str) -> DataFrame:
     """For each range, ``head``: the column of the first row of the next range in descending order.
 
-    The last range is followed by the first. Ranges are put in order by their numbers alone; what a
-    range hands on goes to the task of the range that takes it.
+    The last range is followed by the first. What a range hands on goes to the task of the range that
+    takes it.
     """
-    # Id and times, which decide nothing here, keep the columns of every use of the texts alike, so that
-    # they are shuffled once.
-    firsts = placed.filter(F.col("at") == 1)
-    ring = Window.orderBy(F.col("range").desc(), "id", "times")
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbers = firsts.select(
-        F.col("range").alias("own_range"),
-        F.col("id").alias("own_id"),
-        F.col("times").alias("own_times"),
-        F.coalesce(F.lag("range").over(ring), F.last("range").over(whole)).alias("before"),
-    )
-    same = (
-        (F.col("range") == F.col("own_range"))
-        & F.col("id").eqNullSafe(F.col("own_id"))
-        & (F.col("times") == F.col("own_times"))
+    # ``times`` decides nothing here; it keeps the columns of every use of the texts alike, so that they
+    # are shuffled once.
+    firsts = placed.filter((F.col("at") == 1) & (F.col("times") > 0))
+    return firsts.join(order, F.col("range") == F.col("own")).select(
+        F.col("before").alias("range"), F.col(column).alias("head")
     )
-    return firsts.join(numbers, same).select(F.col("before").alias("range"), F.col(column).alias("head"))
 
 
 def fingerprints(
@@ -231,17 +233,17 @@ def fingerprints(
     """
     if ranges is None:
         ranges = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = in_ranges(docs, id_column, text_column, ranges)
-    linked = placed.join(ring_heads(placed, "text"), "range")
+    placed, order = in_ranges(docs, id_column, text_column, ranges)
+    linked = placed.join(ring_heads(placed, order, "text"), "range")
     half = F.floor(F.length("text") / 2).cast("int")
     start = F.substring(F.coalesce("following", "head"), F.lit(1), half)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), start)
     rows = linked.withColumn("edited", edited)
     sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(("text", "edited"))])
-    words = rows.select("range", "at", "id", F.explode(sides).alias("part")).select(
-        "range", "at", "id", "part.side", F.explode(F.split("part.text", SPACES)).alias("word")
+    words = rows.select("range", "at", F.explode(sides).alias("part")).select(
+        "range", "at", "part.side", F.explode(F.split("part.text", SPACES)).alias("word")
     )
-    key = ["range", "at", "id", "side"]
+    key = ["range", "at", "side"]
     weighted = (
         words.filter(F.col("word") != "")
         .groupBy(*key, F.xxhash64("word").alias("term"))
@@ -257,27 +259,27 @@ def fingerprints(
     facts = rows.select(
         "range",
         "at",
-        "id",
+        F.col("place.id").alias("id"),
         "times",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
     )
     described = stored(
-        facts.join(pairs, ["range", "at"], "left"), docs.sparkSession, "fingerprints"
+        facts.join(pairs, ["range", "at"], "left").withColumnRenamed("own", "own_print"), docs.sparkSession, "fingerprints"
     )
     # The next document's fingerprint is its own row's; across ranges it is handed on as the text was.
     beside = described.withColumn(
-        "inside", F.lead(F.struct("own")).over(Window.partitionBy("range").orderBy("at"))
+        "inside", F.lead(F.struct("own_print")).over(Window.partitionBy("range").orderBy("at"))
     )
-    heads = ring_heads(described, "own")
-    following = F.when(F.col("inside").isNotNull(), F.col("inside.own")).otherwise(F.col("head"))
+    heads = ring_heads(described, order, "own_print")
+    following = F.when(F.col("inside").isNotNull(), F.col("inside.own_print")).otherwise(F.col("head"))
     each = beside.join(heads, "range").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")))
     return each.select(
         F.col("id").alias(id_column),
         "n_chars",
         "edited_sha256",
-        as_text(F.col("own")).alias("fingerprint"),
+        as_text(F.col("own_print")).alias("fingerprint"),
         as_text(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), following).alias("near_next"),
+        likeness(F.col("own_print"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own_print"), following).alias("near_next"),
     )
