@@ -36,9 +36,13 @@ METHOD_KIND = "markov"
 # The characters that the models know run from + to z.
 FIRST, CODES = ord("+"), ord("z") - ord("+") + 1
 RUN = "A-Za-z0-9+/_=-"
-# The least length of the fixed patterns; whether a run is random is for the models to say.
-LEAST_RUN = 12
-CANDIDATE = rf"[{RUN}]{{{LEAST_RUN},}}"
+# Runs from the least length of the fixed patterns on are judged. Most short runs are plain words, so
+# a run of fewer than LONG_RUN characters is judged only if it holds a digit, a capital after its first
+# character, or one of + / =, which random base 64, hexadecimal or capitals lack once in ten thousand.
+LEAST_RUN, LONG_RUN = 12, 20
+CANDIDATE = (
+    rf"(?<![{RUN}])(?:(?=[{RUN}]?[a-z_-]*[A-Z0-9+/=])[{RUN}]{{{LEAST_RUN},}}|[{RUN}]{{{LONG_RUN},}})"
+)
 IDENTIFIER = r"(?<![\p{L}\p{N}_-])[A-Za-z][A-Za-z0-9_-]{5,}(?![\p{L}\p{N}_-])"
 TRAINING_ROWS = 4_000
 WORDS_PER_TEXT = 50
@@ -240,8 +244,8 @@ def with_spans(docs: DataFrame, models: MarkovPair, text_column: str = "text") -
     """``docs`` with the arrays ``base_spans`` and ``all_spans`` (start, rank of kind, end, text).
 
     Positions are code points, the end exclusive, in order of start and kind. NULL and empty texts
-    have none. The models judge runs of 12 or more key characters; of a run that base spans touch they
-    judge each piece outside of them, whatever its length.
+    have none. The models judge runs of 12 or more key characters (of fewer than 20 only if they are no
+    plain words); of a run that base spans touch they judge each piece outside of them, whatever its length.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     base = F.array_sort(
