@@ -6,7 +6,7 @@ Everything is a column expression; no Python runs on the executors.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -49,23 +49,36 @@ WORDS_PER_TEXT = 50
 BLOCK = 256
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there.
+
+    Spark works out an expression anew wherever a function over arrays names it, for each element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def running_starts(sizes: Column) -> Column:
     """Exclusive running sums of an array of numbers, in blocks so that long arrays stay cheap."""
-    blocks = F.sequence(F.lit(0), F.ceil(F.size(sizes) / BLOCK).cast("int") - 1)
 
     def total(array: Column) -> Column:
         return F.aggregate(array, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
-    def within(block: Column, base: Column) -> Column:
-        part = F.slice(sizes, block * BLOCK + 1, BLOCK)
+    def within(part: Column, base: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(part) - 1)
         return F.transform(at, lambda j: base + total(F.slice(part, 1, j)))
 
-    sums = F.transform(blocks, lambda b: total(F.slice(sizes, b * BLOCK + 1, BLOCK)))
-    with_sums = F.transform(F.array(sums), lambda s: F.transform(blocks, lambda b: within(b, total(F.slice(s, 1, b)))))
-    return F.when(F.size(sizes) > 0, F.flatten(F.flatten(with_sums))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    def starts(own: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.ceil(F.size(own) / BLOCK).cast("int") - 1)
+        parts = F.transform(blocks, lambda b: F.slice(own, b * BLOCK + 1, BLOCK))
+        return bound(
+            F.struct(parts.alias("parts"), F.transform(parts, total).alias("sums")),
+            lambda p: F.flatten(
+                F.transform(p["parts"], lambda part, b: within(part, total(F.slice(p["sums"], F.lit(1), b))))
+            ),
+        )
+
+    none = F.array().cast("array<bigint>")
+    return bound(sizes, lambda own: F.when(F.size(own) > 0, starts(own)).otherwise(none))
 
 
 def matches(
@@ -84,31 +97,38 @@ def matches(
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), lambda s: F.length(s).cast("bigint"))
-    steps = F.zip_with(
-        F.slice(between, 1, F.size(whole)), whole, lambda gap, m: gap + F.length(m).cast("bigint")
-    )
-    counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    rows = F.arrays_zip(
-        running_starts(steps).alias("before"),
-        between.alias("gap"),
-        whole.alias("text"),
-        counted.alias("counted"),
-    )
-    kept = F.filter(rows, lambda r: F.length(r["counted"]) >= least)
-    spans = F.transform(
-        kept,
-        lambda r: F.struct(
-            (r["before"] + r["gap"]).alias("start"),
-            F.lit(rank).alias("rank"),
-            (r["before"] + r["gap"] + F.length(r["text"])).alias("end"),
-            r["text"].alias("text"),
-        ),
-    )
+    found = [whole.alias("whole"), between.alias("between")]
+    if group:
+        found.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("counted"))
+
+    def spans(cut: Column) -> Column:
+        steps = F.zip_with(
+            F.slice(cut["between"], F.lit(1), F.size(cut["whole"])),
+            cut["whole"],
+            lambda gap, m: gap + F.length(m).cast("bigint"),
+        )
+        rows = F.arrays_zip(
+            running_starts(steps).alias("before"),
+            cut["between"].alias("gap"),
+            cut["whole"].alias("text"),
+            cut["counted" if group else "whole"].alias("counted"),
+        )
+        kept = F.filter(rows, lambda r: F.length(r["counted"]) >= least)
+        return F.transform(
+            kept,
+            lambda r: F.struct(
+                (r["before"] + r["gap"]).alias("start"),
+                F.lit(rank).alias("rank"),
+                (r["before"] + r["gap"] + F.length(r["text"])).alias("end"),
+                r["text"].alias("text"),
+            ),
+        )
+
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,text:string>>")
     possible = F.rlike(text, F.lit(pattern))
     if needed:
         possible = reduce(or_, [small.contains(word) for word in needed]) & possible
-    return F.when(possible, spans).otherwise(none)
+    return F.when(possible, bound(F.struct(*found), spans)).otherwise(none)
 
 
 def codes_of(text: Column) -> Column:

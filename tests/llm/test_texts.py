@@ -332,6 +332,19 @@ def test_base_spans_equal_brute_force(spark, models):
     assert secrets.secret_scan(none(spark), models).count() == 0
 
 
+def test_a_text_is_cut_at_matches_once(spark, models):
+    """However many matches a text holds, each pattern goes over it as often as with a single one."""
+    plan = spark.range(1).select(
+        F.lit("a").alias("text"), secrets.matches(F.lit("a"), *secrets.KINDS[2][1:], 2).alias("spans")
+    )
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert text.count("regexp_extract_all(") == 1 and text.count("split(") == 1
+    for n in (1, 255, 256, 257, 2_000):
+        long = " é ".join(f"{i:016x}" for i in range(n))
+        docs = spark.createDataFrame([(1, long)], "doc_id bigint, text string")
+        assert secrets.secret_scan(docs, models).first().spans == base_spans(long)
+
+
 def test_short_random_strings_are_found_and_ratios_are_right(spark, models):
     """Rates by length on strings the models have not seen, and every ratio recomputed."""
     import base64
