@@ -51,16 +51,18 @@ def constant_array(values: list[float]) -> Column:
     return F.split(F.lit(",".join(format(v, ".6g") for v in values)), ",").cast("array<double>")
 
 
-def samples(term: Column, weight: Column, count: int, seed: int) -> list[Column]:
+def samples(
+    term: Column, weight: Column, r_values: Column, log_c_values: Column, count: int, seed: int
+) -> list[Column]:
     """For each of ``count`` samples the term's key; the least key of a text is its sample.
 
     With r and c from Gamma(2, 1), b from (0, 1) and t = floor(ln(weight) / r + b), the key is
     ln(c) - r * (t - b + 1). A key depends on term, t and number of the sample alone, so two texts
     share a sample exactly when term and t agree, which happens with the probability of their
     generalised Jaccard similarity. All draws come from one hash of the term: eight bits for r, sixteen
-    for c, the others for b, which also makes the keys of different terms differ.
+    for c, the others for b, which also makes the keys of different terms differ. ``r_values`` and
+    ``log_c_values`` hold the tables to draw from (:func:`gamma_tables`).
     """
-    r_values, log_c_values = map(constant_array, gamma_tables())
     log_weight = F.log(weight.cast("double"))
 
     def bits(hash_: Column, at: int, size: int) -> Column:
@@ -86,9 +88,13 @@ def signatures(
     Each stands for a least key, by 31 bits of its hash. The minima combine on the map side, and no
     text's terms need to be in one place.
     """
-    drawn = samples(F.col(term), F.col(weight), count, seed)
+    # As columns that depend on the weight the tables stand in the plan once. As constants they would
+    # stand there several times for each sample, and the driver keeps and logs plans as texts.
+    known = F.col(weight) > 0
+    tables = [F.when(known, constant_array(t)).alias(f"__t{i}") for i, t in enumerate(gamma_tables())]
+    drawn = samples(F.col(term), F.col(weight), F.col("__t0"), F.col("__t1"), count, seed)
     least = [F.min(s).alias(f"__s{k}") for k, s in enumerate(drawn)]
-    return terms.groupBy(*keys).agg(*least).select(
+    return terms.select(*keys, term, weight, *tables).groupBy(*keys).agg(*least).select(
         *keys,
         F.array(
             *[

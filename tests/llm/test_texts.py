@@ -528,6 +528,16 @@ def test_edited_texts_and_likeness(spark):
     assert rows[201].near_next == rows[201].near_edited == 1.0 and rows[200].fingerprint == ""
 
 
+def test_tables_to_draw_from_stand_in_the_plan_once(spark):
+    """Plans are kept and logged as texts by the driver, so their size counts."""
+    terms = spark.range(10).select("id", F.col("id").alias("term"), (F.col("id") + 1).alias("weight"))
+    signed = prints.signatures(terms, ["id"], "term", "weight")
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    for table in prints.gamma_tables():
+        assert plan.count(format(table[0], ".6g")) == 1
+    assert len(plan) < 100_000 and all(len(r.signature) == prints.SAMPLES for r in signed.collect())
+
+
 def test_odd_rows_have_fingerprints(spark):
     got = prints.fingerprints(odd(spark), ranges=5).collect()
     assert len(got) == len(ODD)
