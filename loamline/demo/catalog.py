@@ -55,6 +55,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 MIDDLE = datetime(2024, 1, 16)
 SECOND_FROM = datetime(2024, 1, 15, 12)
 PAGE_ROWS = 100
+# Stretches of so many pages come in files that hold one page each.
+FILE_PAGES = 50
 
 SOIL = (
     "ID",
@@ -634,21 +636,22 @@ def json_pages_mixed(t: Tables) -> DataFrame:
     """Pages on single lines and pages over whole files, some cut off, some records without an id."""
     pipeline, landing = _pipeline(t), scratch_path(t.spark, "landing")
     rows = _faulty(t)
+    odd = F.coalesce(F.col("page") % 2 == 1, F.lit(False))
+    lines, wholes = rows.filter(~odd), rows.filter(odd)
+    land_pages(t, lines.drop("page"), landing, F.col("page"), lines)
     columns = [c for c in rows.columns if c != "page"]
-    page = rows.groupBy("page").agg(F.collect_list(F.struct(*columns)).alias("results"))
-    odd = F.col("page") % 2 == 1
-    text = F.when(odd, F.to_json(F.struct("results"), {"pretty": "true"})).otherwise(
-        F.to_json(F.struct("results"))
-    )
-    cut = F.when(F.col("page") % 10 == 9, F.expr("substring(value, 1, length(value) - 5)"))
-    folder = F.when(odd, F.col("page").cast("string")).otherwise(
-        F.concat(F.lit("lines"), F.floor(F.col("page") / 20))
-    )
+    # A file's page holds more records than a line's, as each file costs time of its own; one row goes
+    # to a file, without a folder for each.
+    page = wholes.groupBy(
+        F.floor(F.col("page") / FILE_PAGES).alias("file"), (F.col("page") % 10 == 9).alias("cut")
+    ).agg(F.collect_list(F.struct(*columns)).alias("results"))
+    text = F.to_json(F.struct("results"), {"pretty": "true"}).alias("value")
+    cut = F.when(F.col("cut"), F.expr("substring(value, 1, length(value) - 5)"))
     (
-        page.select(folder.alias("folder"), "page", text.alias("value"))
-        .select("folder", F.coalesce(cut, F.col("value")).alias("value"))
-        .repartition("folder")
-        .write.partitionBy("folder")
+        page.select("cut", text)
+        .select(F.coalesce(cut, F.col("value")).alias("value"))
+        .write.mode("append")
+        .option("maxRecordsPerFile", 1)
         .text(landing)
     )
     pipeline.ingest_soil_pages(landing)

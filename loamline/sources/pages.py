@@ -11,6 +11,10 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from loamline.schemas import SOIL_RECORD
 
 
+# What a text that holds an object, or a list of them, begins with.
+BEGINS = r"^[\s\uFEFF]*[{\[]"
+
+
 def page_schema(record: StructType) -> StructType:
     return StructType([StructField("results", ArrayType(record))]).add("total_count", "long")
 
@@ -51,11 +55,14 @@ def landed_pages(
     def parsed(text: str) -> Column:
         return F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
 
+    # Most lines of a page over many lines are none by themselves, which is told far faster by how they
+    # begin than by parsing them.
+    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     page = F.col("page")
     numbered = (
         lines.filter(F.trim("value") != "")
         .withColumn("line", F.monotonically_increasing_id())
-        .withColumn("page", parsed("value"))
+        .withColumn("page", F.when(F.col("value").rlike(BEGINS), parsed("value")).otherwise(nothing))
         .withColumn("value", F.when(~readable(page), F.col("value")))
     )
     if keep:

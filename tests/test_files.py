@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -11,10 +12,11 @@ from pyspark.sql.types import StructType
 from loamline import session
 from loamline.__main__ import main
 from loamline.config import Settings
+from loamline.demo import catalog
 from loamline.plans import bronze
 from loamline.plans.pipeline import Lake, Pipeline
 from loamline.operators.quality import QualityError
-from loamline.schemas import RAW_SOIL, require_columns
+from loamline.schemas import RAW_SOIL, SOIL_RECORD, require_columns
 from loamline.session import clear_scratch, scratch_path, scratch_root, stored
 from loamline.storage import names_in
 from loamline.operators.keyed import absent_rows
@@ -29,6 +31,7 @@ from loamline.sinks import (
     replace_partitions,
     write_table,
 )
+from loamline.sources import pages
 from loamline.sources import (
     page_after,
     read_if_exists,
@@ -39,7 +42,7 @@ from loamline.sources import (
     weather_from_text,
     weather_text,
 )
-from tests.conftest import plan_of, same_rows
+from tests.conftest import SF, plan_of, same_rows
 
 
 def test_sites_csv(spark, tmp_path):
@@ -139,6 +142,37 @@ def test_pages(spark, tmp_path):
     assert read_pages(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")]).count() == 4
 
 
+def test_lines_of_a_page_are_told_by_how_they_begin(spark, tmp_path):
+    """A line that cannot hold a page is not parsed; every other one is read as the parser reads it."""
+    whole = json.dumps({"results": [{"id": "7"}], "total_count": 1})
+    lines = [whole, f" \t{whole}", f"[{whole}]", "{", "[", "}", '"results": [', "null", "7", "{}", f"x{whole}", "\u00a0" + whole]
+    (tmp_path / "lines.json").write_text("\n".join(lines), encoding="utf-8")
+    (tmp_path / "whole.json").write_text(json.dumps(json.loads(whole), indent=2), encoding="utf-8")
+    read = pages.landed_pages(pages.page_lines(spark, str(tmp_path)))
+    assert "CASE WHEN RLIKE(value" in plan_of(read)
+    plain = F.from_json(F.col("text"), pages.page_schema(SOIL_RECORD))
+    parsed = spark.createDataFrame([(x,) for x in lines], "text string").select(plain.alias("page")).collect()
+    want = [r.page.total_count if r.page else None for r in parsed]
+    by_line = [r.page.total_count for r in read.collect() if r.file.endswith("lines.json")]
+    assert sorted(by_line, key=str) == sorted(want, key=str) and by_line.count(1) >= 2
+    (one,) = [r for r in read.collect() if r.file.endswith("whole.json")]
+    assert [x.id for x in one.page.results] == ["7"] and one.page.total_count == 1
+
+
+def test_mixed_pages_land_in_few_files(tables, monkeypatch):
+    """The number of files grows far slower than that of pages, and no file has a folder of its own."""
+    landed = []
+    ingest = Pipeline.ingest_soil_pages
+    monkeypatch.setattr(Pipeline, "ingest_soil_pages", lambda self, path: (landed.append(path), ingest(self, path))[1])
+    assert catalog.queries()["json_pages_mixed"](tables.spark, SF).count() > 0
+    found = [f for f in Path(landed[0]).rglob("*") if not f.name.startswith((".", "_"))]
+    assert all(f.is_file() for f in found)
+    # For each stretch of 5,000 readings one whole page and one that is cut off.
+    stretches = -(-tables.read("events").count() // 5_000)
+    pretty = [f.read_text() for f in found if f.read_text().startswith("{\n")]
+    assert len(pretty) == 2 * stretches and sum(t.rstrip().endswith("}") for t in pretty) == stretches
+
+
 def test_site_pages(spark, tables, tmp_path):
     site = {"site_id": 3, "site_name": "S", "property_name": "P", "latitude": -37.8, "longitude": None}
     pages = [{"results": [site, {**site, "latitude": 1}]}, {"results": [{**site, "site_id": None}]}]
