@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
+from loamline.llm.pieces import by_bytes, byte_batches, distinct_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map
-from loamline.llm.token_counts import BATCH_BYTES, PLAIN, REMEMBERED, byte_names, tokenizer
+from loamline.llm.token_counts import PLAIN, REMEMBERED, byte_names, tokenizer
+
+# Texts are worked off in slices of about so many bytes: cutting takes several times their size.
+BATCH_BYTES = 2 << 20
 
 # Fixed value: the word vocabulary's split pattern.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -207,7 +210,7 @@ def bpe_round_trip(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(path)
-        for part in parts:
+        for part in (cut for whole in parts for cut in by_bytes(whole, 1, batch_bytes)):
             raw, rows = text_bytes(part.column(1))
             tokens, ids, texts = digests(raw, rows, table, batch_bytes)
             yield pa.RecordBatch.from_arrays(
@@ -230,9 +233,8 @@ def encoded(
     schema = docs.drop(to).schema.add(to, ArrayType(IntegerType()))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = piece_table(path)
-        for part in parts:
-            at = part.schema.get_field_index(text_column)
+        table, at = piece_table(path), schema.names.index(text_column)
+        for part in (cut for whole in parts for cut in by_bytes(whole, at, BATCH_BYTES)):
             raw, rows = text_bytes(part.column(at))
             ids = _row_ids(raw, rows, table)
             yield pa.RecordBatch.from_arrays(

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.pieces import byte_batches, distinct_pieces, piece_bounds, text_bytes
+from loamline.llm.pieces import by_bytes, byte_batches, distinct_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map
 
 BATCH_BYTES = 8 << 20
@@ -116,7 +116,7 @@ def token_counts(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = PieceLengths(path)
-        for part in parts:
+        for part in (cut for whole in parts for cut in by_bytes(whole, 1, batch_bytes)):
             raw, rows = text_bytes(part.column(1))
             tokens = counted(raw, rows, lengths, batch_bytes)
             columns = [part.column(0), pa.array(np.diff(rows)), pa.array(tokens)]

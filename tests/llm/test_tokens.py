@@ -1,13 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 from io import BytesIO
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from loamline.llm import id_files
+from loamline.llm import forced_cuts, id_files, token_counts as counting
 from loamline.llm.forced_cuts import FragmentEncoder, bpe_round_trip, encoded
 from loamline.llm.pieces import byte_batches, piece_bounds
 from loamline.llm.token_counts import byte_names, token_counts, tokenizer
@@ -61,6 +63,28 @@ def test_round_trip_equals_the_library(spark):
     assert bpe_round_trip(none(spark), WORD).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("module", "operator", "path"),
+    [(forced_cuts, bpe_round_trip, WORD), (forced_cuts, encoded, WORD), (counting, token_counts, BYTE)],
+)
+def test_a_large_batch_is_worked_off_in_slices(spark, monkeypatch, module, operator, path):
+    taken = []
+    monkeypatch.setattr(module, "arrow_map", lambda df, batches, schema: taken.append(batches))
+    monkeypatch.setattr(module, "BATCH_BYTES", 1 << 16)
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    operator(docs, path, **{} if operator is encoded else {"batch_bytes": 1 << 16})
+    texts = pa.array([f"ab cd e{i} " * 100 for i in range(5000)])
+    part = pa.RecordBatch.from_arrays([pa.array(range(5000), pa.int64()), texts], names=["doc_id", "text"])
+    assert part.nbytes > 4 << 20
+    (work,) = taken
+    assert next(work(iter([part.slice(0, 1)]))).num_rows == 1  # loads the models
+    tracemalloc.start()
+    rows = sum(found.num_rows for found in work(iter([part])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 5000 and peak < 12 << 20
+
+
 def test_ids_as_a_column_keep_other_columns(spark):
     got = encoded(odd(spark), WORD)
     assert got.columns == [*odd(spark).columns, "token_ids"]
