@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import struct
 import uuid
 import zlib
@@ -21,142 +22,127 @@ from loamline.llm.shared import arrow_map, stored
 from loamline.llm.token_counts import BATCH_BYTES, BYTE_LEVEL_WORDS, PLAIN, REMEMBERED, byte_names, tokenizer
 from loamline.session import scratch_path
 
-BLOCK_IDS = 8192
-# Blocks that are coded side by side, one array element each.
-ABREAST = 320
+BLOCK_IDS = 2048
+# Blocks that are coded side by side as a group, one array element each.
+ABREAST = 4096
 DOCS_PER_FILE = 4_000
 BYTES_PER_FILE = 16 << 20
 
-MAGIC = b"LLID0001"
+# Pieces that can be encoded many at a time, and how many.
+JOINED = re.compile("[ \t\n\r][ \t\n\r!-~]*[!-~]")
+JOINED_PIECES = 2000
+
+MAGIC = b"LLID0002"
 HEAD, FRAME, TAIL = struct.Struct("<II"), struct.Struct("<III"), struct.Struct("<QQI")
 TOTAL_BITS = 24
 TOTAL = 1 << TOTAL_BITS
 # Order 0 keeps at least this part of the range, so that every id can be coded at any time.
 RESERVED = 1 << 22
-HASH_BITS = 12
-STEP = 24
-LEAP = 256
+ORDER_0_BITS = 18
+HASH_BITS = 16
+ID_BITS = 32
+ID_MASK = (1 << ID_BITS) - 1
+MOST_TRIES = 1 << 20
 _WORD = np.uint64(32)
 _LOW = np.uint64((1 << 32) - 1)
 _BOTTOM = np.uint64(1 << 32)
 
 
 class Mixer:
-    """The model that coder and decoder keep alike, for many blocks side by side.
-
-    Order 0 is a table of counts, summed up anew at set places. Orders 1 and 2 remember the last id
-    that followed one or two ids (by hashed context) and how often in a row they were right. The
-    three predictions are mixed: each context's id gets a share of the range by how often contexts
-    of that standing have been right in this block so far, the rest goes by order 0. The only
-    fractions are quotients of whole numbers below 2**45, rounded down, which are exact in double
-    precision, so every machine codes alike. A new object knows nothing: blocks are independent.
-
-    All tables are flat, with one part per block; arrays of shape (2, blocks) hold orders 1 and 2.
+    """The model that coder and decoder keep alike, for a group of blocks side by side.
+
+    Order 0 is a table of counts, summed up anew at set places. Orders 1 and 2 remember the id that
+    followed one or two ids (order 2 by hashed context) and how often in a row it was right, its
+    standing. The three predictions are mixed: the two guesses get shares of the range by how often
+    guesses of that pair of standings have been right in this group so far, the rest goes by order 0.
+    All numbers are whole, and the only fractions are quotients below 2**42, rounded down, which are
+    exact in double precision, so every machine codes alike. All blocks of a group teach one model,
+    step by step; where several teach the same slot, the guess of best standing stays, then the
+    largest id. A new object knows nothing: groups are independent.
     """
 
     def __init__(self, blocks: int, alphabet: int, length: int):
-        rows = np.arange(blocks)
-        self.alphabet, self.shape = alphabet, (blocks, alphabet)
-        self.counts = np.ones(blocks * alphabet, dtype=np.uint32)
-        self.below = np.zeros(blocks * (alphabet + 1), dtype=np.uint32)
-        self.counts_at, self.below_at = rows * alphabet, rows * (alphabet + 1)
+        self.alphabet = alphabet
+        self.bits = max(ORDER_0_BITS, alphabet.bit_length() + 2)
+        self.counts = np.zeros(alphabet, dtype=np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.places = {1 << k for k in range(2, 40)} | set(range(256, length + 1, 256))
         self.refresh()
-        orders = np.array([[0], [blocks]]) + rows
-        # A slot holds the id that came last, plus one, and in its two lowest bits its standing.
-        self.slots = np.zeros(2 * blocks << HASH_BITS, dtype=np.uint32)
-        self.slots_at = orders << HASH_BITS
-        self.odds = np.full(2 * blocks * 4, 1 << 14, dtype=np.int64)
-        self.odds_at = orders * 4
+        # A slot holds its standing (0 for none) and the id plus one.
+        self.ones = np.zeros(alphabet, dtype=np.int64)
+        self.twos = np.zeros(1 << HASH_BITS, dtype=np.int64)
+        self.tries = np.ones((3, 16), dtype=np.int64)  # order 2 was right, order 1 was, none was
         self.last = np.zeros((2, blocks), dtype=np.int64)
-        self.places = {1 << k for k in range(6, 40)} | set(range(4096, length + 1, 4096))
         self.seen = 0
 
     def refresh(self) -> None:
-        below = self.below.reshape(self.shape[0], -1)
-        np.cumsum(self.counts.reshape(self.shape), axis=1, out=below[:, 1:])
-        leaps = below[:, : self.alphabet : LEAP]
-        self.n_leaps = leaps.shape[1]
-        self.leaps, self.leaps_at = leaps.ravel(), np.arange(self.shape[0]) * self.n_leaps
-        self.sum = below[:, -1].astype(np.float64)
+        whole, total = 1 << self.bits, int(self.counts.sum())
+        spread = self.counts * (whole - self.alphabet) // max(total, 1)
+        self.below = np.zeros(self.alphabet + 1, dtype=np.int64)
+        np.cumsum(spread + (1 if total else whole // self.alphabet), out=self.below[1:])
+        self.below[-1] = whole
+        self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(self.below))
 
     def predict(self) -> None:
         """Set slots, guesses (-1 where there is none) and shares for the next id."""
-        one, two = self.last
-        hashed = np.stack([one * 40503 >> 5, (one * 2654435761 + two * 2654481408) >> 15])
-        self.slot = self.slots_at + (hashed & ((1 << HASH_BITS) - 1))
-        value = self.slots[self.slot].astype(np.int64)
-        self.guess, self.standing = (value >> 2) - 1, value & 3
-        self.known = value > 0
-        self.odd = self.odds_at + self.standing
-        self.chance = self.odds[self.odd]
-        wanted = self.chance * self.known
-        second = ((TOTAL - RESERVED) * wanted[1]) >> 16
-        first = ((TOTAL - RESERVED - second) * wanted[0]) >> 16
-        self.shares = np.stack([first, second])
-        self.rest = (TOTAL - first - second).astype(np.float64)
+        self.one, two = self.last
+        self.two = (self.one * 2654435761 + two * 2654481408 >> 15) & ((1 << HASH_BITS) - 1)
+        values = self.ones.take(self.one), self.twos.take(self.two)
+        self.guess = [(v & ID_MASK) - 1 for v in values]
+        self.standing = [v >> ID_BITS for v in values]
+        self.kind = (self.standing[1] << 2) | self.standing[0]
+        right, less, wrong = self.tries
+        shares = (TOTAL - RESERVED) * self.tries[:2] // (right + less + wrong)
+        self.second = shares[0].take(self.kind)
+        self.both = shares.sum(axis=0).take(self.kind)
+        self.rest = TOTAL - self.both
 
     def part(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the parts of ids begin within the range, and their sizes."""
-        at = self.below_at + ids
-        low = np.floor(self.below[at] * self.rest / self.sum).astype(np.int64)
-        high = np.floor(self.below[at + 1] * self.rest / self.sum).astype(np.int64)
-        (g, h), (s, t) = self.guess, self.shares
-        return low + s * (g < ids) + t * (h < ids), high - low + s * (g == ids) + t * (h == ids)
+        self.right = self.guess[1] == ids
+        self.less = (self.guess[0] == ids) & ~self.right
+        start = self.below.take(ids) * self.rest >> self.bits
+        size = (self.below.take(ids + 1) * self.rest >> self.bits) - start
+        start = np.where(self.right, 0, np.where(self.less, self.second, start + self.both))
+        size = np.where(self.right, self.second, np.where(self.less, self.both - self.second, size))
+        return start, size
 
     def find(self, at: np.ndarray) -> np.ndarray:
-        """The ids whose parts hold the given places.
-
-        Where a place lies against the parts of the two guesses tells what to take off it; what is
-        left belongs to order 0, whose counts are then searched by halving.
-        """
-        own = np.maximum(self.guess, 0)
-        start, size = self.part(own)
-        inside = self.known & (at >= start) & (at < start + size)
-        passed = self.known & (at >= start + size)
-        # Both orders may guess one id, whose part then has both shares.
-        left = at - self.shares[0] * passed[0] - self.shares[1] * passed[1]
-        count = np.floor(((left + 1) * self.sum - 1) / self.rest)
-        # First among every 256th id, whose few counts stay in the processor's cache.
-        leap = _halving(self.leaps, self.leaps_at, self.n_leaps, count)
-        low = LEAP * leap + _halving(self.below, self.below_at + LEAP * leap, LEAP, count, self.alphabet - LEAP * leap)
-        return np.where(inside[0], own[0], np.where(inside[1], own[1], low))
+        """The ids whose parts hold the given places."""
+        left = np.maximum(at - self.both, 0)
+        place = (((left + 1 << self.bits) - 1) / self.rest).astype(np.int64)
+        ids = self.owner.take(place, mode="clip").astype(np.int64)
+        ids = np.where(at < self.both, np.where(at < self.second, self.guess[1], self.guess[0]), ids)
+        return np.maximum(ids, 0)  # only damaged data has a place where there is no guess
 
     def learn(self, ids: np.ndarray) -> None:
-        self.counts[self.counts_at + ids] += STEP
-        right = self.guess == ids
-        self.odds[self.odd] += self.known * (((right << 16) - self.chance) >> 5)
-        standing = np.minimum(self.standing + 1, 3) * right
-        self.slots[self.slot] = (ids + 1 << 2) | standing
-        self.last = np.stack([ids, self.last[0]])
+        """Take in the ids last given to :meth:`part`."""
+        outcome = np.where(self.right, 0, np.where(self.less, 16, 32)) + self.kind
+        self.tries += np.bincount(outcome, minlength=48).reshape(3, 16)
+        if self.tries.max() > MOST_TRIES:
+            self.tries = self.tries + 1 >> 1
+        for table, slot, guess, standing in zip(
+            (self.ones, self.twos), (self.one, self.two), self.guess, self.standing
+        ):
+            value = (np.where(guess == ids, np.minimum(standing + 1, 3), 1) << ID_BITS) | (ids + 1)
+            table[slot] = 0
+            np.maximum.at(table, slot, value)
+        self.last = np.stack([ids, self.one])
+        self.waiting.append(ids)
         self.seen += 1
         if self.seen in self.places:
+            self.counts += np.bincount(np.concatenate(self.waiting), minlength=self.alphabet)
+            self.waiting = []
             self.refresh()
 
 
-def _halving(
-    table: np.ndarray,
-    at: np.ndarray,
-    size: int,
-    wanted: np.ndarray,
-    most: np.ndarray | int | None = None,
-) -> np.ndarray:
-    """In each rising part of the table the last of ``size`` entries that is not above ``wanted``."""
-    most = size - 1 if most is None else np.minimum(most, size) - 1
-    low, step = np.zeros(len(at), dtype=np.int64), 1 << (size - 1).bit_length()
-    while step > 1:
-        step >>= 1
-        probe = np.minimum(low + step, most)
-        low = np.where(table[at + probe] <= wanted, probe, low)
-    return low
-
-
 def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
-    """Range-code the rows of ``ids`` (blocks of equal length), each by itself."""
+    """Range-code the rows of ``ids`` (blocks of equal length), which learn from each other."""
     blocks, length = ids.shape
     mixer = Mixer(blocks, alphabet, length)
     low = np.zeros(blocks, dtype=np.uint64)
     span = np.full(blocks, np.iinfo(np.uint64).max, dtype=np.uint64)
-    out = np.zeros((blocks, length + 4), dtype=np.uint32)
+    out = np.zeros((length + 4, blocks), dtype=np.uint32)
     used = np.zeros(blocks, dtype=np.int64)
     for column in np.ascontiguousarray(ids.T, dtype=np.int64):
         mixer.predict()
@@ -167,15 +153,15 @@ def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
         shift, span = _due(low, span)
         if shift.any():
             rows = np.flatnonzero(shift)
-            out[rows, used[rows]] = (low[rows] >> _WORD).astype(np.uint32)
+            out[used[rows], rows] = (low[rows] >> _WORD).astype(np.uint32)
             used[rows] += 1
             low[rows] <<= _WORD
             span[rows] <<= _WORD
         mixer.learn(column)
     for word in (low >> _WORD, low & _LOW):
-        out[np.arange(blocks), used] = word.astype(np.uint32)
+        out[used, np.arange(blocks)] = word.astype(np.uint32)
         used += 1
-    return [row[:n].astype("<u4").tobytes() for row, n in zip(out, used)]
+    return [row[:n].astype("<u4").tobytes() for row, n in zip(out.T, used)]
 
 
 def _due(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,12 +176,12 @@ def _due(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
     blocks = len(coded)
     mixer = Mixer(blocks, alphabet, length)
-    words = np.zeros((blocks, max(map(len, coded)) // 4 + 4), dtype=np.uint64)
-    for row, data in zip(words, coded):
+    words = np.zeros((max(map(len, coded)) // 4 + 4, blocks), dtype=np.uint32)
+    for row, data in zip(words.T, coded):
         row[: len(data) // 4] = np.frombuffer(data, dtype="<u4")
     low = np.zeros(blocks, dtype=np.uint64)
     span = np.full(blocks, np.iinfo(np.uint64).max, dtype=np.uint64)
-    code = (words[:, 0] << _WORD) | words[:, 1]
+    code = (words[0].astype(np.uint64) << _WORD) | words[1]
     used = np.full(blocks, 2, dtype=np.int64)
     ids = np.zeros((length, blocks), dtype=np.int64)
     for t in range(length):
@@ -209,9 +195,9 @@ def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
         shift, span = _due(low, span)
         if shift.any():
             rows = np.flatnonzero(shift)
-            if used[rows].max() >= words.shape[1]:
+            if used[rows].max() >= len(words):
                 raise ValueError("damaged block")
-            code[rows] = (code[rows] << _WORD) | words[rows, used[rows]]
+            code[rows] = (code[rows] << _WORD) | words[used[rows], rows]
             used[rows] += 1
             low[rows] <<= _WORD
             span[rows] <<= _WORD
@@ -225,7 +211,8 @@ def write_file(
 ) -> None:
     """Write batches of (ids, ids per document) as one file; no more than one group is held.
 
-    All numbers are little-endian. Head: magic, alphabet, block length. Blocks: ids, bytes, CRC of
+    All numbers are little-endian. Head: magic, alphabet, block length. A group is up to ``ABREAST``
+    blocks of equal length, and is read as a whole. Blocks: ids, bytes, CRC of
     the ids as unsigned 32-bit numbers, data. A frame of no ids and bytes ends them. Tail: ids of
     each document, then documents, ids, CRC of the tail's first part.
     """
@@ -311,12 +298,22 @@ def document_sums(counts: np.ndarray, groups: Iterable[np.ndarray]) -> list[int]
 
 
 class PieceIds:
-    """Ids by piece with the byte-level vocabulary; the library's own model makes them."""
+    """Ids by piece with the byte-level vocabulary; the library makes them.
+
+    Pieces of ASCII that begin with white space and end without go to the library many at a time, put
+    together: no word of it runs over such a place. How many ids each has then follows from the
+    bytes that the ids stand for. Any other piece is split into words here or encoded by itself.
+    """
 
     def __init__(self, path: str):
         self.whole = tokenizer(path)
         self.tokenize = self.whole.model.tokenize
-        self.specials = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
+        specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
+        vocab = self.whole.get_vocab(with_added_tokens=True)
+        self.n_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for name, i in vocab.items():
+            self.n_bytes[i] = len(name)
         self.known: dict[str, list[int]] = {}
 
     def word(self, word: str) -> list[int]:
@@ -328,10 +325,41 @@ class PieceIds:
         return ids
 
     def __call__(self, piece: str) -> list[int]:
-        if PLAIN.fullmatch(piece) and not any(s in piece for s in self.specials):
+        if PLAIN.fullmatch(piece) and not self.special(piece):
             return [i for word in BYTE_LEVEL_WORDS.findall(piece) for i in self.word(word)]
         return self.whole.encode(piece, add_special_tokens=False).ids
 
+    def together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces one after the other, and how many each has."""
+        (found,) = self.whole.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int64)
+        ends, stops = np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in pieces])
+        last = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
+        if (ends[last] != stops).any() or ends[-1] != stops[-1]:
+            return self.apart(pieces)
+        return ids, np.diff(last, prepend=-1)
+
+    def apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [self(p) for p in pieces]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for ids in lists for i in ids), np.int64, int(sizes.sum())), sizes
+
+    def table(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pieces, and for each piece where its ids start and how many there are."""
+        joined, others = [], []
+        for i, piece in enumerate(pieces):
+            (joined if JOINED.fullmatch(piece) and not self.special(piece) else others).append(i)
+        runs = [(joined[at : at + JOINED_PIECES], self.together) for at in range(0, len(joined), JOINED_PIECES)]
+        if others:
+            runs.append((others, self.apart))
+        sizes, starts, values, total = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
+        for own, encode in runs:
+            ids, n = encode([pieces[i] for i in own])
+            sizes[own], starts[own] = n, total + np.cumsum(n) - n
+            values.append(ids)
+            total += len(ids)
+        return np.concatenate(values) if values else np.zeros(0, dtype=np.int64), starts, sizes
+
 
 def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch of texts one after the other, each text closed by ``end_id``, and counts."""
@@ -340,10 +368,7 @@ def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) ->
     counts, flat = np.zeros(n, dtype=np.int64), []
     for at, to in byte_batches(raw, bounds, BATCH_BYTES):
         which, pieces = distinct_pieces(raw, bounds, at, to)
-        lists = [encode(p) for p in pieces]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        values = np.fromiter((i for ids in lists for i in ids), np.int64, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
+        values, starts, sizes = encode.table(pieces)
         own = sizes[which]
         ends = np.cumsum(own)
         flat.append(values[np.repeat(starts[which] - (ends - own), own) + np.arange(ends[-1])])

@@ -144,6 +144,30 @@ def test_repetition_compresses_and_damage_is_noticed():
             read(bytes(bad))
 
 
+def test_pieces_put_together_have_the_library_s_ids():
+    rng = random.Random(11)
+    marks = ["a", "the", "B", "1", "'s", "'", " ", "  ", "\n", "\t", "\r", "!", ".", "<|endoftext|>", "<|", "é", "\x0b"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(40))) for _ in range(400)]
+    lengths = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    raw = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    encode, calls = id_files.PieceIds(BYTE), []
+    apart = encode.apart
+    encode.apart = lambda pieces: calls.append(len(pieces)) or apart(pieces)
+    ids, counts = id_files.ids_of(raw, lengths, encode, 0)
+    want = [[*library_ids(BYTE, t), 0] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    assert len(calls) == 1
+
+
+def test_blocks_of_a_group_learn_from_each_other():
+    cycle = np.random.default_rng(3).permutation(50257)[:4000]
+    ids = np.tile(cycle, 20)
+    data = written(ids, [len(ids)])
+    assert read(data)[1] == ids.tolist()
+    # The cycle is longer than a block: a block by itself would pay for each of its ids.
+    assert len(data) < len(ids)
+
+
 def test_id_files_over_many_files(spark):
     docs = odd(spark)
     folder = f"file://{scratch_path(spark, 'ids')}"
