@@ -20,7 +20,7 @@ from loamline.llm.pieces import by_bytes, text_bytes
 from loamline.llm.shared import arrow_map, stored
 from loamline.llm.shingles import WORDS, multipliers, shingle_sets, signature
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)

@@ -16,10 +16,12 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from loamline.llm.pieces import by_bytes, byte_batches, distinct_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map
-from loamline.llm.token_counts import PLAIN, REMEMBERED, byte_names, tokenizer
+from loamline.llm.token_counts import PLAIN, byte_names, tokenizer
 
 # Texts are worked off in slices of about so many bytes: cutting takes several times their size.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
+# What a worker remembers stays as long as it lives, so each of its tables has a bound: some 350 bytes an entry.
+REMEMBERED_WORDS, REMEMBERED_PIECES, REMEMBERED_FRAGMENTS = 100_000, 40_000, 40_000
 
 # Fixed value: the word vocabulary's split pattern.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -44,7 +46,7 @@ class FragmentEncoder:
         suffix = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ends = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix=suffix or None)
+        self.ends = self.whole.model
         self.inner = models.BPE(vocab=vocab, merges=merges)
         self.specials = [t["content"] for t in spec["added_tokens"]]
         bare = (t.removesuffix(suffix) if suffix else t for t in vocab)
@@ -68,7 +70,7 @@ class FragmentEncoder:
         if ids is None:
             model = self.ends if end else self.inner
             ids = [t.id for t in model.tokenize(text)]
-            if len(self.fragments) < REMEMBERED // 8 and len(text) <= 32:
+            if len(self.fragments) < REMEMBERED_FRAGMENTS and len(text) <= 32:
                 self.fragments[text, end] = ids
         return ids
 
@@ -127,7 +129,7 @@ class PieceTable:
 
     def word(self, word: str, memory: dict[str, Entry], name: Callable[[str], str]) -> Entry:
         entry = self.entry(self.encode.word(name(word)))
-        if len(word) <= 32 and len(memory) < REMEMBERED // 2:
+        if len(word) <= 32 and len(memory) < REMEMBERED_WORDS:
             memory[word] = entry
         return entry
 
@@ -152,7 +154,7 @@ class PieceTable:
             entry = known.get(key)
             if entry is None:
                 entry = self.piece(key)
-                if len(key) <= 64 and len(known) < REMEMBERED // 6:
+                if len(key) <= 64 and len(known) < REMEMBERED_PIECES:
                     known[key] = entry
             out.append(entry)
         return out

@@ -85,6 +85,16 @@ def test_a_large_batch_is_worked_off_in_slices(spark, monkeypatch, module, opera
     assert rows == 5000 and peak < 12 << 20
 
 
+def test_what_a_bpe_worker_remembers_has_a_bound():
+    table = forced_cuts.PieceTable(WORD)
+    table.encode.fragments.clear()
+    for at in range(0, 240_000, 20_000):
+        table([f"{chr(97 + i % 26)}q{i:x}" for i in range(at, at + 20_000)])
+    sizes = [len(t) for t in (table.known, table.plain, table.named, table.encode.fragments)]
+    assert sum(sizes) <= 180_000
+    assert table.encode.ends is not None and table(["zebra crossing"])[0][0] == len(library_ids(WORD, "zebra crossing"))
+
+
 def test_ids_as_a_column_keep_other_columns(spark):
     got = encoded(odd(spark), WORD)
     assert got.columns == [*odd(spark).columns, "token_ids"]
