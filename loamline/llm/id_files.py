@@ -9,17 +9,19 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.pieces import by_bytes, byte_batches, distinct_pieces, piece_bounds, text_bytes
+from loamline.llm.pieces import by_bytes, byte_batches, coded_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map, stored
-from loamline.llm.token_counts import BATCH_BYTES, BYTE_LEVEL_WORDS, PLAIN, REMEMBERED, byte_names, tokenizer
+from loamline.llm.token_counts import BATCH_BYTES, byte_names, tokenizer
 from loamline.session import scratch_path
 
 BLOCK_IDS = 2048
@@ -28,11 +30,23 @@ ABREAST = 4096
 DOCS_PER_FILE = 4_000
 BYTES_PER_FILE = 16 << 20
 
-# Pieces that can be encoded many at a time, and how many.
-JOINED = re.compile("[ \t\n\r][ \t\n\r!-~]*[!-~]")
-JOINED_PIECES = 2000
-
-MAGIC = b"LLID0002"
+# Ids at a file's end that fill no block go into blocks of so many, side by side.
+SHORT_BLOCK = 32
+
+# Plain pieces that can be cut into words together: no word runs over such a place.
+_PLAIN_MARKS = "!-~\u00a1-\u012f\u0131-\u017f"
+JOINED = rf"\A[ \t\n\r][ \t\n\r{_PLAIN_MARKS}]*[{_PLAIN_MARKS}]\z"
+# BYTE_LEVEL_WORDS for plain texts, where its classes hold these characters alone.
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PLAIN_WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+"
+)
+LONGEST_PLAIN = 256
+# How many words go to the library at a time, and how many a worker remembers (some 200 bytes each).
+TOGETHER, REMEMBERED_WORDS = 2000, 700_000
+
+MAGIC = b"LLID0003"
 HEAD, FRAME, TAIL = struct.Struct("<II"), struct.Struct("<III"), struct.Struct("<QQI")
 TOTAL_BITS = 24
 TOTAL = 1 << TOTAL_BITS
@@ -40,7 +54,7 @@ TOTAL = 1 << TOTAL_BITS
 RESERVED = 1 << 22
 ORDER_0_BITS = 18
 HASH_BITS = 16
-ID_BITS = 32
+ID_BITS = 28
 ID_MASK = (1 << ID_BITS) - 1
 MOST_TRIES = 1 << 20
 _WORD = np.uint64(32)
@@ -69,10 +83,10 @@ class Mixer:
         self.places = {1 << k for k in range(2, 40)} | set(range(256, length + 1, 256))
         self.refresh()
         # A slot holds its standing (0 for none) and the id plus one.
-        self.ones = np.zeros(alphabet, dtype=np.int64)
-        self.twos = np.zeros(1 << HASH_BITS, dtype=np.int64)
+        self.ones = np.zeros(alphabet, dtype=np.int32)
+        self.twos = np.zeros(1 << HASH_BITS, dtype=np.int32)
         self.tries = np.ones((3, 16), dtype=np.int64)  # order 2 was right, order 1 was, none was
-        self.last = np.zeros((2, blocks), dtype=np.int64)
+        self.one, self.before = np.zeros((2, blocks), dtype=np.int64)
         self.seen = 0
 
     def refresh(self) -> None:
@@ -84,27 +98,29 @@ class Mixer:
         self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(self.below))
 
     def predict(self) -> None:
-        """Set slots, guesses (-1 where there is none) and shares for the next id."""
-        self.one, two = self.last
-        self.two = (self.one * 2654435761 + two * 2654481408 >> 15) & ((1 << HASH_BITS) - 1)
-        values = self.ones.take(self.one), self.twos.take(self.two)
-        self.guess = [(v & ID_MASK) - 1 for v in values]
-        self.standing = [v >> ID_BITS for v in values]
-        self.kind = (self.standing[1] << 2) | self.standing[0]
+        """Set slots, guesses (plus one, 0 where there is none) and shares for the next id."""
+        self.two = (self.one * 2654435761 + self.before * 2654481408 >> 15) & ((1 << HASH_BITS) - 1)
+        self.values = self.ones.take(self.one), self.twos.take(self.two)
+        self.guess = [v & ID_MASK for v in self.values]
+        by_one, by_two = (v >> ID_BITS for v in self.values)
+        self.kind = ((by_two << 2) | by_one).astype(np.int64)
         right, less, wrong = self.tries
         shares = (TOTAL - RESERVED) * self.tries[:2] // (right + less + wrong)
-        self.second = shares[0].take(self.kind)
-        self.both = shares.sum(axis=0).take(self.kind)
-        self.rest = TOTAL - self.both
+        both = shares[0] + shares[1]
+        self.second, self.both = shares[0].take(self.kind), both.take(self.kind)
+        self.rest = (TOTAL - both).take(self.kind)
 
     def part(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the parts of ids begin within the range, and their sizes."""
-        self.right = self.guess[1] == ids
-        self.less = (self.guess[0] == ids) & ~self.right
-        start = self.below.take(ids) * self.rest >> self.bits
-        size = (self.below.take(ids + 1) * self.rest >> self.bits) - start
-        start = np.where(self.right, 0, np.where(self.less, self.second, start + self.both))
-        size = np.where(self.right, self.second, np.where(self.less, self.both - self.second, size))
+        self.fresh = ids.astype(np.int32) + 1
+        self.hits = [guess == self.fresh for guess in self.guess]
+        start = (self.below.take(ids) * self.rest >> self.bits) + self.both
+        size = (self.below[1:].take(ids) * self.rest >> self.bits) + self.both - start
+        less, right = self.hits
+        np.copyto(start, self.second, where=less)
+        np.copyto(size, self.both - self.second, where=less)
+        np.copyto(start, 0, where=right)
+        np.copyto(size, self.second, where=right)
         return start, size
 
     def find(self, at: np.ndarray) -> np.ndarray:
@@ -112,22 +128,23 @@ class Mixer:
         left = np.maximum(at - self.both, 0)
         place = (((left + 1 << self.bits) - 1) / self.rest).astype(np.int64)
         ids = self.owner.take(place, mode="clip").astype(np.int64)
-        ids = np.where(at < self.both, np.where(at < self.second, self.guess[1], self.guess[0]), ids)
+        np.copyto(ids, self.guess[0] - 1, where=at < self.both)
+        np.copyto(ids, self.guess[1] - 1, where=at < self.second)
         return np.maximum(ids, 0)  # only damaged data has a place where there is no guess
 
     def learn(self, ids: np.ndarray) -> None:
         """Take in the ids last given to :meth:`part`."""
-        outcome = np.where(self.right, 0, np.where(self.less, 16, 32)) + self.kind
-        self.tries += np.bincount(outcome, minlength=48).reshape(3, 16)
+        less, right = self.hits
+        outcome = np.bincount(self.kind + (right * 16 + less * 32), minlength=64).reshape(2, 2, 16)
+        self.tries += np.stack([outcome[0, 1] + outcome[1, 1], outcome[1, 0], outcome[0, 0]])
         if self.tries.max() > MOST_TRIES:
             self.tries = self.tries + 1 >> 1
-        for table, slot, guess, standing in zip(
-            (self.ones, self.twos), (self.one, self.two), self.guess, self.standing
-        ):
-            value = (np.where(guess == ids, np.minimum(standing + 1, 3), 1) << ID_BITS) | (ids + 1)
+        fresh = self.fresh + (1 << ID_BITS)
+        for table, slot, value, hit in zip((self.ones, self.twos), (self.one, self.two), self.values, self.hits):
+            raised = np.minimum(value + (1 << ID_BITS), fresh + (2 << ID_BITS))
             table[slot] = 0
-            np.maximum.at(table, slot, value)
-        self.last = np.stack([ids, self.one])
+            np.maximum.at(table, slot, np.where(hit, raised, fresh))
+        self.one, self.before = ids, self.one
         self.waiting.append(ids)
         self.seen += 1
         if self.seen in self.places:
@@ -148,15 +165,14 @@ def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
         mixer.predict()
         start, size = mixer.part(column)
         part = span >> np.uint64(TOTAL_BITS)
-        low = low + part * start.astype(np.uint64)
-        span = part * size.astype(np.uint64)
-        shift, span = _due(low, span)
-        if shift.any():
-            rows = np.flatnonzero(shift)
-            out[used[rows], rows] = (low[rows] >> _WORD).astype(np.uint32)
-            used[rows] += 1
-            low[rows] <<= _WORD
-            span[rows] <<= _WORD
+        low = low + part * start.view(np.uint64)
+        span = part * size.view(np.uint64)
+        rows = np.flatnonzero(span < _BOTTOM)
+        if len(rows):
+            place = used[rows]
+            out[place, rows] = (low[rows] >> _WORD).astype(np.uint32)
+            used[rows] = place + 1
+            _shift(low, span, rows)
         mixer.learn(column)
     for word in (low >> _WORD, low & _LOW):
         out[used, np.arange(blocks)] = word.astype(np.uint32)
@@ -164,13 +180,16 @@ def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
     return [row[:n].astype("<u4").tobytes() for row, n in zip(out.T, used)]
 
 
-def _due(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks whose upper word is settled; a span too small to go on is cut to its word's end."""
+def _shift(low: np.ndarray, span: np.ndarray, rows: np.ndarray) -> None:
+    """Go on with the next word in blocks whose span is below a word.
+
+    Mostly the upper word is settled; where it is not, the span is cut to the word's end first.
+    """
+    own, left = low[rows], span[rows]
     with np.errstate(over="ignore"):
-        settled = (low >> _WORD) == ((low + (span - np.uint64(1))) >> _WORD)
-        tight = ~settled & (span < _BOTTOM)
-        span = np.where(tight, (np.uint64(0) - low) & _LOW, span)
-    return (settled & (span < _BOTTOM)) | tight, span
+        settled = (own >> _WORD) == ((own + (left - np.uint64(1))) >> _WORD)
+        left = np.where(settled, left, (np.uint64(0) - own) & _LOW)
+    low[rows], span[rows] = own << _WORD, left << _WORD
 
 
 def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
@@ -187,20 +206,19 @@ def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
     for t in range(length):
         mixer.predict()
         part = span >> np.uint64(TOTAL_BITS)
-        at = np.minimum((code - low) // part, np.uint64(TOTAL - 1)).astype(np.int64)
+        at = np.minimum((code - low) // part, np.uint64(TOTAL - 1)).view(np.int64)
         found = mixer.find(at)
         start, size = mixer.part(found)
-        low = low + part * start.astype(np.uint64)
-        span = part * size.astype(np.uint64)
-        shift, span = _due(low, span)
-        if shift.any():
-            rows = np.flatnonzero(shift)
-            if used[rows].max() >= len(words):
+        low = low + part * start.view(np.uint64)
+        span = part * size.view(np.uint64)
+        rows = np.flatnonzero(span < _BOTTOM)
+        if len(rows):
+            place = used[rows]
+            if place.max() >= len(words):
                 raise ValueError("damaged block")
-            code[rows] = (code[rows] << _WORD) | words[used[rows], rows]
-            used[rows] += 1
-            low[rows] <<= _WORD
-            span[rows] <<= _WORD
+            code[rows] = (code[rows] << _WORD) | words[place, rows]
+            used[rows] = place + 1
+            _shift(low, span, rows)
         mixer.learn(found)
         ids[t] = found
     return ids.T
@@ -213,7 +231,7 @@ def write_file(
 
     All numbers are little-endian. Head: magic, alphabet, block length. A group is up to ``ABREAST``
     blocks of equal length, and is read as a whole. Blocks: ids, bytes, CRC of
-    the ids as unsigned 32-bit numbers, data. A frame of no ids and bytes ends them. Tail: ids of
+    the ids as unsigned 32-bit numbers and then the data, data. A frame of no ids and bytes ends them. Tail: ids of
     each document, then documents, ids, CRC of the tail's first part.
     """
     out.write(MAGIC + HEAD.pack(alphabet, block))
@@ -221,7 +239,7 @@ def write_file(
 
     def frames(rows: np.ndarray) -> None:
         for row, data in zip(rows, encode_blocks(rows, alphabet)):
-            out.write(FRAME.pack(len(row), len(data), zlib.crc32(row.astype("<u4").tobytes())) + data)
+            out.write(FRAME.pack(len(row), len(data), zlib.crc32(data, zlib.crc32(row.astype("<u4").tobytes()))) + data)
 
     for ids, counts in batches:
         waiting = np.concatenate([waiting, ids])
@@ -233,6 +251,11 @@ def write_file(
     full = len(waiting) // block * block
     if full:
         frames(waiting[:full].reshape(-1, block))
+    # Side by side they take few steps; a step costs about the same for one block as for many.
+    waiting, short = waiting[full:], min(SHORT_BLOCK, block)
+    full = len(waiting) // short * short
+    if full:
+        frames(waiting[:full].reshape(-1, short))
     if len(waiting) > full:
         frames(waiting[None, full:])
     out.write(FRAME.pack(0, 0, 0))
@@ -265,7 +288,7 @@ def _groups(data: bytes, alphabet: int, block: int, total: int) -> Iterator[np.n
         if group and (n != group[0][0] or len(group) == ABREAST):
             rows = decode_blocks([f[1] for f in group], group[0][0], alphabet)
             for row, frame in zip(rows, group):
-                if zlib.crc32(row.astype("<u4").tobytes()) != frame[2]:
+                if zlib.crc32(frame[1], zlib.crc32(row.astype("<u4").tobytes())) != frame[2]:
                     raise ValueError("damaged block")
             seen += rows.size
             yield rows.ravel()
@@ -300,65 +323,102 @@ def document_sums(counts: np.ndarray, groups: Iterable[np.ndarray]) -> list[int]
 class PieceIds:
     """Ids by piece with the byte-level vocabulary; the library makes them.
 
-    Pieces of ASCII that begin with white space and end without go to the library many at a time, put
-    together: no word of it runs over such a place. How many ids each has then follows from the
-    bytes that the ids stand for. Any other piece is split into words here or encoded by itself.
+    Plain pieces that begin with white space and end without are cut into words, and each new word goes
+    to the library's model, many at a time; how many ids each has follows from the bytes that the ids
+    stand for. Any other piece, and any with a special token in it, goes through the whole library. Words
+    met before are looked up; how many are remembered from one call to the next has a bound.
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.whole = tokenizer(path)
-        self.tokenize = self.whole.model.tokenize
-        specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
+        # The names of bytes hold no line end, so one can stand between words.
+        self.model = Tokenizer(self.whole.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         vocab = self.whole.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for name, i in vocab.items():
             self.n_bytes[i] = len(name)
-        self.known: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = [t.id for t in self.tokenize(byte_names(word))]
-            if len(self.known) < REMEMBERED // 4 and len(word) <= 64:
-                self.known[word] = ids
-        return ids
-
-    def __call__(self, piece: str) -> list[int]:
-        if PLAIN.fullmatch(piece) and not self.special(piece):
-            return [i for word in BYTE_LEVEL_WORDS.findall(piece) for i in self.word(word)]
-        return self.whole.encode(piece, add_special_tokens=False).ids
-
-    def together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the pieces one after the other, and how many each has."""
-        (found,) = self.whole.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
-        ids = np.array(found.ids, dtype=np.int64)
-        ends, stops = np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in pieces])
-        last = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
-        if (ends[last] != stops).any() or ends[-1] != stops[-1]:
-            return self.apart(pieces)
-        return ids, np.diff(last, prepend=-1)
+        self.slots: dict[str, int] = {}
+        # Word k has the ids from bounds[k] up to bounds[k + 1].
+        self.ids, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words one after the other, and how many each has."""
+        names = [byte_names(w) for w in words]
+        (found,) = self.model.encode_batch_fast(["\n".join(names)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int32)
+        stops = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(n) for n in names])) + 1
+        return ids, np.diff(stops, prepend=0)
+
+    def look_up(self, words: list[str]) -> np.ndarray:
+        """The numbers under which the words' ids are found."""
+        slots = self.slots
+        while len(slots) > REMEMBERED_WORDS:
+            slots.popitem()  # the last that came
+        self.bounds = self.bounds[: len(slots) + 1]
+        self.ids = self.ids[: self.bounds[-1]]
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        texts = coded.dictionary.to_pylist()
+        own = np.fromiter((slots.get(w, -1) for w in texts), np.int64, len(texts))
+        missing = np.flatnonzero(own < 0)
+        new = [texts[i] for i in missing.tolist()]
+        parts = [self.encoded(new[at : at + TOGETHER]) for at in range(0, len(new), TOGETHER)]
+        if parts:
+            own[missing] = np.arange(len(slots), len(slots) + len(new))
+            slots.update(zip(new, own[missing].tolist()))
+            self.ids = np.concatenate([self.ids, *[ids for ids, _ in parts]])
+            ends = np.cumsum(np.concatenate([n for _, n in parts]))
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends])
+        return own[coded.indices.to_numpy()]
+
+    def words(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces of so many words each, and how many ids each piece has."""
+        slot = self.look_up(words)
+        ids, ends = runs(self.ids, self.bounds[slot], self.bounds[slot + 1] - self.bounds[slot])
+        return ids, np.diff(np.concatenate([[0], ends])[np.cumsum(sizes)], prepend=0)
+
+    def together(self, text: str, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are cut into words as one text, and how many each piece of so many characters has."""
+        words = PLAIN_WORDS.findall(text)
+        ends = np.cumsum(list(map(len, words)), dtype=np.int64)
+        return self.words(words, np.diff(np.searchsorted(ends, np.cumsum(chars)) + 1, prepend=0))
 
     def apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = [self(p) for p in pieces]
+        """The same for any pieces, each by itself."""
+        lists = [self.whole.encode(p, add_special_tokens=False).ids for p in pieces]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for ids in lists for i in ids), np.int64, int(sizes.sum())), sizes
+        return np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
 
-    def table(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def table(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all pieces, and for each piece where its ids start and how many there are."""
-        joined, others = [], []
-        for i, piece in enumerate(pieces):
-            (joined if JOINED.fullmatch(piece) and not self.special(piece) else others).append(i)
-        runs = [(joined[at : at + JOINED_PIECES], self.together) for at in range(0, len(joined), JOINED_PIECES)]
-        if others:
-            runs.append((others, self.apart))
-        sizes, starts, values, total = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
-        for own, encode in runs:
-            ids, n = encode([pieces[i] for i in own])
-            sizes[own], starts[own] = n, total + np.cumsum(n) - n
-            values.append(ids)
-            total += len(ids)
-        return np.concatenate(values) if values else np.zeros(0, dtype=np.int64), starts, sizes
+        chars = pc.utf8_length(pieces).to_numpy()
+        short = chars <= LONGEST_PLAIN
+        for token in self.specials:
+            short &= ~pc.match_substring(pieces, token).to_numpy(zero_copy_only=False)
+        together = short & pc.match_substring_regex(pieces, JOINED).to_numpy(zero_copy_only=False)
+        joined, others = np.flatnonzero(together), np.flatnonzero(~together)
+        text = text_bytes(pieces.take(pa.array(joined)))[0].tobytes().decode()
+        values, sizes = self.together(text, chars[joined])
+        if len(others):
+            more, n = self.apart(pieces.take(pa.array(others)).to_pylist())
+            values, sizes = np.concatenate([values, more]), np.concatenate([sizes, n])
+        order = np.argsort(np.concatenate([joined, others]))
+        return values, (np.cumsum(sizes) - sizes)[order], sizes[order]
+
+
+@lru_cache(maxsize=1)
+def piece_ids(path: str) -> PieceIds:
+    """One for all tasks of a worker."""
+    return PieceIds(path)
+
+
+def runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values one after the other, and where each ends."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -367,11 +427,10 @@ def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) ->
     n = len(rows) - 1
     counts, flat = np.zeros(n, dtype=np.int64), []
     for at, to in byte_batches(raw, bounds, BATCH_BYTES):
-        which, pieces = distinct_pieces(raw, bounds, at, to)
+        which, pieces = coded_pieces(raw, bounds, at, to)
         values, starts, sizes = encode.table(pieces)
         own = sizes[which]
-        ends = np.cumsum(own)
-        flat.append(values[np.repeat(starts[which] - (ends - own), own) + np.arange(ends[-1])])
+        flat.append(runs(values, starts[which], own)[0])
         counts += np.bincount(row_of[at:to], weights=own, minlength=n).astype(np.int64)
     ids = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
@@ -407,7 +466,7 @@ def write_ids(
     alphabet = tokenizer(path).get_vocab_size(with_added_tokens=True)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, keys = PieceIds(path), []
+        encode, keys = piece_ids(path), []
 
         def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for whole in parts:

@@ -65,9 +65,9 @@ def byte_batches(raw: np.ndarray, bounds: np.ndarray, most: int) -> Iterator[tup
         at = to
 
 
-def distinct_pieces(
+def coded_pieces(
     raw: np.ndarray, bounds: np.ndarray, at: int, to: int
-) -> tuple[np.ndarray, list[str]]:
+) -> tuple[np.ndarray, pa.LargeStringArray]:
     """Of the pieces ``at`` to ``to``: which distinct text each one is, and those texts."""
     start, stop = bounds[at], bounds[to]
     offsets = (bounds[at : to + 1] - start).astype(np.int64)
@@ -75,7 +75,15 @@ def distinct_pieces(
         to - at, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw[start:stop]))
     )
     coded = array.dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def distinct_pieces(
+    raw: np.ndarray, bounds: np.ndarray, at: int, to: int
+) -> tuple[np.ndarray, list[str]]:
+    """Like :func:`coded_pieces`, the texts as Python strings."""
+    which, texts = coded_pieces(raw, bounds, at, to)
+    return which, texts.to_pylist()
 
 
 def by_bytes(part: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:

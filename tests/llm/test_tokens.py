@@ -169,6 +169,49 @@ def test_pieces_put_together_have_the_library_s_ids():
     assert len(calls) == 1
 
 
+def ids_of_texts(encode, texts):
+    lengths = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, counts = id_files.ids_of(np.frombuffer("".join(texts).encode(), dtype=np.uint8), lengths, encode, 0)
+    want = [[*library_ids(BYTE, t), 0] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
+def test_words_are_encoded_once_for_all_batches(monkeypatch):
+    encode, asked = id_files.PieceIds(BYTE), []
+    encoded_words = encode.encoded
+    encode.encoded = lambda words: asked.extend(words) or encoded_words(words)
+    texts = [" Été ouéaie, it's 12½ «x» naïve.\n", " it's naïve! \u00ad¹²\u017f\u0130 x", " " + "ab" * 300]
+    ids_of_texts(encode, texts)
+    first = len(asked)
+    assert first > 5 and len(set(asked)) == first
+    ids_of_texts(encode, texts[::-1])
+    assert len(asked) == first
+    monkeypatch.setattr(id_files, "REMEMBERED_WORDS", 4)
+    for k in range(3):
+        ids_of_texts(encode, [f" word{k} it's {t}" for t in texts])
+    ids_of_texts(encode, [" it's"])
+    assert len(encode.slots) <= 4 + 2
+
+
+def test_plain_words_are_those_of_the_vocabulary():
+    from loamline.llm.token_counts import BYTE_LEVEL_WORDS, PLAIN
+
+    rng = random.Random(5)
+    plain_chars = [chr(c) for c in range(0x180) if PLAIN.fullmatch(chr(c))]
+    pool = plain_chars + list(" \n\t'sstrevmld ") * 12
+    for text in ["".join(plain_chars), *("".join(rng.choices(pool, k=14)) for _ in range(5000))]:
+        assert id_files.PLAIN_WORDS.findall(text) == BYTE_LEVEL_WORDS.findall(text)
+
+
+def test_the_rest_of_a_file_is_coded_side_by_side(monkeypatch):
+    steps, learn = [], id_files.Mixer.learn
+    monkeypatch.setattr(id_files.Mixer, "learn", lambda self, ids: steps.append(len(ids)) or learn(self, ids))
+    ids = np.random.default_rng(9).integers(0, 50257, 2047)
+    data = written(ids, [len(ids)])
+    assert len(steps) < 100
+    assert read(data)[1] == ids.tolist() and len(steps) < 200
+
+
 def test_blocks_of_a_group_learn_from_each_other():
     cycle = np.random.default_rng(3).permutation(50257)[:4000]
     ids = np.tile(cycle, 20)
