@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.pieces import by_bytes, byte_batches, coded_pieces, piece_bounds, text_bytes
 from loamline.llm.shared import arrow_map, stored
-from loamline.llm.token_counts import BATCH_BYTES, byte_names, tokenizer
+from loamline.llm.token_counts import BATCH_BYTES, BYTE_NAMES, tokenizer
 from loamline.session import scratch_path
 
 BLOCK_IDS = 2048
@@ -42,11 +42,20 @@ _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 PLAIN_WORDS = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+"
 )
+# The classes of plain characters: white space, letters, numbers, others.
+_CLASSES = [r"\s", f"[{_LETTERS}]", f"[{_NUMBERS}]", "."]
+CLASS_OF = np.array([next(k for k, c in enumerate(_CLASSES) if re.match(c, chr(i), re.S)) for i in range(0x180)])
+# What a contraction may be, in code points after the apostrophe.
+SHORT_ENDS = [[ord(c) for c in end] for end in ("s", "t", "m", "d", "re", "ve", "ll")]
 LONGEST_PLAIN = 256
-# How many words go to the library at a time, and how many a worker remembers (some 200 bytes each).
-TOGETHER, REMEMBERED_WORDS = 2000, 700_000
-
-MAGIC = b"LLID0003"
+# How many words go to the library at a time, and how many a worker remembers (some 60 bytes each).
+TOGETHER, REMEMBERED_WORDS = 2000, 1_000_000
+# The names of bytes as code points.
+BYTE_CODES, LINE_END = np.array([ord(BYTE_NAMES[b]) for b in range(256)], dtype="<u4"), 10
+# A byte's factor in a word's hash, by its place.
+FACTORS = np.random.default_rng(8).integers(1 << 64, size=512, dtype=np.uint64, endpoint=False) | np.uint64(1)
+
+MAGIC = b"LLID0004"
 HEAD, FRAME, TAIL = struct.Struct("<II"), struct.Struct("<III"), struct.Struct("<QQI")
 TOTAL_BITS = 24
 TOTAL = 1 << TOTAL_BITS
@@ -57,6 +66,9 @@ HASH_BITS = 16
 ID_BITS = 28
 ID_MASK = (1 << ID_BITS) - 1
 MOST_TRIES = 1 << 20
+# Shares of the range are set anew after each of the first steps, then after so many, of which one in four tells.
+SHARE_STEPS, TRIED_STEPS = 16, 4
+PAIR_FACTOR, PAIR_SHIFT = np.uint32(2654435761), np.uint32(32 - HASH_BITS)
 _WORD = np.uint64(32)
 _LOW = np.uint64((1 << 32) - 1)
 _BOTTOM = np.uint64(1 << 32)
@@ -68,85 +80,96 @@ class Mixer:
     Order 0 is a table of counts, summed up anew at set places. Orders 1 and 2 remember the id that
     followed one or two ids (order 2 by hashed context) and how often in a row it was right, its
     standing. The three predictions are mixed: the two guesses get shares of the range by how often
-    guesses of that pair of standings have been right in this group so far, the rest goes by order 0.
+    guesses of that pair of standings have been right in this group until lately, the rest goes by order 0.
     All numbers are whole, and the only fractions are quotients below 2**42, rounded down, which are
     exact in double precision, so every machine codes alike. All blocks of a group teach one model,
-    step by step; where several teach the same slot, the guess of best standing stays, then the
-    largest id. A new object knows nothing: groups are independent.
+    step by step; where several teach the same slot, the last one's guess stays. A new object knows
+    nothing: groups are independent.
     """
 
     def __init__(self, blocks: int, alphabet: int, length: int):
+        if not 0 < alphabet < ID_MASK:
+            raise ValueError("no ids, or too many")
         self.alphabet = alphabet
         self.bits = max(ORDER_0_BITS, alphabet.bit_length() + 2)
         self.counts = np.zeros(alphabet, dtype=np.int64)
         self.waiting: list[np.ndarray] = []
         self.places = {1 << k for k in range(2, 40)} | set(range(256, length + 1, 256))
         self.refresh()
-        # A slot holds its standing (0 for none) and the id plus one.
-        self.ones = np.zeros(alphabet, dtype=np.int32)
-        self.twos = np.zeros(1 << HASH_BITS, dtype=np.int32)
+        # A slot holds its standing (0 for none) and the id plus one: first a slot for each id, then for pairs.
+        self.table = np.zeros(alphabet + (1 << HASH_BITS), dtype=np.int32)
+        self.slot = np.zeros((2, blocks), dtype=np.int64)
         self.tries = np.ones((3, 16), dtype=np.int64)  # order 2 was right, order 1 was, none was
-        self.one, self.before = np.zeros((2, blocks), dtype=np.int64)
+        self.outcomes: list[np.ndarray] = []
+        self.share()
+        self.older = np.zeros(blocks, dtype=np.uint32)
         self.seen = 0
 
     def refresh(self) -> None:
         whole, total = 1 << self.bits, int(self.counts.sum())
         spread = self.counts * (whole - self.alphabet) // max(total, 1)
-        self.below = np.zeros(self.alphabet + 1, dtype=np.int64)
+        self.below = np.zeros(self.alphabet + 1, dtype=np.int32)
         np.cumsum(spread + (1 if total else whole // self.alphabet), out=self.below[1:])
         self.below[-1] = whole
-        self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(self.below))
+        self.above = self.below[1:]
+        narrow = np.uint16 if self.alphabet < 1 << 16 else np.int32
+        self.owner = np.repeat(np.arange(1, self.alphabet + 1, dtype=narrow), np.diff(self.below))
+
+    def share(self) -> None:
+        right, less, wrong = self.tries
+        self.for_two, self.for_one = (TOTAL - RESERVED) * self.tries[:2] // (right + less + wrong)
+        self.for_both = self.for_two + self.for_one
 
     def predict(self) -> None:
         """Set slots, guesses (plus one, 0 where there is none) and shares for the next id."""
-        self.two = (self.one * 2654435761 + self.before * 2654481408 >> 15) & ((1 << HASH_BITS) - 1)
-        self.values = self.ones.take(self.one), self.twos.take(self.two)
-        self.guess = [v & ID_MASK for v in self.values]
-        by_one, by_two = (v >> ID_BITS for v in self.values)
-        self.kind = ((by_two << 2) | by_one).astype(np.int64)
-        right, less, wrong = self.tries
-        shares = (TOTAL - RESERVED) * self.tries[:2] // (right + less + wrong)
-        both = shares[0] + shares[1]
-        self.second, self.both = shares[0].take(self.kind), both.take(self.kind)
-        self.rest = (TOTAL - both).take(self.kind)
+        own = self.slot[0].astype(np.uint32) * PAIR_FACTOR
+        np.add(own + self.older >> PAIR_SHIFT, self.alphabet, out=self.slot[1], casting="unsafe")
+        self.older = own * PAIR_FACTOR
+        self.values = self.table.take(self.slot)
+        self.guess = self.values & ID_MASK
+        by_one, by_two = (self.values >> ID_BITS).astype(np.uint8)
+        self.kind = by_two * 4 + by_one
+        kind = self.kind.astype(np.int64)
+        self.second, self.both = self.for_two.take(kind), self.for_both.take(kind)
+        self.rest = TOTAL - self.both
 
     def part(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the parts of ids begin within the range, and their sizes."""
         self.fresh = ids.astype(np.int32) + 1
-        self.hits = [guess == self.fresh for guess in self.guess]
-        start = (self.below.take(ids) * self.rest >> self.bits) + self.both
-        size = (self.below[1:].take(ids) * self.rest >> self.bits) + self.both - start
+        self.hits = self.guess == self.fresh
         less, right = self.hits
-        np.copyto(start, self.second, where=less)
-        np.copyto(size, self.both - self.second, where=less)
-        np.copyto(start, 0, where=right)
-        np.copyto(size, self.second, where=right)
-        return start, size
+        start = self.below.take(ids) * self.rest >> self.bits
+        size = (self.above.take(ids) * self.rest >> self.bits) - start
+        start = np.where(less, self.second, start + self.both)
+        size = np.where(less, self.both - self.second, size)
+        return np.where(right, 0, start), np.where(right, self.second, size)
 
     def find(self, at: np.ndarray) -> np.ndarray:
         """The ids whose parts hold the given places."""
         left = np.maximum(at - self.both, 0)
         place = (((left + 1 << self.bits) - 1) / self.rest).astype(np.int64)
-        ids = self.owner.take(place, mode="clip").astype(np.int64)
-        np.copyto(ids, self.guess[0] - 1, where=at < self.both)
-        np.copyto(ids, self.guess[1] - 1, where=at < self.second)
+        guessed = np.where(at < self.both, self.guess[0], self.owner.take(place, mode="clip"))
+        ids = np.where(at < self.second, self.guess[1], guessed).astype(np.int64) - 1
         return np.maximum(ids, 0)  # only damaged data has a place where there is no guess
 
     def learn(self, ids: np.ndarray) -> None:
         """Take in the ids last given to :meth:`part`."""
-        less, right = self.hits
-        outcome = np.bincount(self.kind + (right * 16 + less * 32), minlength=64).reshape(2, 2, 16)
-        self.tries += np.stack([outcome[0, 1] + outcome[1, 1], outcome[1, 0], outcome[0, 0]])
-        if self.tries.max() > MOST_TRIES:
-            self.tries = self.tries + 1 >> 1
-        fresh = self.fresh + (1 << ID_BITS)
-        for table, slot, value, hit in zip((self.ones, self.twos), (self.one, self.two), self.values, self.hits):
-            raised = np.minimum(value + (1 << ID_BITS), fresh + (2 << ID_BITS))
-            table[slot] = 0
-            np.maximum.at(table, slot, np.where(hit, raised, fresh))
-        self.one, self.before = ids, self.one
+        early = self.seen < SHARE_STEPS
+        if early or self.seen % TRIED_STEPS == 0:
+            less, right = self.hits.view(np.uint8)
+            self.outcomes.append(self.kind + (right << 4) + (less << 5))
+        known = np.minimum(np.where(self.hits, self.values, self.fresh), self.fresh + (2 << ID_BITS)) + (1 << ID_BITS)
+        self.table[self.slot] = known
+        self.slot[0] = ids
         self.waiting.append(ids)
         self.seen += 1
+        if early or self.seen % SHARE_STEPS == 0:
+            outcome = np.bincount(np.concatenate(self.outcomes), minlength=64).reshape(2, 2, 16)
+            self.outcomes = []
+            self.tries += np.stack([outcome[0, 1] + outcome[1, 1], outcome[1, 0], outcome[0, 0]])
+            if self.tries.max() > MOST_TRIES:
+                self.tries = self.tries + 1 >> 1
+            self.share()
         if self.seen in self.places:
             self.counts += np.bincount(np.concatenate(self.waiting), minlength=self.alphabet)
             self.waiting = []
@@ -159,25 +182,26 @@ def encode_blocks(ids: np.ndarray, alphabet: int) -> list[bytes]:
     mixer = Mixer(blocks, alphabet, length)
     low = np.zeros(blocks, dtype=np.uint64)
     span = np.full(blocks, np.iinfo(np.uint64).max, dtype=np.uint64)
-    out = np.zeros((length + 4, blocks), dtype=np.uint32)
-    used = np.zeros(blocks, dtype=np.int64)
-    for column in np.ascontiguousarray(ids.T, dtype=np.int64):
+    out = np.zeros((length + 4) * blocks, dtype=np.uint32)
+    free = np.arange(blocks)
+    for column in np.ascontiguousarray(ids.T, dtype=np.int32):
+        column = column.astype(np.int64)
         mixer.predict()
         start, size = mixer.part(column)
         part = span >> np.uint64(TOTAL_BITS)
-        low = low + part * start.view(np.uint64)
+        low += part * start.view(np.uint64)
         span = part * size.view(np.uint64)
         rows = np.flatnonzero(span < _BOTTOM)
         if len(rows):
-            place = used[rows]
-            out[place, rows] = (low[rows] >> _WORD).astype(np.uint32)
-            used[rows] = place + 1
+            place = free[rows]
+            out[place] = low[rows] >> _WORD
+            free[rows] = place + blocks
             _shift(low, span, rows)
         mixer.learn(column)
     for word in (low >> _WORD, low & _LOW):
-        out[used, np.arange(blocks)] = word.astype(np.uint32)
-        used += 1
-    return [row[:n].astype("<u4").tobytes() for row, n in zip(out.T, used)]
+        out[free] = word
+        free += blocks
+    return [row[:n].astype("<u4").tobytes() for row, n in zip(out.reshape(-1, blocks).T, free // blocks)]
 
 
 def _shift(low: np.ndarray, span: np.ndarray, rows: np.ndarray) -> None:
@@ -186,42 +210,41 @@ def _shift(low: np.ndarray, span: np.ndarray, rows: np.ndarray) -> None:
     Mostly the upper word is settled; where it is not, the span is cut to the word's end first.
     """
     own, left = low[rows], span[rows]
-    with np.errstate(over="ignore"):
-        settled = (own >> _WORD) == ((own + (left - np.uint64(1))) >> _WORD)
-        left = np.where(settled, left, (np.uint64(0) - own) & _LOW)
+    settled = (own >> _WORD) == ((own + (left - np.uint64(1))) >> _WORD)
+    left = np.where(settled, left, (np.uint64(0) - own) & _LOW)
     low[rows], span[rows] = own << _WORD, left << _WORD
 
 
 def decode_blocks(coded: list[bytes], length: int, alphabet: int) -> np.ndarray:
     blocks = len(coded)
     mixer = Mixer(blocks, alphabet, length)
-    words = np.zeros((max(map(len, coded)) // 4 + 4, blocks), dtype=np.uint32)
-    for row, data in zip(words.T, coded):
+    words = np.zeros((blocks, max(map(len, coded)) // 4), dtype=np.uint32)
+    for row, data in zip(words, coded):
         row[: len(data) // 4] = np.frombuffer(data, dtype="<u4")
+    words = np.ascontiguousarray(words.T)
     low = np.zeros(blocks, dtype=np.uint64)
     span = np.full(blocks, np.iinfo(np.uint64).max, dtype=np.uint64)
     code = (words[0].astype(np.uint64) << _WORD) | words[1]
-    used = np.full(blocks, 2, dtype=np.int64)
-    ids = np.zeros((length, blocks), dtype=np.int64)
+    words, next_word = words.ravel(), np.arange(2 * blocks, 3 * blocks)
+    ids = np.zeros((length, blocks), dtype="<u4")
     for t in range(length):
         mixer.predict()
         part = span >> np.uint64(TOTAL_BITS)
         at = np.minimum((code - low) // part, np.uint64(TOTAL - 1)).view(np.int64)
         found = mixer.find(at)
         start, size = mixer.part(found)
-        low = low + part * start.view(np.uint64)
+        low += part * start.view(np.uint64)
         span = part * size.view(np.uint64)
         rows = np.flatnonzero(span < _BOTTOM)
         if len(rows):
-            place = used[rows]
-            if place.max() >= len(words):
-                raise ValueError("damaged block")
-            code[rows] = (code[rows] << _WORD) | words[place, rows]
-            used[rows] = place + 1
+            place = next_word[rows]
+            # Only damaged data asks for more words than there are; its checksum tells.
+            code[rows] = (code[rows] << _WORD) | words.take(place, mode="clip")
+            next_word[rows] = place + blocks
             _shift(low, span, rows)
         mixer.learn(found)
         ids[t] = found
-    return ids.T
+    return np.ascontiguousarray(ids.T)
 
 
 def write_file(
@@ -235,14 +258,14 @@ def write_file(
     each document, then documents, ids, CRC of the tail's first part.
     """
     out.write(MAGIC + HEAD.pack(alphabet, block))
-    waiting, sizes, total = np.zeros(0, dtype=np.int64), [], 0
+    waiting, sizes, total = np.zeros(0, dtype="<u4"), [], 0
 
     def frames(rows: np.ndarray) -> None:
         for row, data in zip(rows, encode_blocks(rows, alphabet)):
-            out.write(FRAME.pack(len(row), len(data), zlib.crc32(data, zlib.crc32(row.astype("<u4").tobytes()))) + data)
+            out.write(FRAME.pack(len(row), len(data), zlib.crc32(data, zlib.crc32(row))) + data)
 
     for ids, counts in batches:
-        waiting = np.concatenate([waiting, ids])
+        waiting = np.concatenate([waiting, ids.astype("<u4")])
         sizes.append(counts.astype("<u4"))
         total += len(ids)
         while len(waiting) >= ABREAST * block:
@@ -288,7 +311,7 @@ def _groups(data: bytes, alphabet: int, block: int, total: int) -> Iterator[np.n
         if group and (n != group[0][0] or len(group) == ABREAST):
             rows = decode_blocks([f[1] for f in group], group[0][0], alphabet)
             for row, frame in zip(rows, group):
-                if zlib.crc32(frame[1], zlib.crc32(row.astype("<u4").tobytes())) != frame[2]:
+                if zlib.crc32(frame[1], zlib.crc32(row)) != frame[2]:
                     raise ValueError("damaged block")
             seen += rows.size
             yield rows.ravel()
@@ -307,7 +330,7 @@ def document_sums(counts: np.ndarray, groups: Iterable[np.ndarray]) -> list[int]
     """CRC of each document's ids as unsigned 32-bit numbers; a document may span groups."""
     sums, doc, due = [0] * len(counts), 0, int(counts[0]) if len(counts) else 0
     for ids in groups:
-        raw, at = ids.astype("<u4").tobytes(), 0
+        raw, at = ids.astype("<u4", copy=False).view(np.uint8), 0
         while at < len(raw):
             take = min(4 * due, len(raw) - at)
             sums[doc] = zlib.crc32(raw[at : at + take], sums[doc])
@@ -320,6 +343,27 @@ def document_sums(counts: np.ndarray, groups: Iterable[np.ndarray]) -> list[int]
     return sums
 
 
+def plain_words(text: bytes) -> pa.LargeStringArray:
+    """``PLAIN_WORDS.findall`` of a plain text that ends without white space, by arrays."""
+    codes = np.frombuffer(text.decode().encode("utf-32-le"), dtype="<u4")
+    kinds = CLASS_OF.take(codes)
+    starts = np.ones(len(codes) + 1, dtype=bool)
+    starts[1:-1] = kinds[1:] != kinds[:-1]
+    # The last of several white spaces stands apart; a blank belongs to what follows.
+    last = np.flatnonzero((kinds[:-1] == 0) & (kinds[1:] != 0))
+    starts[last] = True
+    starts[last[codes[last] == ord(" ")] + 1] = False
+    marks = np.flatnonzero(codes == ord("'"))
+    marks = marks[starts[marks]]
+    padded = np.append(codes, np.zeros(2, dtype=codes.dtype))
+    for end in SHORT_ENDS:
+        found = marks[np.all([padded[marks + 1 + k] == c for k, c in enumerate(end)], axis=0)]
+        starts[found + 1] = False
+        starts[found + 1 + len(end)] = True
+    stops = np.concatenate([[0], np.cumsum(1 + (codes > 0x7F))])[starts]
+    return pa.LargeStringArray.from_buffers(len(stops) - 1, pa.py_buffer(stops), pa.py_buffer(text))
+
+
 class PieceIds:
     """Ids by piece with the byte-level vocabulary; the library makes them.
 
@@ -341,50 +385,82 @@ class PieceIds:
         self.n_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for name, i in vocab.items():
             self.n_bytes[i] = len(name)
-        self.slots: dict[str, int] = {}
-        # Word k has the ids from bounds[k] up to bounds[k + 1].
+        # Word k has the ids from bounds[k] up to bounds[k + 1], and its bytes lie between two stops alike.
         self.ids, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-
-    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words one after the other, and how many each has."""
-        names = [byte_names(w) for w in words]
-        (found,) = self.model.encode_batch_fast(["\n".join(names)], add_special_tokens=False)
+        self.raw, self.stops = np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+        # Hashes of remembered words in order, and the word of each.
+        self.slots, self.owner = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def encoded(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of plain words one after the other, and how many each has."""
+        raw, stops = text_bytes(words)
+        names = np.insert(BYTE_CODES[raw], stops[1:-1], LINE_END).tobytes().decode("utf-32-le")
+        (found,) = self.model.encode_batch_fast([names], add_special_tokens=False)
         ids = np.array(found.ids, dtype=np.int32)
-        stops = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(n) for n in names])) + 1
-        return ids, np.diff(stops, prepend=0)
-
-    def look_up(self, words: list[str]) -> np.ndarray:
+        return ids, np.diff(np.searchsorted(np.cumsum(self.n_bytes[ids]), stops[1:]) + 1, prepend=0)
+
+    def known(self, raw: np.ndarray, stops: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 where it is new. Words of one hash are compared byte by byte."""
+        at = np.searchsorted(self.slots, hashes)
+        near = np.flatnonzero(np.append(self.slots, hashes[:1])[at] == hashes)
+        near = near[at[near] < len(self.slots)]
+        own, sizes = self.owner[at[near]], np.diff(stops)[near]
+        alike = np.diff(self.stops)[own] == sizes
+        near, own, sizes = near[alike], own[alike], sizes[alike]
+        theirs, ends = runs(self.raw, self.stops[own], sizes)
+        others = np.flatnonzero(theirs != runs(raw, stops[near], sizes)[0])
+        own[np.searchsorted(ends, others, side="right")] = -1
+        numbers = np.full(len(hashes), -1, dtype=np.int64)
+        numbers[near] = own
+        return numbers
+
+    def remember(self, words: pa.LargeStringArray, hashes: np.ndarray) -> None:
+        """Give new words their numbers; of those that share a hash only one is found again."""
+        n, order = len(self.bounds) - 1, np.argsort(hashes, kind="stable")
+        parts = [self.encoded(words.slice(at, TOGETHER)) for at in range(0, len(words), TOGETHER)]
+        raw, stops = text_bytes(words)
+        self.ids = np.concatenate([self.ids, *[ids for ids, _ in parts]])
+        self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.concatenate([k for _, k in parts])))
+        self.raw = np.concatenate([self.raw, raw])
+        self.stops = np.append(self.stops, self.stops[-1] + stops[1:])
+        hashes = hashes[order]
+        at = np.searchsorted(self.slots, hashes)
+        alone = np.append(self.slots, ~hashes[-1:])[at] != hashes
+        alone[1:] &= hashes[1:] != hashes[:-1]
+        self.slots = np.insert(self.slots, at[alone], hashes[alone])
+        self.owner = np.insert(self.owner, at[alone], order[alone] + n)
+
+    def forget(self, most: int) -> None:
+        """Keep the words that came first."""
+        kept = self.owner < most
+        self.slots, self.owner = self.slots[kept], self.owner[kept]
+        self.bounds, self.stops = self.bounds[: most + 1], self.stops[: most + 1]
+        self.ids, self.raw = self.ids[: self.bounds[-1]], self.raw[: self.stops[-1]]
+
+    def look_up(self, words: pa.LargeStringArray) -> np.ndarray:
         """The numbers under which the words' ids are found."""
-        slots = self.slots
-        while len(slots) > REMEMBERED_WORDS:
-            slots.popitem()  # the last that came
-        self.bounds = self.bounds[: len(slots) + 1]
-        self.ids = self.ids[: self.bounds[-1]]
-        coded = pa.array(words, pa.large_string()).dictionary_encode()
-        texts = coded.dictionary.to_pylist()
-        own = np.fromiter((slots.get(w, -1) for w in texts), np.int64, len(texts))
-        missing = np.flatnonzero(own < 0)
-        new = [texts[i] for i in missing.tolist()]
-        parts = [self.encoded(new[at : at + TOGETHER]) for at in range(0, len(new), TOGETHER)]
-        if parts:
-            own[missing] = np.arange(len(slots), len(slots) + len(new))
-            slots.update(zip(new, own[missing].tolist()))
-            self.ids = np.concatenate([self.ids, *[ids for ids, _ in parts]])
-            ends = np.cumsum(np.concatenate([n for _, n in parts]))
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends])
-        return own[coded.indices.to_numpy()]
-
-    def words(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of pieces of so many words each, and how many ids each piece has."""
+        if len(self.bounds) > REMEMBERED_WORDS + 1:
+            self.forget(REMEMBERED_WORDS)
+        coded = words.dictionary_encode()
+        texts, which = coded.dictionary, coded.indices.to_numpy()
+        hashes = word_hashes(*text_bytes(texts))
+        # Searched for in order of hashes, so that what is found lies side by side.
+        order = np.argsort(hashes)
+        own = np.empty(len(order), dtype=np.int64)
+        own[order] = self.known(*text_bytes(texts.take(pa.array(order))), hashes[order])
+        new = np.flatnonzero(own < 0)
+        if len(new):
+            own[new] = np.arange(len(new)) + len(self.bounds) - 1
+            self.remember(texts.take(pa.array(new)), hashes[new])
+        return own[which]
+
+    def together(self, text: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are cut into words as one text, and how many each piece of so many bytes has."""
+        words = plain_words(text)
         slot = self.look_up(words)
         ids, ends = runs(self.ids, self.bounds[slot], self.bounds[slot + 1] - self.bounds[slot])
-        return ids, np.diff(np.concatenate([[0], ends])[np.cumsum(sizes)], prepend=0)
-
-    def together(self, text: str, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that are cut into words as one text, and how many each piece of so many characters has."""
-        words = PLAIN_WORDS.findall(text)
-        ends = np.cumsum(list(map(len, words)), dtype=np.int64)
-        return self.words(words, np.diff(np.searchsorted(ends, np.cumsum(chars)) + 1, prepend=0))
+        last = np.searchsorted(text_bytes(words)[1], np.cumsum(sizes))
+        return ids, np.diff(np.concatenate([[0], ends])[last], prepend=0)
 
     def apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for any pieces, each by itself."""
@@ -400,8 +476,8 @@ class PieceIds:
             short &= ~pc.match_substring(pieces, token).to_numpy(zero_copy_only=False)
         together = short & pc.match_substring_regex(pieces, JOINED).to_numpy(zero_copy_only=False)
         joined, others = np.flatnonzero(together), np.flatnonzero(~together)
-        text = text_bytes(pieces.take(pa.array(joined)))[0].tobytes().decode()
-        values, sizes = self.together(text, chars[joined])
+        text, stops = text_bytes(pieces.take(pa.array(joined)))
+        values, sizes = self.together(text.tobytes(), np.diff(stops))
         if len(others):
             more, n = self.apart(pieces.take(pa.array(others)).to_pylist())
             values, sizes = np.concatenate([values, more]), np.concatenate([sizes, n])
@@ -418,7 +494,15 @@ def piece_ids(path: str) -> PieceIds:
 def runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of values one after the other, and where each ends."""
     ends = np.cumsum(sizes)
-    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return values.take(places), ends
+
+
+def word_hashes(raw: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each word of one byte or more."""
+    place = np.arange(len(raw)) - np.repeat(stops[:-1], np.diff(stops))
+    return np.add.reduceat(FACTORS[place % len(FACTORS)] * (raw.astype(np.uint64) + np.uint64(1)), stops[:-1])
 
 
 def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -432,16 +516,17 @@ def ids_of(raw: np.ndarray, rows: np.ndarray, encode: PieceIds, end_id: int) ->
         own = sizes[which]
         flat.append(runs(values, starts[which], own)[0])
         counts += np.bincount(row_of[at:to], weights=own, minlength=n).astype(np.int64)
-    ids = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)
+    ids = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
 @dataclass(frozen=True)
 class IdFiles:
-    """A set of written files: where they lie, and one row per file (file, first, path, docs, ids)."""
+    """A set of written files: where they lie, a row per document (file, at, id, hash), how many files at most."""
 
     folder: str
     manifest: DataFrame
+    most: int
 
 
 def write_ids(
@@ -496,7 +581,7 @@ def write_ids(
     kind = docs.schema[id_column].dataType.simpleString()
     sorted_docs = own.repartitionByRange(files, "id", "hash").sortWithinPartitions("id", "hash")
     written = arrow_map(sorted_docs.select("id", "text", "hash"), batches, f"file string, at bigint, id {kind}, hash bigint")
-    return IdFiles(folder, stored(written, docs.sparkSession, "id-manifest"))
+    return IdFiles(folder, stored(written, docs.sparkSession, "id-manifest"), files)
 
 
 def read_ids(files: IdFiles, id_column: str = "doc_id") -> DataFrame:
@@ -529,7 +614,7 @@ def read_ids(files: IdFiles, id_column: str = "doc_id") -> DataFrame:
     wide = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = stored(
         arrow_map(
-            heads.select("file").repartition(wide, "file"),
+            heads.select("file").repartition(min(wide, files.most)),
             batches,
             "file string, at bigint, within bigint, n_tokens bigint, ids_crc32 bigint",
         ),

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import tracemalloc
 import zlib
 from io import BytesIO
@@ -203,6 +204,50 @@ def test_plain_words_are_those_of_the_vocabulary():
         assert id_files.PLAIN_WORDS.findall(text) == BYTE_LEVEL_WORDS.findall(text)
 
 
+def test_words_are_cut_by_arrays_as_by_the_pattern():
+    rng = random.Random(6)
+    plain_chars = [chr(c) for c in range(0x180) if re.fullmatch(rf"[ \t\n\r{id_files._PLAIN_MARKS}]", chr(c))]
+    pool = plain_chars + list(" \n\t''sstrevmld " + "'") * 12
+    texts = ["".join(rng.choices(pool, k=14)).rstrip() for _ in range(5000)]
+    for text in ["", "'", "'s", "a'", "a're", "it's 'll \n't x''d", "".join(plain_chars).strip(), *texts]:
+        assert id_files.plain_words(text.encode()).to_pylist() == id_files.PLAIN_WORDS.findall(text)
+
+
+def test_words_that_share_a_hash_are_told_apart(monkeypatch):
+    texts = [" " + " ".join(f"word{k} é{k}'s" for k in range(at, at + 60)) for at in range(0, 200, 20)]
+    for n in (1, 5):
+        monkeypatch.setattr(id_files, "word_hashes", lambda raw, stops: (np.diff(stops) % n).astype(np.uint64))
+        encode = id_files.PieceIds(BYTE)
+        for part in (texts[:4], texts[2:], texts):
+            ids_of_texts(encode, part)
+        assert 0 < len(encode.slots) <= n
+
+
+def test_remembered_words_take_no_python_objects():
+    encode = id_files.PieceIds(BYTE)
+    words = [" " + "".join(random.Random(k).choices("abcdefgh", k=9)) for k in range(20_000)]
+    ids_of_texts(encode, ["".join(words)])
+    held = [v for v in vars(encode).values() if isinstance(v, np.ndarray)]
+    assert len(encode.slots) > 19_000 and sum(v.nbytes for v in held) < 80 * len(words) + encode.n_bytes.nbytes
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 65_535, 65_536, 70_000])
+def test_files_of_any_alphabet_round_trip(alphabet):
+    ids = np.random.default_rng(alphabet).zipf(1.2, 9000) % alphabet
+    ids[:50] = alphabet - 1
+    assert read(written(ids, [len(ids)], alphabet))[1] == ids.tolist()
+
+
+def test_no_more_tasks_than_files_read_them(spark, monkeypatch):
+    tasks, keep = {}, id_files.stored
+    monkeypatch.setattr(
+        id_files, "stored", lambda df, s, name: tasks.update({name: df.rdd.getNumPartitions()}) or keep(df, s, name)
+    )
+    files = id_files.write_ids(odd(spark), BYTE, f"file://{scratch_path(spark, 'ids')}", docs_per_file=100)
+    id_files.read_ids(files)
+    assert tasks["ids-read"] == 1
+
+
 def test_the_rest_of_a_file_is_coded_side_by_side(monkeypatch):
     steps, learn = [], id_files.Mixer.learn
     monkeypatch.setattr(id_files.Mixer, "learn", lambda self, ids: steps.append(len(ids)) or learn(self, ids))
