@@ -66,7 +66,7 @@ HASH_BITS = 16
 ID_BITS = 28
 ID_MASK = (1 << ID_BITS) - 1
 MOST_TRIES = 1 << 20
-# Shares of the range are set anew after each of the first steps, then after so many, of which one in four tells.
+# Shares of the range are set anew after each of the first steps, then after so many; then one step in four is counted.
 SHARE_STEPS, TRIED_STEPS = 16, 4
 PAIR_FACTOR, PAIR_SHIFT = np.uint32(2654435761), np.uint32(32 - HASH_BITS)
 _WORD = np.uint64(32)
@@ -77,7 +77,7 @@ _BOTTOM = np.uint64(1 << 32)
 class Mixer:
     """The model that coder and decoder keep alike, for a group of blocks side by side.
 
-    Order 0 is a table of counts, summed up anew at set places. Orders 1 and 2 remember the id that
+    Order 0 is a table of counts (of one step in four), summed up anew at set places. Orders 1 and 2 remember the id that
     followed one or two ids (order 2 by hashed context) and how often in a row it was right, its
     standing. The three predictions are mixed: the two guesses get shares of the range by how often
     guesses of that pair of standings have been right in this group until lately, the rest goes by order 0.
@@ -125,9 +125,10 @@ class Mixer:
         own = self.slot[0].astype(np.uint32) * PAIR_FACTOR
         np.add(own + self.older >> PAIR_SHIFT, self.alphabet, out=self.slot[1], casting="unsafe")
         self.older = own * PAIR_FACTOR
-        self.values = self.table.take(self.slot)
-        self.guess = self.values & ID_MASK
-        by_one, by_two = (self.values >> ID_BITS).astype(np.uint8)
+        values = self.table.take(self.slot)
+        self.guess = values & ID_MASK
+        self.standing = (values >> ID_BITS).astype(np.uint8)
+        by_one, by_two = self.standing
         self.kind = by_two * 4 + by_one
         kind = self.kind.astype(np.int64)
         self.second, self.both = self.for_two.take(kind), self.for_both.take(kind)
@@ -154,14 +155,14 @@ class Mixer:
 
     def learn(self, ids: np.ndarray) -> None:
         """Take in the ids last given to :meth:`part`."""
-        early = self.seen < SHARE_STEPS
+        early, hits = self.seen < SHARE_STEPS, self.hits.view(np.uint8)
+        less, right = hits
         if early or self.seen % TRIED_STEPS == 0:
-            less, right = self.hits.view(np.uint8)
             self.outcomes.append(self.kind + (right << 4) + (less << 5))
-        known = np.minimum(np.where(self.hits, self.values, self.fresh), self.fresh + (2 << ID_BITS)) + (1 << ID_BITS)
-        self.table[self.slot] = known
+            self.waiting.append(ids)
+        standing = np.minimum(self.standing * hits, 2) + 1
+        self.table[self.slot] = (standing.astype(np.int32) << ID_BITS) + self.fresh
         self.slot[0] = ids
-        self.waiting.append(ids)
         self.seen += 1
         if early or self.seen % SHARE_STEPS == 0:
             outcome = np.bincount(np.concatenate(self.outcomes), minlength=64).reshape(2, 2, 16)
